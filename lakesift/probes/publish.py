@@ -146,7 +146,7 @@ def a17(t):
            o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_orderpriority
     FROM orders WHERE o_orderpriority = '1-URGENT'
     UNION ALL SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT'
-    UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    UNION ALL SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
     FROM orders WHERE o_orderstatus = 'P'
     """,
 )
@@ -159,7 +159,7 @@ def j6(t):
             "o_orderdate": (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz"),
         }
     )
-    new = t.orders.where("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    new = t.orders.where("o_orderstatus = 'P'").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
     delta = changed.unionByName(new)
     return upsert(t.orders, delta, ["o_orderkey"], [F.col("o_orderdate").desc()])
 

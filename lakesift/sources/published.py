@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from lakesift.operators.dedupe import keep_best
 from lakesift.operators.keys import prefixed, same_keys_condition
+from lakesift.session import exists
 from lakesift.sources.catalog import stamp
 
 AUDIT_SCHEMA = T.StructType(
@@ -82,10 +83,9 @@ class Shelf:
 
     def audit(self) -> DataFrame:
         """Every publish so far, one row per table."""
-        try:
-            return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path)
-        except AnalysisException:
+        if not exists(self.spark, self._audit_path):
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
+        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path)
 
     def current(self, table: str) -> str | None:
         """Name of the version that is published now."""
