@@ -7,12 +7,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesift.functions.columns import label
-from lakesift.operators.dedupe import duplicate_keys, duplicate_rows, keep_best, unique_rows
+from lakesift.operators.dedupe import (
+    duplicate_keys,
+    duplicate_rows,
+    keep_best,
+    repeated_keys,
+    unique_rows,
+)
 from lakesift.operators.keys import key_set, normalised, type_of
 from lakesift.operators.ordering import has_rows
-from lakesift.session import materialize
+from lakesift.session import fits_broadcast, materialize
 
 PKEY_DUPE = "pkey_dupe"
 RI_ORPHAN = "ri_orphan"
@@ -20,6 +27,7 @@ NEGATIVE = "negative_value"
 MUST_BE_NON_NEGATIVE = "must_be_non_negative"
 
 REASONS = ["issue_type", "failed_dimension", "join_key", "failed_column", "check_type"]
+_REASON_TYPE = T.StructType([T.StructField(n, T.StringType()) for n in REASONS])
 
 
 class CheckFailed(Exception):
@@ -56,7 +64,7 @@ def check_primary_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     a shuffle as long as that table is small enough to broadcast; only the rows
     of repeated keys are sorted to pick a survivor.
     """
-    dups = materialize(duplicate_keys(df, keys), "dup-keys")
+    dups = repeated_keys(df, keys)
     repeated = duplicate_rows(df, keys, dups)
     clean = unique_rows(df, keys, dups).unionByName(keep_best(repeated, keys, order))
     metrics = dups.agg(
@@ -88,40 +96,50 @@ def _reason(**texts: str) -> Column:
     return F.struct(*[F.lit(texts.get(n)).cast("string").alias(n) for n in REASONS])
 
 
+def orphan_keys(fact: DataFrame, ref: Reference, out: str) -> DataFrame:
+    """Non-null keys of the fact that the dimension lacks, each once.
+
+    Only distinct keys are shuffled, pre-aggregated per map task.
+    """
+    dim_key = ref.dim_key or ref.key
+    dim_keys = key_set(ref.dim, dim_key, "_dim_key", type_of(fact, ref.key))
+    used = key_set(fact, ref.key, out, type_of(ref.dim, dim_key))
+    return used.join(dim_keys, F.col(out) == F.col("_dim_key"), "left_anti")
+
+
 def flag_rows(
     df: DataFrame, references: Sequence[Reference] = (), non_negative: Sequence[str] = ()
 ) -> DataFrame:
     """Add the reason columns of the first failed check; all null for a good row.
 
-    References are tested in their order, then signs in theirs. Each dimension
-    contributes one left join to its distinct keys, each sign one comparison,
-    all in a single pass over the fact. Null and NaN are not negative.
+    References are tested in their order, then signs in theirs. Null and NaN are
+    not negative. A dimension whose keys are small enough to broadcast is joined
+    to the fact directly. For a larger one the missing keys are found first and
+    written to a table, which is small in a sound lake, so that the wide fact
+    rows need no shuffle; should it be large, the join shuffles and splits hot
+    keys.
     """
-    out, first = df, F.lit(None).cast(_reason_type())
-    tests: list[Column] = []
+    out, tests = df, []
     for i, ref in enumerate(references):
-        dim_key = ref.dim_key or ref.key
-        found = f"_found_{i}"
-        keys = key_set(ref.dim, dim_key, found, type_of(df, ref.key))
+        dim_key, found = ref.dim_key or ref.key, f"_found_{i}"
         own = normalised(df, ref.key, type_of(ref.dim, dim_key))
+        keys = key_set(ref.dim, dim_key, found, type_of(df, ref.key))
+        if fits_broadcast(keys):
+            missing = F.col(found).isNull()
+        else:
+            keys = materialize(orphan_keys(df, ref, found), "orphan-keys")
+            missing = own.isNull() | F.col(found).isNotNull()
         out = out.join(keys, own == F.col(found), "left")
         reason = _reason(issue_type=RI_ORPHAN, failed_dimension=ref.name, join_key=ref.key)
-        tests.append(F.when(F.col(found).isNull(), reason))
+        tests.append(F.when(missing, reason))
     for c in non_negative:
         reason = _reason(issue_type=NEGATIVE, failed_column=c, check_type=MUST_BE_NON_NEGATIVE)
         tests.append(F.when(F.col(c) < 0, reason))
-    if tests:
-        first = F.coalesce(*tests)
+    first = F.coalesce(*tests, F.lit(None).cast(_REASON_TYPE))
     flagged = out.select(*df.columns, first.alias("_reason"))
     return flagged.select(*df.columns, *[F.col(f"_reason.{n}").alias(n) for n in REASONS])
 
 
-def _reason_type():
-    from pyspark.sql import types as T
-
-    return T.StructType([T.StructField(n, T.StringType()) for n in REASONS])
-
-
 def reject_counts(flagged: DataFrame) -> DataFrame:
     """Rows per reason; the row without an issue_type counts the clean ones."""
     reasons = [c for c in REASONS if c in flagged.columns]

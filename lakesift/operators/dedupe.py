@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakesift.functions.columns import composite_key
 from lakesift.operators.keys import prefixed, same_keys_condition
 from lakesift.operators.ordering import MAX_GROUP_ROWS, number_rows, total_order
+from lakesift.session import materialize
 
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 1_000_000
@@ -20,13 +21,22 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).where(F.col(out) > 1)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`duplicate_keys` as a stored table.
+
+    Its true size lets the planner broadcast it when it is small, as it is for a
+    key that is meant to be unique. Then no full row is shuffled, only keys.
+    """
+    return materialize(duplicate_keys(df, keys), "repeated-keys")
+
+
 def duplicate_rows(df: DataFrame, keys: Sequence[str], dup_keys: DataFrame | None = None) -> DataFrame:
     """All rows whose key occurs more than once; nulls compare equal.
 
     Groups are counted with map-side pre-aggregation and joined back, so no
     task has to hold a whole group.
     """
-    dups = duplicate_keys(df, keys) if dup_keys is None else dup_keys
+    dups = repeated_keys(df, keys) if dup_keys is None else dup_keys
     right = prefixed(dups.select(*keys), keys, "_d_")
     return df.join(right, same_keys_condition(keys, "_d_"), "left_semi")
 
@@ -39,7 +49,7 @@ def unique_rows(df: DataFrame, keys: Sequence[str], dup_keys: DataFrame) -> Data
 
 def flag_dupes(df: DataFrame, keys: Sequence[str], out: str = "key_count") -> DataFrame:
     """Every row with the number of rows that share its key."""
-    dups = prefixed(duplicate_keys(df, keys, "_n"), keys, "_d_")
+    dups = prefixed(repeated_keys(df, keys), keys, "_d_").withColumnRenamed("n_rows", "_n")
     return df.join(dups, same_keys_condition(keys, "_d_"), "left").select(
         *df.columns, F.coalesce(F.col("_n"), F.lit(1)).cast("bigint").alias(out)
     )
@@ -88,22 +98,22 @@ def number_copies(
     """Number the exact copies of every row over ``cols`` (all by default).
 
     Copies are interchangeable, so they are counted before the shuffle and
-    written out again from the count; a row with very many copies is written by
-    several tasks, each responsible for one stretch of numbers.
+    written out again from the count. The numbers of one row are cut into
+    stretches that go to different tasks; the number of tasks is fixed, because
+    sizing them by the few bytes of a count would put too many copies into one.
     """
     cols = list(cols or df.columns)
     step = F.lit(copies_per_task).cast("bigint")
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    small = counted.where(F.col("_n") <= step).withColumn("_from", F.lit(1).cast("bigint"))
-    large = (
-        counted.where(F.col("_n") > step)
-        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"), step)))
-        .repartition(*cols, "_from")
+    one = F.lit(1).cast("bigint")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretches = (
+        df.groupBy(*cols)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_from", F.explode(F.sequence(one, F.col("_n"), step)))
+        .repartition(tasks, *cols, "_from")
     )
     upto = F.least(F.col("_n"), F.col("_from") + step - 1)
-    return small.unionByName(large).select(
-        *cols, F.explode(F.sequence(F.col("_from"), upto)).alias(out)
-    )
+    return stretches.select(*cols, F.explode(F.sequence(F.col("_from"), upto)).alias(out))
 
 
 def disambiguate(

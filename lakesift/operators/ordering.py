@@ -12,6 +12,8 @@ from lakesift.session import materialize
 
 # Above this many rows a group is no longer sorted by a single task.
 MAX_GROUP_ROWS = 2_000_000
+# Upper limit of the number of range partitions one numbering asks for.
+MAX_PARTITIONS = 100_000
 
 
 def total_order(df: DataFrame, order: Sequence[Column]) -> list[Column]:
@@ -38,15 +40,20 @@ def running_total(
     """
     amount = F.lit(1) if weight is None else F.col(weight)
     ordered = total_order(df, order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-    largest = sizes.first()["n"] or 0
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    size = groups.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
     upto_here = (Window.unboundedPreceding, Window.currentRow)
-    if largest <= max_group_rows:
+    if (size["largest"] or 0) <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(*ordered).rowsBetween(*upto_here)
         return df.withColumn(out, F.sum(amount).over(window))
 
     tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranged = tied.repartitionByRange(*[F.col(k) for k in keys], *ordered, F.col("_tie"))
+    by = [*[F.col(k) for k in keys], *ordered, F.col("_tie")]
+    n_parts = max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        min(-(-size["total"] // max_group_rows), MAX_PARTITIONS),
+    )
+    ranged = tied.repartitionByRange(n_parts, *by)
     parts = materialize(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
 
     earlier = (

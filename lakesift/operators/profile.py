@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesift.operators.ordering import MAX_GROUP_ROWS, first_rows, running_total
+from lakesift.session import materialize
 
 
 def _long(agg: DataFrame, names: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -88,9 +89,8 @@ def column_profile(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:
     """One row: distinct non-null values per column.
 
-    The exact form turns the table into (column position, value hash input)
-    rows, pre-aggregated per map task; the approximate form needs no shuffle of
-    values at all.
+    The exact form shuffles the distinct values of every column, pre-aggregated
+    per map task; the approximate form shuffles sketches of fixed size only.
     """
     if approximate:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns])
@@ -131,10 +131,11 @@ def quantiles(
     partitions, so no task sees the whole column. Each point then needs only the
     two values around its position.
     """
-    counts = (
+    counts = materialize(
         df.where(F.col(col).isNotNull())
         .groupBy(F.col(col).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
     )
     ranks = running_total(counts, [], [F.col("value").asc()], "_n", "_upto", max_group_rows)
     total = counts.agg(F.sum("_n").alias("n")).scalar()

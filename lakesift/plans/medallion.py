@@ -33,6 +33,8 @@ from lakesift.sources.rejects import append_rejects
 from lakesift.sources.runlog import RunLog
 
 CLEAN = "clean"
+# Partition column of a silver table; a name no source table uses.
+VERDICT = "row_verdict"
 
 
 @dataclass(frozen=True)
@@ -100,14 +102,15 @@ class StarRules:
 
 def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The accepted rows of a silver table."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}").where(F.col("outcome") == CLEAN)
-    return df.drop("outcome", *REASONS)
+    df = spark.read.parquet(f"{root.rstrip('/')}/{table}").where(F.col(VERDICT) == CLEAN)
+    return df.drop(VERDICT, *REASONS)
 
 
 def _write_flagged(flagged: DataFrame, path: str) -> None:
     """One pass over the table: accepted rows and rejects go to different partitions."""
-    outcome = F.when(F.col("issue_type").isNull(), F.lit(CLEAN)).otherwise(F.col("issue_type"))
-    flagged.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(path)
+    verdict = F.when(F.col("issue_type").isNull(), F.lit(CLEAN)).otherwise(F.col("issue_type"))
+    rows = flagged.withColumn(VERDICT, verdict)
+    rows.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
 
 
 def load_silver(
@@ -149,7 +152,7 @@ def load_silver(
         flagged = flag_rows(tables[t], refs, rules.non_negative.get(t, ()))
         path = f"{silver_root}/{t}"
         _write_flagged(with_audit(flagged, log.pipeline_id, log.run_id), path)
-        written = spark.read.parquet(path).where(F.col("outcome") != CLEAN).drop("outcome")
+        written = spark.read.parquet(path).where(F.col(VERDICT) != CLEAN).drop(VERDICT)
         reports = reject_counts(written).collect()
         for r in reports:
             target = r["failed_dimension"] or r["failed_column"]

@@ -55,7 +55,7 @@ def a15(t):
     orphans = K.check_references(orders, [K.Reference("lineitem", t.lineitem, "id", "l_orderkey")]).rejects
     append_rejects(negative, root, "accounts", "p1", "r1")
     append_rejects(orphans, root, "accounts", "p1", "r2")
-    return read_rejects(t.spark, root).drop("rejected_at")
+    return read_rejects(t.spark, root, "accounts").drop("rejected_at")
 
 
 def _published_twice(t):

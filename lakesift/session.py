@@ -75,6 +75,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Would the planner broadcast ``df``? Compares its size estimate with the threshold."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(estimate)) <= limit
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder at ``path``, on whatever file system it names?"""
     jvm = spark.sparkContext._jvm

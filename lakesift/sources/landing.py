@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import astuple, dataclass, fields
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,9 @@ Registry = Mapping[str, Mapping[str, T.DataType]]
 
 CORRUPT = "_corrupt_record"
 
+# What a scan raises: at analysis, or from inside a task.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
 
 # -- registry ----------------------------------------------------------------
 
@@ -188,7 +192,7 @@ def ingest_file(
             return status
         status.rows_loaded = spark.table(target).count()
         status.loaded = status.rows_loaded > 0
-    except PySparkException as e:
+    except READ_ERRORS as e:
         status.error = type(e).__name__
     return status
 

@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from lakesift.functions.columns import with_reject_meta
+from lakesift.operators.checks import REASONS
 
 PREFIX = "rejected_"
 
+# What every report has in common, whatever table its rows come from.
+REASON_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in REASONS]
+    + [T.StructField("rejected_at", T.TimestampType())]
+    + [T.StructField(c, T.StringType()) for c in ("pipeline_id", "run_id", "report")]
+)
+
 
 def append_rejects(df: DataFrame, root: str, key: str, pipeline_id: str, run_id: str) -> str:
     """Append rejected rows under their report key; later appends may add columns."""
@@ -16,7 +25,12 @@ def append_rejects(df: DataFrame, root: str, key: str, pipeline_id: str, run_id:
     return path
 
 
-def read_rejects(spark: SparkSession, root: str, key: str | None = None) -> DataFrame:
-    """All reports, or one of them, with the union of their columns."""
-    path = root.rstrip("/") + (f"/report={PREFIX}{key}" if key else "")
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_rejects(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """The rows of one report with the union of the columns of all its appends."""
+    reader = spark.read.option("mergeSchema", True).option("basePath", root)
+    return reader.parquet(f"{root.rstrip('/')}/report={PREFIX}{key}")
+
+
+def read_reasons(spark: SparkSession, root: str) -> DataFrame:
+    """Why and when rows were rejected, over all reports; table columns are not read."""
+    return spark.read.schema(REASON_SCHEMA).parquet(root)

@@ -41,7 +41,7 @@ def main() -> int:
         "compare", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for n in NAMES:
         con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{folder}/{n}.parquet')")
