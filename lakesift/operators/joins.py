@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesift.operators.keys import key_set, normalised, type_of
+from lakesift.session import fits_broadcast, materialize
 
 
 @dataclass(frozen=True)
@@ -55,8 +56,16 @@ def enrich(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 def _membership(
     fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None, how: str
 ) -> DataFrame:
+    """Semi or anti join with the distinct keys of the dimension.
+
+    Keys too large to broadcast are written to a table first: the run-time skew
+    handling splits a hot fact key only where both join sides come straight from
+    an exchange, which an aggregate on the key side would prevent.
+    """
     dim_key = dim_key or key
     keys = key_set(dim, dim_key, "_dim_key", type_of(fact, key))
+    if not fits_broadcast(keys):
+        keys = materialize(keys, "dimension-keys")
     own = normalised(fact, key, type_of(dim, dim_key))
     return fact.join(keys, own == F.col("_dim_key"), how)
 

@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakesift.operators.ordering import MAX_GROUP_ROWS, first_rows, running_total
 from lakesift.session import materialize
@@ -179,16 +178,13 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     subquery, so the plan stays lazy and has no join on the data side.
     """
     value = F.col(col).cast("double")
-    bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("b")).scalar()
+    known = df.where(value.isNotNull() & ~F.isnan(value))
+    bounds = known.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("b")).scalar()
     lo, hi = bounds.getField("lo"), bounds.getField("hi")
     width = (hi - lo) / F.lit(bins)
     raw = F.floor(F.try_divide(value - lo, width)).cast("int")
     bin_no = F.greatest(F.lit(0), F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)))
-    counts = (
-        df.where(value.isNotNull() & ~F.isnan(value))
-        .groupBy(bin_no.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    counts = known.groupBy(bin_no.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
     edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return edges.join(counts, "bin", "left").select(
         "bin",
@@ -267,7 +263,3 @@ def null_period(df: DataFrame, ts: str, col: str) -> DataFrame:
     )
     meets = (F.col("null_from") <= F.col("value_to")) & (F.col("value_from") <= F.col("null_to"))
     return ends.withColumn("overlap", F.coalesce(meets, F.lit(False)))
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -7,17 +7,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakesift.functions.columns import label, venue, with_audit
+from lakesift.functions.columns import venue, with_audit
 from lakesift.operators.checks import (
     REASONS,
     Reference,
     check_primary_key,
     classify,
     flag_rows,
-    reject_counts,
 )
 from lakesift.operators.expectations import (
     Expectation,
@@ -106,11 +105,21 @@ def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
     return df.drop(VERDICT, *REASONS)
 
 
-def _write_flagged(flagged: DataFrame, path: str) -> None:
-    """One pass over the table: accepted rows and rejects go to different partitions."""
-    verdict = F.when(F.col("issue_type").isNull(), F.lit(CLEAN)).otherwise(F.col("issue_type"))
-    rows = flagged.withColumn(VERDICT, verdict)
+def _write_flagged(flagged: DataFrame, path: str) -> int:
+    """One pass over the table: accepted rows and rejects go to different partitions.
+
+    Returns the number of rejects, counted while the rows are written.
+    """
+    rejected = F.col("issue_type").isNotNull()
+    verdict = F.when(rejected, F.col("issue_type")).otherwise(F.lit(CLEAN))
+    seen = Observation(f"rows of {path}")
+    rows = flagged.withColumn(VERDICT, verdict).observe(seen, F.count_if(rejected).alias("rejected"))
     rows.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    return seen.get["rejected"]
+
+
+def _without_flags(df: DataFrame) -> DataFrame:
+    return df.withColumns({r: F.lit(None).cast("string") for r in REASONS})
 
 
 def load_silver(
@@ -131,19 +140,20 @@ def load_silver(
     groups = classify(list(tables), list(rules.primary_keys), list(rules.references))
     if groups["uncategorised"]:
         log.step("sort_tables", "warning", groups["uncategorised"])
+    run = (log.pipeline_id, log.run_id)
     silver: dict[str, DataFrame] = {}
 
     for t in groups["dimension"]:
         split = check_primary_key(tables[t], rules.primary_keys[t])
-        found = split.metrics.first()
-        if found["rejected_rows"]:
-            append_rejects(split.rejects, rejects_root, t, log.pipeline_id, log.run_id)
-        log.step(f"check_keys {t}", "success", f"{found['rejected_rows']} rows rejected")
-        clean = with_audit(split.clean, log.pipeline_id, log.run_id)
-        flags = {r: F.lit(None).cast("string") for r in REASONS}
-        _write_flagged(clean.withColumns(flags), f"{silver_root}/{t}")
+        rejected = split.metrics.first()["rejected_rows"]
+        if rejected:
+            append_rejects(split.rejects, rejects_root, t, *run)
+        _write_flagged(_without_flags(with_audit(split.clean, *run)), f"{silver_root}/{t}")
+        log.step(f"check_keys {t}", "success", f"{rejected} rows rejected")
         silver[t] = read_silver(spark, silver_root, t)
 
+    target = F.coalesce("failed_dimension", "failed_column")
+    kind = F.when(F.col("failed_dimension").isNotNull(), "orphans").otherwise("negatives")
     for t in rules.fact_order(groups["fact"]):
         refs = [
             Reference(d, silver[d], own, dim_key)
@@ -151,25 +161,16 @@ def load_silver(
         ]
         flagged = flag_rows(tables[t], refs, rules.non_negative.get(t, ()))
         path = f"{silver_root}/{t}"
-        _write_flagged(with_audit(flagged, log.pipeline_id, log.run_id), path)
-        written = spark.read.parquet(path).where(F.col(VERDICT) != CLEAN).drop(VERDICT)
-        reports = reject_counts(written).collect()
-        for r in reports:
-            target = r["failed_dimension"] or r["failed_column"]
-            suffix = "orphans" if r["failed_dimension"] else "negatives"
-            same = [F.col(c).eqNullSafe(F.lit(r[c])) for c in REASONS]
-            rows = written.where(same[0] & same[1] & same[2] & same[3] & same[4])
-            used = rows.drop("load_timestamp", "pipeline_id", "run_id", *[c for c in REASONS if r[c] is None])
-            key = f"{t}_{target}_{suffix}"
-            append_rejects(used, rejects_root, key, log.pipeline_id, log.run_id)
-        rejected = sum(r["n_rows"] for r in reports)
+        rejected = _write_flagged(with_audit(flagged, *run), path)
+        if rejected:
+            written = spark.read.parquet(path).where(F.col(VERDICT) != CLEAN).drop(VERDICT)
+            key = F.concat_ws("_", F.lit(t), target, kind)
+            append_rejects(written.drop("load_timestamp"), rejects_root, key, *run)
         log.step(f"check_rows {t}", "success", f"{rejected} rows rejected")
         silver[t] = read_silver(spark, silver_root, t)
 
     for t in groups["uncategorised"]:
-        flags = {r: F.lit(None).cast("string") for r in REASONS}
-        audited = with_audit(tables[t], log.pipeline_id, log.run_id)
-        _write_flagged(audited.withColumns(flags), f"{silver_root}/{t}")
+        _write_flagged(_without_flags(with_audit(tables[t], *run)), f"{silver_root}/{t}")
         silver[t] = read_silver(spark, silver_root, t)
     log.step("load_to_silver", "success", sorted(silver))
     return silver

@@ -12,6 +12,7 @@ def load_all() -> dict[str, Probe]:
         facts,
         ingest,
         joins,
+        layers,
         measures,
         profile,
         publish,

@@ -12,17 +12,14 @@ from lakesift.probes.views import (
     LINE_RATES_SQL,
     LINE_TOTALS_SQL,
     doubles,
+    line_amounts,
     line_fact,
     line_rates,
-    money,
 )
 
 
 def _totals(t):
-    lines = money(
-        t.lineitem.select(*LINE_GRAIN, "l_quantity", *LINE_METRICS), "l_extendedprice", "l_tax"
-    )
-    return aggregate_metrics(lines, LINE_GRAIN, LINE_METRICS, "l_quantity")
+    return aggregate_metrics(line_amounts(t), LINE_GRAIN, LINE_METRICS, "l_quantity")
 
 
 @probe("d1_metric_sums", LINE_TOTALS_SQL)

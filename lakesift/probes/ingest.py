@@ -143,13 +143,27 @@ def _landing(t: Tables) -> tuple[str, dict]:
 @probe(
     "a1_admitted_files",
     """
-    SELECT * FROM (VALUES ('customer.csv', 'customer'), ('events.csv', 'events'),
-      ('lineitem.csv', 'lineitem'), ('orders.csv', 'orders'), ('supplier.csv', 'supplier')) AS v(file, "table")
+    SELECT 'customer.csv' AS file, 'customer' AS "table", count(*) AS n_rows FROM customer
+    UNION ALL SELECT 'events.csv', 'events', count(*) FROM events
+    UNION ALL SELECT 'lineitem.csv', 'lineitem', count(*) FROM lineitem
+    UNION ALL SELECT 'orders.csv', 'orders', count(*) FROM orders
+    UNION ALL SELECT 'supplier.csv', 'supplier', 0
     """,
 )
 def a1(t):
+    """The admitted files and the rows each of them holds."""
     folder, registry = _landing(t)
-    return L.admit(L.list_landing(t.spark, folder), registry).select("file", "table")
+    admitted = L.admit(L.list_landing(t.spark, folder), registry).select("file", "table")
+    counts = [
+        L.read_inferred_csv(t.spark, f"{folder}/{n}.csv", infer=False).agg(
+            F.lit(f"{n}.csv").alias("file"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for n in registry
+    ]
+    rows = counts[0]
+    for c in counts[1:]:
+        rows = rows.unionByName(c)
+    return admitted.join(rows, "file")
 
 
 @probe(

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakesift.operators import profile as P
-from lakesift.operators.ordering import first_rows, top_k
+from lakesift.operators.ordering import first_rows, has_rows, top_k
 from lakesift.probes.registry import NAMES, probe, sql_round
 from lakesift.probes.views import LABELLED_SQL, labelled
 
@@ -233,6 +233,24 @@ def f2_top(t):
     return top_k(t.events, "user_id", 10)
 
 
+@probe(
+    "f3_existence",
+    """
+    SELECT 'debtors' AS what, count(*) > 0 AS present FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT 'free_parts', count(*) > 0 FROM part WHERE p_retailprice = 0
+    UNION ALL SELECT 'orders_without_lines', count(*) > 0 FROM orders
+      WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+    """,
+)
+def f3(t):
+    found = [
+        ("debtors", has_rows(t.customer.where("c_acctbal < 0"))),
+        ("free_parts", has_rows(t.part.where("p_retailprice = 0"))),
+        ("orders_without_lines", has_rows(_orders_with_lines(t).where("l_orderkey IS NULL"))),
+    ]
+    return t.spark.createDataFrame(found, "what string, present boolean")
+
+
 @probe(
     "i11_co_null",
     f"""

@@ -14,9 +14,18 @@ LINE_GRAIN = ["l_suppkey", "l_orderkey"]
 LINE_METRICS = ["l_linenumber", "l_extendedprice", "l_tax"]
 
 
-def money(df: DataFrame, *cols: str) -> DataFrame:
-    """Two-digit amounts as decimals, so that sums are exact in any order."""
-    return df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in cols})
+def money(df: DataFrame, *cols: str, digits: int = 18) -> DataFrame:
+    """Two-digit amounts as decimals, so that sums are exact in any order.
+
+    Up to eight digits, the sums still fit a 64-bit number and are twice as fast.
+    """
+    return df.withColumns({c: F.col(c).cast(f"decimal({digits},2)") for c in cols})
+
+
+def line_amounts(t: Tables) -> DataFrame:
+    """The lines with exact amounts, only the columns the line fact needs."""
+    lines = t.lineitem.select(*LINE_GRAIN, "l_quantity", *LINE_METRICS)
+    return money(lines, "l_extendedprice", "l_tax", digits=8)
 
 
 def doubles(df: DataFrame) -> DataFrame:
@@ -43,10 +52,7 @@ LABELLED_SQL = """
 
 def line_rates(t: Tables) -> DataFrame:
     """Sums and rates per supplier and order; quantity plays the part of time."""
-    lines = money(
-        t.lineitem.select(*LINE_GRAIN, "l_quantity", *LINE_METRICS), "l_extendedprice", "l_tax"
-    )
-    return doubles(rate_fact(lines, LINE_GRAIN, LINE_METRICS, "l_quantity", "total_minutes"))
+    return doubles(rate_fact(line_amounts(t), LINE_GRAIN, LINE_METRICS, "l_quantity", "total_minutes"))
 
 
 _TOTALS = {

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesift.functions.columns import with_reject_meta
@@ -18,11 +19,17 @@ REASON_SCHEMA = T.StructType(
 )
 
 
-def append_rejects(df: DataFrame, root: str, key: str, pipeline_id: str, run_id: str) -> str:
-    """Append rejected rows under their report key; later appends may add columns."""
-    path = f"{root.rstrip('/')}/report={PREFIX}{key}"
-    with_reject_meta(df, pipeline_id, run_id).write.mode("append").parquet(path)
-    return path
+def append_rejects(
+    df: DataFrame, root: str, key: str | Column, pipeline_id: str, run_id: str
+) -> None:
+    """Append rejected rows under their report key; later appends may add columns.
+
+    A key computed from the row spreads one frame over several reports in one job.
+    """
+    key = F.lit(key) if isinstance(key, str) else key
+    rows = with_reject_meta(df, pipeline_id, run_id)
+    rows = rows.withColumn("report", F.concat(F.lit(PREFIX), key))
+    rows.write.mode("append").partitionBy("report").parquet(root)
 
 
 def read_rejects(spark: SparkSession, root: str, key: str) -> DataFrame:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import pytest
 from conftest import plan, rows
 
+from lakesift.operators.dedupe import duplicate_rows, flag_dupes
 from lakesift.operators.joins import Lookup, enrich, in_set, join_dimension, matched, orphans
 
 
@@ -30,7 +32,7 @@ def test_in_set(frame):
 
 def test_star_has_two_roles_and_keys_first(frame):
     fact = frame([(1, 7, 8), (2, 8, 9)], "id int, away int, home int")
-    team = frame([(7, "seven"), (8, "eight")], "team string, name string".replace("team string", "team int"))
+    team = frame([(7, "seven"), (8, "eight")], "team int, name string")
     wide = enrich(
         fact,
         [Lookup(team, "away", "team", {"name": "away_name"}), Lookup(team, "home", "team", {"name": "home_name"})],
@@ -47,14 +49,40 @@ def test_text_dimension_key_keeps_the_fact_type(frame):
     assert rows(out) == [(1, "x")]
 
 
-def test_hot_key_of_a_shuffled_join_is_split(spark, conf):
-    """A third of all rows under one key: the run-time plan splits its partition."""
+@pytest.fixture
+def shuffled(conf):
+    """Joins shuffle, and a partition of some kilobytes already counts as skewed."""
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20000b")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000b")
-    fact = spark.range(0, 60000, 1, 8).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS v")
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of all rows has key 1."""
+    return spark.range(0, 60000, 1, 8).selectExpr("IF(id % 3 = 0, 1, id) AS k", "id AS v")
+
+
+def test_hot_key_of_a_star_join_is_split(spark, shuffled, hot):
     dim = spark.range(0, 60000).selectExpr("id AS k", "id * 2 AS w")
-    joined = join_dimension(fact, Lookup(dim, "k", "k", {"w": "w"}), "left")
+    joined = join_dimension(hot, Lookup(dim, "k", "k", {"w": "w"}), "left")
     assert "skew=true" in plan(joined)
     assert joined.count() == 60000
+
+
+def test_hot_key_of_a_membership_join_is_split(spark, shuffled, hot):
+    dim = spark.range(0, 30000).selectExpr("id % 15000 AS k")
+    kept, lost = matched(hot, dim, "k"), orphans(hot, dim, "k")
+    assert "skew=true" in plan(kept)
+    assert "skew=true" in plan(orphans(hot, dim.where("k <> 1"), "k"))
+    want = 20000 + sum(1 for i in range(15000) if i % 3)
+    assert (kept.count(), lost.count()) == (want, 60000 - want)
+
+
+def test_hot_key_of_a_duplicate_search_is_split(spark, shuffled, hot):
+    twice = hot.unionByName(hot)
+    found = duplicate_rows(twice, ["k"])
+    assert "skew=true" in plan(found)
+    assert found.count() == 120000
+    assert flag_dupes(hot, ["k"]).where("k = 1 AND key_count = 20001").count() == 20001
