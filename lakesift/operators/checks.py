@@ -60,13 +60,17 @@ def check_primary_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     """Rejects: all rows of repeated keys. Clean: one row per key.
 
     Only key columns are shuffled to find the repeated keys, which are written
-    to a small table. Rows with a unique key pass through the anti join without
-    a shuffle as long as that table is small enough to broadcast; only the rows
-    of repeated keys are sorted to pick a survivor.
+    to a table. If that is small enough to broadcast, rows with a unique key
+    pass through an anti join without a shuffle and only the rows of repeated
+    keys are sorted to pick a survivor. Otherwise all rows are, after each map
+    task has dropped what cannot survive.
     """
     dups = repeated_keys(df, keys)
     repeated = duplicate_rows(df, keys, dups)
-    clean = unique_rows(df, keys, dups).unionByName(keep_best(repeated, keys, order))
+    if fits_broadcast(dups):
+        clean = unique_rows(df, keys, dups).unionByName(keep_best(repeated, keys, order))
+    else:
+        clean = keep_best(df, keys, order)
     metrics = dups.agg(
         F.count(F.lit(1)).alias("duplicate_keys"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rejected_rows"),

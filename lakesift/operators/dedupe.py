@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakesift.functions.columns import composite_key
 from lakesift.operators.keys import prefixed, same_keys_condition
 from lakesift.operators.ordering import MAX_GROUP_ROWS, number_rows, total_order
-from lakesift.session import materialize
+from lakesift.session import fits_broadcast, materialize
 
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 1_000_000
@@ -123,8 +123,17 @@ def disambiguate(
     out: str = "row_key",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Make a repeated composite key unique by adding a running number to it."""
-    numbered = number_rows(df, keys, order, "_rn", max_group_rows)
+    """Make a repeated composite key unique by adding a running number to it.
+
+    Where few keys repeat, only their rows are sorted; all others are number 1.
+    """
+    dups = repeated_keys(df, keys)
+    if fits_broadcast(dups):
+        rest = unique_rows(df, keys, dups).withColumn("_rn", F.lit(1).cast("bigint"))
+        repeated = duplicate_rows(df, keys, dups)
+        numbered = rest.unionByName(number_rows(repeated, keys, order, "_rn", max_group_rows))
+    else:
+        numbered = number_rows(df, keys, order, "_rn", max_group_rows)
     key = F.concat_ws("_", composite_key(keys), F.col("_rn").cast("string"))
     return numbered.withColumn(out, key).drop("_rn")
 

@@ -114,7 +114,9 @@ def _write_flagged(flagged: DataFrame, path: str) -> int:
     verdict = F.when(rejected, F.col("issue_type")).otherwise(F.lit(CLEAN))
     seen = Observation(f"rows of {path}")
     rows = flagged.withColumn(VERDICT, verdict).observe(seen, F.count_if(rejected).alias("rejected"))
-    rows.write.mode("overwrite").partitionBy(VERDICT).parquet(path)
+    # Static: partitions of an earlier run must not survive.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(VERDICT).parquet(path)
     return seen.get["rejected"]
 
 
@@ -140,6 +142,8 @@ def load_silver(
     groups = classify(list(tables), list(rules.primary_keys), list(rules.references))
     if groups["uncategorised"]:
         log.step("sort_tables", "warning", groups["uncategorised"])
+        for t in groups["uncategorised"]:
+            log.add("sort_tables", "uncategorised", t)
     run = (log.pipeline_id, log.run_id)
     silver: dict[str, DataFrame] = {}
 
@@ -172,7 +176,9 @@ def load_silver(
     for t in groups["uncategorised"]:
         _write_flagged(_without_flags(with_audit(tables[t], *run)), f"{silver_root}/{t}")
         silver[t] = read_silver(spark, silver_root, t)
-    log.step("load_to_silver", "success", sorted(silver))
+    for t in sorted(silver):
+        log.add("load_to_silver", "tables", t)
+    log.step("load_to_silver", "success")
     return silver
 
 

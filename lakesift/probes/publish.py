@@ -10,7 +10,7 @@ from lakesift.probes.views import LINE_FACT_SQL, line_fact
 from lakesift.session import scratch
 from lakesift.sources.published import Shelf, check_complete, upsert, verify_loaded
 from lakesift.sources.rejects import append_rejects, read_rejects
-from lakesift.sources.runlog import RunLog, latest, read_log
+from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
 
 FIRST = datetime(2024, 1, 1, 12, 0, 0, tzinfo=timezone.utc)
 SECOND = datetime(2024, 1, 2, 12, 0, 0, tzinfo=timezone.utc)
@@ -188,6 +188,33 @@ def i21(t):
     return check_complete(report, [*tables, "rich_customers"])
 
 
+@probe(
+    "k1_run_log_entries",
+    " UNION ALL ".join(
+        f"""SELECT 'load' AS step, 'rows of {n}: ' || count(*) AS entry, {i}::bigint AS errors,
+                   NULL::varchar AS status FROM {n}"""
+        for i, n in ((1, "orders"), (1, "customer"))
+    )
+    + " UNION ALL SELECT 'load', 'invoices', 1, 'TableMissing'",
+)
+def k1_entries(t):
+    """Lists and errors of a step, recorded by two jobs of one run."""
+    path = scratch(t.spark, "runlog")
+    for n in ("orders", "customer", "invoices"):
+        log = RunLog("p1", "r1", path)
+        if n == "invoices":
+            log.error("load", "TableMissing", n)
+        else:
+            log.add("load", "loaded", f"rows of {n}: {getattr(t, n).count()}")
+        log.flush(t.spark)
+    stored = read_log(t.spark, path)
+    found = entries(stored, "load", "loaded").unionByName(entries(stored, "load", "error"))
+    report = step_report(stored).select("step", "errors")
+    return report.where("step = 'load'").join(found.withColumn("step", F.lit("load")), "step").select(
+        "step", "entry", "errors", "status"
+    )
+
+
 @probe(
     "k1_run_log",
     """

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from lakesift.operators.dedupe import keep_best
 from lakesift.operators.keys import prefixed, same_keys_condition
-from lakesift.session import exists
+from lakesift.session import exists, fits_broadcast
 from lakesift.sources.catalog import stamp
 
 AUDIT_SCHEMA = T.StructType(
@@ -148,13 +148,16 @@ class Shelf:
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Base with the rows of delta merged in; per key the first row in ``order`` wins.
+    """Base, unique on its keys, with the rows of delta merged in.
 
-    Only base rows whose key occurs in the delta compete with it. All others
-    pass through an anti join, which a small delta turns into a broadcast, so
-    the base is not shuffled for a small change.
+    Per key the first row in ``order`` wins. If the keys of the delta are small
+    enough to broadcast, only base rows with such a key compete and all others
+    pass through an anti join without a shuffle. A larger delta is merged in one
+    shuffle of everything.
     """
     touched = prefixed(delta.select(*keys).distinct(), keys, "_u_")
+    if not fits_broadcast(touched):
+        return keep_best(base.unionByName(delta), keys, order)
     on = same_keys_condition(keys, "_u_")
     rivals = base.join(touched, on, "left_semi").unionByName(delta)
     return base.join(touched, on, "left_anti").unionByName(keep_best(rivals, keys, order))

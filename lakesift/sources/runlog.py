@@ -17,18 +17,24 @@ LOG_SCHEMA = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("seq", T.LongType()),
         T.StructField("step", T.StringType()),
+        T.StructField("field", T.StringType()),
         T.StructField("status", T.StringType()),
         T.StructField("entry", T.StringType()),
         T.StructField("at", T.TimestampType()),
     ]
 )
 
-STARTED, ENDED = "started", "ended"
+RUN = ["pipeline_id", "run_id"]
+STARTED, ENDED, FAILED = "started", "ended", "failed"
+STATUS, ERROR = "status", "error"
 
 
 @dataclass
 class RunLog:
-    """Collects the steps of one run; ``flush`` appends them under ``path``."""
+    """Collects the steps of one run; ``flush`` appends them under ``path``.
+
+    A run may be continued by another job: give it the same ids and path.
+    """
 
     pipeline_id: str
     run_id: str
@@ -39,15 +45,25 @@ class RunLog:
     def __post_init__(self) -> None:
         self.step("run", STARTED)
 
-    def step(self, name: str, status: str, entry: object = None) -> None:
-        """Record a step; a later record of the same step replaces it in :func:`latest`."""
+    def _record(self, step: str, what: str, status: str | None, entry: object) -> None:
         text = None if entry is None else str(entry)
         at = datetime.now(timezone.utc)
-        self.rows.append((self.pipeline_id, self.run_id, len(self.rows), name, status, text, at))
+        seq = len(self.rows)
+        self.rows.append((self.pipeline_id, self.run_id, seq, step, what, status, text, at))
+
+    def step(self, name: str, status: str, entry: object = None) -> None:
+        """Record a status; a later one of the same step replaces it in :func:`latest`."""
+        self._record(name, STATUS, status, entry)
+
+    def add(self, step: str, what: str, entry: object) -> None:
+        """Add one entry to a list of a step, for example a loaded table."""
+        self._record(step, what, None, entry)
 
-    def error(self, name: str, exc: BaseException) -> None:
-        """Record a failed step by the class of its error."""
-        self.step(name, "failed", type(exc).__name__)
+    def error(self, step: str, exc: BaseException | str, entry: object = None) -> None:
+        """Record a failed step and its error class with what it happened to."""
+        name = exc if isinstance(exc, str) else type(exc).__name__
+        self._record(step, ERROR, name, entry)
+        self.step(step, FAILED, name)
 
     def end(self) -> None:
         self.step("run", ENDED)
@@ -69,5 +85,24 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest(log: DataFrame) -> DataFrame:
-    """The last record of every step of every run."""
-    return keep_best(log, ["pipeline_id", "run_id", "step"], [F.col("seq").desc()])
+    """The last status of every step of every run."""
+    statuses = log.where(F.col("field") == STATUS).drop("field")
+    return keep_best(statuses, [*RUN, "step"], [F.col("at").desc(), F.col("seq").desc()])
+
+
+def step_report(log: DataFrame) -> DataFrame:
+    """Per step: first and last record, errors, and entries in its lists."""
+    kind = F.col("field")
+    return log.groupBy(*RUN, "step").agg(
+        F.min("at").alias("started_at"),
+        F.max("at").alias("ended_at"),
+        F.count_if(kind == ERROR).alias("errors"),
+        F.count_if(~kind.isin(STATUS, ERROR)).alias("entries"),
+    )
+
+
+def entries(log: DataFrame, step: str, what: str) -> DataFrame:
+    """The list of one step, or its errors with their classes."""
+    return log.where((F.col("step") == step) & (F.col("field") == what)).select(
+        *RUN, "seq", "status", "entry"
+    )

@@ -12,7 +12,9 @@ from lakesift.operators import expectations as X
 KEYED = [(None, 1), (None, 2), (1, 3), (1, 4), (2, 5)]
 
 
-def test_primary_key(frame):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_primary_key(frame, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     split = K.check_primary_key(frame(KEYED, "k int, v int"), ["k"], [F.col("v").desc()])
     assert rows(split.rejects) == [(None, 1, "pkey_dupe"), (None, 2, "pkey_dupe"), (1, 3, "pkey_dupe"), (1, 4, "pkey_dupe")]
     assert rows(split.clean) == [(None, 2), (1, 4), (2, 5)]

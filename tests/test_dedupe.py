@@ -66,7 +66,9 @@ def test_number_copies(frame, per_task):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
-def test_disambiguate(frame):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_disambiguate(frame, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     keys = U.disambiguate(frame(ROWS, SCHEMA), ["k"], [F.col("v").desc_nulls_last()])
     got = {r["w"]: r["row_key"] for r in keys.collect()}
     assert got == {"b": "1_1", "a": "1_2", "c": "1_3", "d": "2_1", "f": "\\N_1", "e": "\\N_2", "g": "3_1"}

@@ -13,7 +13,7 @@ from lakesift.sources import catalog as C
 from lakesift.sources import landing as L
 from lakesift.sources.published import Shelf
 from lakesift.sources.rejects import read_reasons
-from lakesift.sources.runlog import RunLog
+from lakesift.sources.runlog import RunLog, latest
 
 TS = datetime(2024, 5, 1, 8, tzinfo=timezone.utc)
 
@@ -121,11 +121,11 @@ def test_wide_facts(lake):
     assert rows(goalie, "saves_per_60", "venue") == [(30.0, "Away")]
 
 
-def test_load_report_and_log(lake):
+def test_load_report_and_log(spark, lake):
     assert rows(lake["report"], "table_name", "row_count", "status") == [
         ("fact_goalie_stats_per_60", 1, "PASS"), ("fact_skater_stats_per_60", 2, "PASS"),
     ]
-    steps = {r[3]: r[4] for r in lake["log"].rows}
+    steps = {r["step"]: r["status"] for r in latest(lake["log"].frame(spark)).collect()}
     assert steps["gate"] == "success"
     assert steps["suite fact_skater_stats_per_60"] == "success"
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakesift.sources.published import PublishError, Shelf, check_complete, upsert, verify_loaded
 from lakesift.sources.rejects import append_rejects, read_reasons, read_rejects
-from lakesift.sources.runlog import RunLog, latest, read_log
+from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
 
 DAYS = [datetime(2024, 1, d, 12, tzinfo=timezone.utc) for d in range(1, 6)]
 
@@ -69,7 +69,9 @@ def test_rejects_accept_new_columns(spark, frame, tmp_path):
     assert read_reasons(spark, root).select("report").distinct().collect()[0][0] == "rejected_t"
 
 
-def test_upsert(frame):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_upsert(frame, conf, threshold):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     base = frame([(1, 1, "a"), (2, 1, "b"), (3, 5, "c")], "k int, ts int, v string")
     delta = frame([(2, 2, "B"), (2, 3, "BB"), (3, 4, "old"), (4, 1, "d")], "k int, ts int, v string")
     got = upsert(base, delta, ["k"], [F.col("ts").desc()])
@@ -98,12 +100,18 @@ def test_run_log(spark, tmp_path):
     log.step("load", "started")
     log.flush(spark)
     log.step("load", "success", 5)
-    log.error("check", ValueError("x"))
+    log.add("load", "tables", "a")
+    log.add("load", "tables", "b")
+    log.error("check", ValueError("x"), "row 7")
     log.end()
     log.flush(spark)
     log.flush(spark)
     stored = read_log(spark, log.path)
-    assert stored.count() == 5
+    assert stored.count() == 8
+    assert rows(entries(stored, "load", "tables"), "entry") == [("a",), ("b",)]
+    assert rows(entries(stored, "check", "error"), "status", "entry") == [("ValueError", "row 7")]
+    report = {r["step"]: (r["errors"], r["entries"]) for r in step_report(stored).collect()}
+    assert report == {"run": (0, 0), "load": (0, 2), "check": (1, 0)}
     got = {r["step"]: (r["status"], r["entry"]) for r in latest(stored).collect()}
     assert got == {"run": ("ended", None), "load": ("success", "5"), "check": ("failed", "ValueError")}
     assert rows(latest(log.frame(spark)).drop("at")) == rows(latest(stored).drop("at"))
