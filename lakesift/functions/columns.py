@@ -14,6 +14,8 @@ ColumnOrName = Column | str
 # and make ('a', null) equal to ('a').
 NULL_PART = "\\N"
 
+NUMBERS = ("tinyint", "smallint", "int", "integer", "bigint", "long", "float", "real", "double")
+
 
 def _c(col: ColumnOrName) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -61,6 +63,22 @@ def with_row_id(df: DataFrame, col: str = "index", stable: Sequence[str] | None
 
 # -- casts and cleaning ------------------------------------------------------
 
+# How a number can begin, and how a floating one can besides.
+_DIGITS = r"^[\s\p{Cntrl}]*[+-]?[.0-9]"
+_FLOATING = _DIGITS + r"|^[\s\p{Cntrl}]*[+-]?(?i:inf|nan)"
+
+
+def parse_number(text: ColumnOrName, to: T.DataType | str) -> Column:
+    """Text to number; malformed text becomes null.
+
+    ``try_cast`` raises and catches an error inside for every malformed value,
+    which is slow where many are, so text that cannot begin a number is set
+    aside first.
+    """
+    name = to if isinstance(to, str) else to.simpleString()
+    shape = _FLOATING if name in ("float", "double", "real") else _DIGITS
+    return F.when(_c(text).rlike(shape), _c(text)).try_cast(to)
+
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns; the others, the order and nulls stay as they are.
@@ -73,7 +91,8 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         if name not in types:
             return F.col(name)
         if isinstance(fields[name], T.StringType):
-            return F.col(name).try_cast(types[name]).alias(name)
+            parse = parse_number if types[name] in NUMBERS else Column.try_cast
+            return parse(F.col(name), types[name]).alias(name)
         return F.col(name).cast(types[name]).alias(name)
 
     return df.select(*[one(name) for name in df.columns])
@@ -82,7 +101,7 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def clean_numeric(col: ColumnOrName, tokens: Sequence[str] = ("NA",), to: str = "double") -> Column:
     """Text to number: null tokens and malformed text become null."""
     text = _c(col).cast("string")
-    return F.when(text.isin(*tokens), F.lit(None)).otherwise(text.try_cast(to)).cast(to)
+    return F.when(~text.isin(*tokens), parse_number(text, to))
 
 
 def to_ts(col: ColumnOrName, fmt: str | None = None) -> Column:

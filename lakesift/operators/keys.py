@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesift.functions.columns import parse_number
+
 
 def type_of(df: DataFrame, col: str) -> T.DataType:
     return df.schema[col].dataType
@@ -17,12 +19,12 @@ def type_of(df: DataFrame, col: str) -> T.DataType:
 def normalised(df: DataFrame, col: str, other: T.DataType) -> Column:
     """``col`` ready to be compared with a key of type ``other``.
 
-    Text compared with a number is parsed with ``try_cast``: a malformed key
-    becomes null, matches nothing, and never stops the job.
+    Text compared with a number is parsed: a malformed key becomes null, matches
+    nothing, and never stops the job.
     """
     own = type_of(df, col)
     if isinstance(own, T.StringType) and isinstance(other, T.NumericType):
-        return F.col(col).try_cast(other)
+        return parse_number(col, other)
     return F.col(col)
 
 

@@ -120,8 +120,9 @@ def _write_flagged(flagged: DataFrame, path: str) -> int:
     return seen.get["rejected"]
 
 
-def _without_flags(df: DataFrame) -> DataFrame:
-    return df.withColumns({r: F.lit(None).cast("string") for r in REASONS})
+def _write_clean(df: DataFrame, path: str) -> None:
+    """A table without rejects: its only partition is the accepted one."""
+    df.write.mode("overwrite").parquet(f"{path}/{VERDICT}={CLEAN}")
 
 
 def load_silver(
@@ -152,7 +153,7 @@ def load_silver(
         rejected = split.metrics.first()["rejected_rows"]
         if rejected:
             append_rejects(split.rejects, rejects_root, t, *run)
-        _write_flagged(_without_flags(with_audit(split.clean, *run)), f"{silver_root}/{t}")
+        _write_clean(with_audit(split.clean, *run), f"{silver_root}/{t}")
         log.step(f"check_keys {t}", "success", f"{rejected} rows rejected")
         silver[t] = read_silver(spark, silver_root, t)
 
@@ -174,7 +175,7 @@ def load_silver(
         silver[t] = read_silver(spark, silver_root, t)
 
     for t in groups["uncategorised"]:
-        _write_flagged(_without_flags(with_audit(tables[t], *run)), f"{silver_root}/{t}")
+        _write_clean(with_audit(tables[t], *run), f"{silver_root}/{t}")
         silver[t] = read_silver(spark, silver_root, t)
     for t in sorted(silver):
         log.add("load_to_silver", "tables", t)

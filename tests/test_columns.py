@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -42,6 +43,15 @@ def test_clean_numeric(frame):
     assert rows(df.select(C.clean_numeric("a"))) == [(None,)] * 4 + [(1.5,)]
 
 
+@pytest.mark.parametrize("to", ["int", "bigint", "double", "float", "decimal(10,2)"])
+def test_parse_number_equals_try_cast(frame, to):
+    texts = ["1", " 7 ", "+3", "-4", "1.5", ".5", "5.", "1e3", "x1", "1x", "", " ", "NA", "NaN", "inf",
+             "-Infinity", "1d", "0x1", "99999999999999999999", "\t8\n", "--1", None]
+    df = frame([(t,) for t in texts], "a string")
+    got = df.select(C.parse_number("a", to).cast("string").alias("p"), F.col("a").try_cast(to).cast("string").alias("t"))
+    assert [r["p"] for r in got.collect()] == [r["t"] for r in got.collect()]
+
+
 def test_to_ts(frame):
     df = frame([("2020-01-02 03:04:05",), ("junk",), (None,)], "a string")
     assert rows(df.select(C.to_ts("a"))) == [(None,), (None,), (datetime(2020, 1, 2, 3, 4, 5),)]
