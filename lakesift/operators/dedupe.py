@@ -56,7 +56,7 @@ def flag_dupes(df: DataFrame, keys: Sequence[str], out: str = "key_count") -> Da
 
 
 def keep_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the first in ``order``, ties broken by all columns.
+    """One row per key: the first in ``order``, ties settled by the row's content.
 
     The filter on row number 1 lets the planner keep one row per key on the map
     side already, so a hot key is reduced before the shuffle.

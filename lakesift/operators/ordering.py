@@ -16,9 +16,15 @@ MAX_GROUP_ROWS = 2_000_000
 MAX_PARTITIONS = 100_000
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A number made of the whole row: short to compare, equal in every run."""
+    return F.xxhash64(*sortable(df))
+
+
 def total_order(df: DataFrame, order: Sequence[Column]) -> list[Column]:
-    """``order`` completed by every sortable column, so equal results in every run."""
-    return [*order, *[F.col(c).asc_nulls_first() for c in sortable(df)]]
+    """``order`` completed by the row's content, so that every run picks the same rows."""
+    rest = [F.col(c).asc_nulls_first() for c in sortable(df)]
+    return [*order, content_hash(df).asc(), *rest]
 
 
 def running_total(
@@ -31,29 +37,34 @@ def running_total(
 ) -> DataFrame:
     """Running sum of ``weight`` (1 by default) per key in a total order.
 
-    One count over the key columns finds the largest group. Up to
-    ``max_group_rows`` a plain window does the work. Beyond it the rows are
-    range-partitioned over keys *and* order, which spreads a hot key over many
-    tasks; each partition numbers its own rows and adds what earlier partitions
-    hold of the same key. Only a partition's first key can reach back, so the
-    offsets number at most one row per partition and are safe to broadcast.
+    Ties in ``order`` are settled by the row's content. One count over the key
+    columns finds the largest group. Up to ``max_group_rows`` a plain window does
+    the work. Beyond it the rows are range-partitioned over keys *and* order,
+    which spreads a hot key over many tasks; each partition numbers its own rows
+    and adds what earlier partitions hold of the same key. Only a partition's
+    first key can reach back, so the offsets number at most one row per partition
+    and are safe to broadcast. The rows are stored before and after the
+    partitioning: a lost executor then repeats neither the row ids that split
+    equal rows nor the choice of ranges.
     """
     amount = F.lit(1) if weight is None else F.col(weight)
-    ordered = total_order(df, order)
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     size = groups.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
     upto_here = (Window.unboundedPreceding, Window.currentRow)
     if (size["largest"] or 0) <= max_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*ordered).rowsBetween(*upto_here)
+        window = Window.partitionBy(*keys).orderBy(*total_order(df, order)).rowsBetween(*upto_here)
         return df.withColumn(out, F.sum(amount).over(window))
 
-    tied = df.withColumn("_tie", F.monotonically_increasing_id())
-    by = [*[F.col(k) for k in keys], *ordered, F.col("_tie")]
+    tied = materialize(
+        df.withColumns({"_hash": content_hash(df), "_tie": F.monotonically_increasing_id()}),
+        "tied",
+    )
+    by = [*order, F.col("_hash").asc(), F.col("_tie").asc()]
     n_parts = max(
         int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
         min(-(-size["total"] // max_group_rows), MAX_PARTITIONS),
     )
-    ranged = tied.repartitionByRange(n_parts, *by)
+    ranged = tied.repartitionByRange(n_parts, *[F.col(k) for k in keys], *by)
     parts = materialize(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
 
     earlier = (
@@ -69,7 +80,7 @@ def running_total(
         .drop("_n")
     )
     on = [*keys, "_part"]
-    window = Window.partitionBy(*on).orderBy(*ordered, "_tie").rowsBetween(*upto_here)
+    window = Window.partitionBy(*on).orderBy(*by).rowsBetween(*upto_here)
     numbered = parts.withColumn("_here", F.sum(amount).over(window))
     return numbered.join(
         F.broadcast(prefixed(offsets, on, "_o_")), same_keys_condition(on, "_o_"), "left"
@@ -85,7 +96,7 @@ def number_rows(
     out: str = "row_number",
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """1, 2, 3, ... per key; ties are broken by the remaining columns."""
+    """1, 2, 3, ... per key; ties are settled by the row's content."""
     return running_total(df, keys, order, None, out, max_group_rows)
 
 

@@ -16,8 +16,13 @@ _ALL = (
 _ORDER_SQL = f"l_shipdate DESC NULLS LAST, {_ALL}"
 
 
+def _natural(*first):
+    """An order with every column in it, as the SQL has it."""
+    return [*first, *[F.col(c).asc_nulls_first() for c in _ALL.split(", ")]]
+
+
 def _latest():
-    return U.latest_complete("l_shipdate")
+    return _natural(*U.latest_complete("l_shipdate"))
 
 
 @probe(
@@ -84,7 +89,7 @@ def e4(t):
     """,
 )
 def e4_key(t):
-    numbered = number_rows(t.lineitem, LINE_KEY, [F.col("l_shipdate").asc()], "copy_number")
+    numbered = number_rows(t.lineitem, LINE_KEY, _natural(F.col("l_shipdate").asc()), "copy_number")
     return numbered.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "copy_number"
     )
@@ -101,7 +106,9 @@ def e4_key(t):
 def e4_hot(t):
     """Few keys with very many rows each: every group is spread over range partitions."""
     events = t.events.select("event_id", "event_type", "ts")
-    return number_rows(events, ["event_type"], [F.col("ts").asc()], "seq", max_group_rows=500)
+    return number_rows(
+        events, ["event_type"], [F.col("ts").asc(), F.col("event_id").asc()], "seq", max_group_rows=500
+    )
 
 
 @probe(
@@ -130,7 +137,7 @@ def g1(t):
     """,
 )
 def g2(t):
-    return U.dedupe(t.lineitem, ["l_orderkey"], [F.col("l_linenumber").desc()])
+    return U.dedupe(t.lineitem, ["l_orderkey"], _natural(F.col("l_linenumber").desc()))
 
 
 @probe(

@@ -25,11 +25,13 @@ def append_rejects(
     """Append rejected rows under their report key; later appends may add columns.
 
     A key computed from the row spreads one frame over several reports in one job.
+    Rejects come in small numbers from many tasks, so they are rebalanced into
+    files of a sensible size; a report with very many rows still gets several.
     """
     key = F.lit(key) if isinstance(key, str) else key
     rows = with_reject_meta(df, pipeline_id, run_id)
     rows = rows.withColumn("report", F.concat(F.lit(PREFIX), key))
-    rows.write.mode("append").partitionBy("report").parquet(root)
+    rows.hint("rebalance", "report").write.mode("append").partitionBy("report").parquet(root)
 
 
 def read_rejects(spark: SparkSession, root: str, key: str) -> DataFrame:

@@ -79,13 +79,14 @@ def test_disambiguate(frame, conf, threshold):
 def test_running_total_is_the_same_on_both_paths(frame, data):
     """The range-partitioned form against brute force, with many ties and hot keys."""
     df = frame(data, "k int, v int, n int")
-    got = running_total(df, ["k"], [F.col("v").desc()], "n", "t", max_group_rows=8)
+    order = [F.col("v").desc(), F.col("n").asc()]
+    got = running_total(df, ["k"], order, "n", "t", max_group_rows=8)
     groups, want = defaultdict(int), []
     for k, v, n in sorted(data, key=lambda r: (r[0], -r[1], r[2])):
         groups[k] += n
         want.append((k, v, n, groups[k]))
     assert rows(got) == sorted(want)
-    plain = running_total(df, ["k"], [F.col("v").desc()], "n", "t")
+    plain = running_total(df, ["k"], order, "n", "t")
     assert rows(plain) == sorted(want)
 
 
@@ -100,10 +101,25 @@ def test_number_rows_of_a_hot_key(spark):
 
 def test_number_all_rows_without_keys(spark):
     df = spark.range(0, 5000, 1, 5).selectExpr("id % 7 AS a", "id AS b")
-    got = number_rows(df, [], [F.col("a").asc()], "n", max_group_rows=500)
+    got = number_rows(df, [], [F.col("a").asc(), F.col("b").asc()], "n", max_group_rows=500)
     assert [r["n"] for r in got.orderBy("a", "b").collect()] == list(range(1, 5001))
 
 
+def test_hot_equal_rows_are_spread(spark):
+    """A third of the rows are copies of one row; their numbers are still 1 to n."""
+    df = spark.range(0, 9000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id) AS k", "0 AS v")
+    got = number_rows(df, ["k"], [F.col("v").asc()], "n", max_group_rows=500)
+    assert sorted(r["n"] for r in got.where("k = -1").collect()) == list(range(1, 3001))
+
+
+def test_ties_are_settled_alike_on_both_paths(spark):
+    df = spark.range(0, 3000, 1, 3).selectExpr("id % 2 AS k", "id % 3 AS v", "id AS w")
+    order = [F.col("v").asc()]
+    assert rows(number_rows(df, ["k"], order, "n", 300)) == rows(number_rows(df, ["k"], order, "n"))
+    first = number_rows(df, ["k"], order, "n", 300).where("n = 1").drop("n")
+    assert rows(first) == rows(U.keep_best(df, ["k"], order))
+
+
 def test_offsets_of_the_distributed_numbering_are_broadcast(spark):
     df = spark.range(0, 5000, 1, 5).selectExpr("id % 2 AS k", "id AS b")
     assert "BroadcastHashJoin" in plan(number_rows(df, ["k"], [F.col("b").asc()], max_group_rows=500))
