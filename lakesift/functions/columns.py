@@ -63,9 +63,10 @@ def with_row_id(df: DataFrame, col: str = "index", stable: Sequence[str] | None
 
 # -- casts and cleaning ------------------------------------------------------
 
-# How a number can begin, and how a floating one can besides.
+# How a number can begin, how a floating one can besides, and how a timestamp can.
 _DIGITS = r"^[\s\p{Cntrl}]*[+-]?[.0-9]"
 _FLOATING = _DIGITS + r"|^[\s\p{Cntrl}]*[+-]?(?i:inf|nan)"
+_MOMENT = r"^[\s\p{Cntrl}]*[+-]?[T0-9]"
 
 
 def parse_number(text: ColumnOrName, to: T.DataType | str) -> Column:
@@ -105,8 +106,13 @@ def clean_numeric(col: ColumnOrName, tokens: Sequence[str] = ("NA",), to: str =
 
 
 def to_ts(col: ColumnOrName, fmt: str | None = None) -> Column:
-    """Text to timestamp without time zone; malformed text becomes null."""
-    return F.try_to_timestamp(_c(col), F.lit(fmt) if fmt else None).cast("timestamp_ntz")
+    """Text to timestamp without time zone; malformed text becomes null.
+
+    Without a format, text that cannot begin a date or a time is set aside first.
+    """
+    if fmt:
+        return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
+    return F.when(_c(col).rlike(_MOMENT), _c(col)).try_cast("timestamp_ntz")
 
 
 def with_scaled(df: DataFrame, src: str, dst: str, divisor: float) -> DataFrame:

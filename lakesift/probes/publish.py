@@ -139,19 +139,18 @@ def a17(t):
     )
 
 
-@probe(
-    "j6_upsert",
-    """
+_UPSERT = """
     SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice,
            o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_orderpriority
     FROM orders WHERE o_orderpriority = '1-URGENT'
     UNION ALL SELECT * FROM orders WHERE o_orderpriority <> '1-URGENT'
     UNION ALL SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
     FROM orders WHERE o_orderstatus = 'P'
-    """,
-)
-def j6(t):
-    """Changed urgent orders and new pending ones merged into the orders."""
+    """
+
+
+def _delta(t):
+    """Changed urgent orders and new pending ones."""
     changed = t.orders.where("o_orderpriority = '1-URGENT'").withColumns(
         {
             "o_orderstatus": F.lit("X"),
@@ -160,8 +159,22 @@ def j6(t):
         }
     )
     new = t.orders.where("o_orderstatus = 'P'").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
-    delta = changed.unionByName(new)
-    return upsert(t.orders, delta, ["o_orderkey"], [F.col("o_orderdate").desc()])
+    return changed.unionByName(new)
+
+
+@probe("j6_upsert", _UPSERT)
+def j6(t):
+    return upsert(t.orders, _delta(t), ["o_orderkey"], [F.col("o_orderdate").desc()])
+
+
+@probe("j6_initial_and_incremental", _UPSERT)
+def j6_loads(t):
+    """The orders as initial load, the delta as the load after it, both published."""
+    shelf, order = _shelf(t), [F.col("o_orderdate").desc()]
+    for rows, run, ts in ((t.orders, "r1", FIRST), (_delta(t), "r2", SECOND)):
+        name = shelf.stage_increment(rows, "orders", ["o_orderkey"], order, ts)
+        shelf.publish({"orders": name}, "p1", run, ts)
+    return shelf.read_published("orders")
 
 
 @probe(

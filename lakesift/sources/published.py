@@ -102,6 +102,33 @@ class Shelf:
             raise PublishError(f"table {table!r} was never published")
         return self.read_version(version)
 
+    def snapshot(self, tables: Sequence[str]) -> dict[str, str]:
+        """Names of the versions that are current now, one per published table.
+
+        Versions never change, so each name stays readable as it is, whatever is
+        published later.
+        """
+        names = {t: self.current(t) for t in tables}
+        return {t: n for t, n in names.items() if n is not None}
+
+    def stage_increment(
+        self,
+        delta: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        order: Sequence,
+        ts: datetime | None = None,
+    ) -> str:
+        """Stage the published table with the delta merged in.
+
+        The initial load, before anything was published, takes the delta alone,
+        one row per key.
+        """
+        before = self.current(table)
+        if before is None:
+            return self.stage(keep_best(delta, keys, order), table, ts)
+        return self.stage(upsert(self.read_version(before), delta, keys, order), table, ts)
+
     def _replacement(self, table: str, staged: str, before: str | None, ts: datetime) -> str:
         """The version that keeps the target's columns, chosen by name.
 

@@ -57,6 +57,19 @@ def test_to_ts(frame):
     assert rows(df.select(C.to_ts("a"))) == [(None,), (None,), (datetime(2020, 1, 2, 3, 4, 5),)]
 
 
+def test_to_ts_equals_try_cast(frame):
+    texts = ["2020-01-02", "2020-1-2 3:4:5.678", " 2020-01-02T03:04:05 ", "2020", "2020-13-01", "NA", "",
+             "+2020-01-01", "-0001-01-01", "20200102", "12/31/2020", "2020-01-02 03:04:05Z", "today", None]
+    df = frame([(t,) for t in texts], "a string")
+    both = df.select(C.to_ts("a").cast("string").alias("p"), F.col("a").try_cast("timestamp_ntz").cast("string").alias("t"))
+    assert [r["p"] for r in both.collect()] == [r["t"] for r in both.collect()]
+
+
+def test_to_ts_with_a_format(frame):
+    df = frame([("31.12.2020 23:59",), ("2020",)], "a string")
+    assert rows(df.select(C.to_ts("a", "dd.MM.yyyy HH:mm"))) == [(None,), (datetime(2020, 12, 31, 23, 59),)]
+
+
 def test_composite_key_shows_nulls(frame):
     df = frame([("a", None), ("a", "b"), (None, "a")], "x string, y string")
     keys = [r[0] for r in df.select(C.composite_key(["x", "y"])).collect()]

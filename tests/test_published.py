@@ -80,6 +80,20 @@ def test_upsert(frame, conf, threshold):
     assert rows(again) == rows(got)
 
 
+def test_initial_and_incremental_load(shelf, frame):
+    order = [F.col("ts").desc()]
+    first = frame([(1, 1, "a"), (1, 2, "A"), (2, 1, "b")], "k int, ts int, v string")
+    name = shelf.stage_increment(first, "t", ["k"], order, DAYS[0])
+    shelf.publish({"t": name}, "p", "r1", DAYS[0])
+    assert rows(shelf.read_published("t"), "k", "v") == [(1, "A"), (2, "b")]
+    kept = shelf.snapshot(["t", "unknown"])
+    assert kept == {"t": name}
+    more = frame([(2, 3, "B"), (3, 1, "c")], "k int, ts int, v string")
+    shelf.publish({"t": shelf.stage_increment(more, "t", ["k"], order, DAYS[1])}, "p", "r2", DAYS[1])
+    assert rows(shelf.read_published("t"), "k", "v") == [(1, "A"), (2, "B"), (3, "c")]
+    assert rows(shelf.read_version(kept["t"]), "k", "v") == [(1, "A"), (2, "b")]
+
+
 def test_verification_and_completeness(spark, frame, tmp_path):
     path = str(tmp_path / "good")
     frame([(1,), (2,)], "k int").write.parquet(path)
