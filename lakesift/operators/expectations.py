@@ -105,17 +105,24 @@ Expectation = Between | InSet | NotNull | NullShare | ColumnCount
 def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     """Evaluate a suite in one pass over the columns it names.
 
-    ``measured`` is a count of unexpected values, or the null share.
+    ``measured`` is a count of unexpected values, or the null share; ``missing``
+    counts the nulls of the column.
     """
+
+    def missing(e: Expectation) -> Column:
+        return F.lit(None) if e.column is None else F.count_if(F.col(e.column).isNull())
+
     measured = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[e.measure(df).cast("double").alias(f"m{i}") for i, e in enumerate(suite)],
+        *[missing(e).cast("bigint").alias(f"n{i}") for i, e in enumerate(suite)],
     )
     entries = F.array(
         *[
             F.struct(
                 F.lit(e.name).alias("expectation"),
                 F.lit(e.column).cast("string").alias("column"),
+                F.col(f"n{i}").alias("missing"),
                 F.col(f"m{i}").alias("measured"),
                 e.status(F.col(f"m{i}")).alias("status"),
                 (e.status(F.col(f"m{i}")) != "fail").alias("success"),

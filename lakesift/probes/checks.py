@@ -199,8 +199,10 @@ def _suite_sql(rows: list[tuple[str, str, str, str]], source: str) -> str:
     parts = [
         f"""SELECT (SELECT count(*) FROM ({source})) AS n_rows, '{name}' AS expectation,
                    {"NULL" if col is None else f"'{col}'"}::varchar AS "column",
-                   m::double AS measured, {status} AS status, {status} <> 'fail' AS success
-            FROM (SELECT {measured} AS m FROM ({source}))"""
+                   n AS missing, m::double AS measured, {status} AS status, {status} <> 'fail' AS success
+            FROM (SELECT {measured} AS m,
+                         {"nullif(0 * count(*), 0)::bigint" if col is None else f"count(*) FILTER ({col} IS NULL)"} AS n
+                  FROM ({source}))"""
         for name, col, measured, status in rows
     ]
     return " UNION ALL ".join(parts)

@@ -136,6 +136,7 @@ def test_suite_statuses(frame):
     report = X.run_suite(df, suite)
     assert [r["status"] for r in report.collect()] == ["fail", "pass", "fail", "fail", "warn", "pass", "fail", "pass"]
     assert [r["measured"] for r in report.collect()][:4] == [1.0, 0.0, 1.0, 1.0]
+    assert [r["missing"] for r in report.collect()] == [1, 1, 1, 1, 1, 1, 1, None]
     assert tuple(X.suite_summary(report).first()) == (8, 4, 4, 50.0, False)
     assert X.failures(report).count() == 4
     assert not X.gate(report)

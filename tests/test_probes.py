@@ -32,12 +32,16 @@ def _sorted(names, data):
 @pytest.mark.parametrize("key", sorted(PROBES))
 def test_query_equals_sql(spark, duck, key):
     p = PROBES[key]
-    got = p.run(spark, FOLDER).toArrow()
+    df = p.run(spark, FOLDER)
+    got = df.toArrow()
     want = duck.sql(p.sql).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     a = _sorted(got.column_names, zip(*[c.to_pylist() for c in got.columns]))
     b = _sorted(want.column_names, zip(*[c.to_pylist() for c in want.columns]))
     assert a == b
+    text = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "PandasUDF"):
+        assert unwanted not in text
 
 
 def test_keys_follow_the_naming_rules():
