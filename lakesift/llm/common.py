@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +32,19 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the library's code to the executors, once for each application."""
+    context = spark.sparkContext
+    if not any("lakesift-code" in f for f in context.listFiles):
+        root = Path(__file__).resolve().parents[2]
+        packed = shutil.make_archive(f"{tempfile.mkdtemp(prefix='run-')}/lakesift-code", "zip", root, "lakesift")
+        context.addPyFile(packed)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """The library's run-time options, and bounded batches to Python workers."""
+    """The library's run-time options, bounded batches to Python workers, and the code they need."""
     tune(spark)
+    ship(spark)
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
     return spark
