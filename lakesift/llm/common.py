@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesift.session import tune
+from lakesift.session import materialize, tune
 
 #: Between Spark and a Python worker: batches small enough for very long texts.
 BATCH_CONF = {
@@ -75,3 +75,14 @@ def one_space(text: Column) -> Column:
     Single spaces need no replacement, so only other runs are matched.
     """
     return F.regexp_replace(text, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; see ``materialize``.
+
+    The shuffle files of steps that are over are given up as soon as the driver has collected their plans, which
+    a driver with little to do would put off for long.
+    """
+    out = materialize(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
