@@ -64,8 +64,9 @@ def sketch(sig: np.ndarray) -> np.ndarray:
     return np.packbits(sig & 1).view(np.int64)
 
 
-def _keys(text: str) -> list[Column]:
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), F.col(text)).alias("k2")]
+def _keys(text: Column) -> list[Column]:
+    """128 bits that tell texts apart."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
 def _summaries(size: int):
@@ -318,17 +319,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int
     return settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
 
 
-def near_groups(docs: DataFrame, size: int, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``(id_col, n_shingles, component_id, kept)``.
-
-    Texts are linked if the intersection of their sets of ``size``-word shingles is at least ``percent`` per cent of
-    the union (80 at least); ``component_id`` is the smallest id that links reach. Upper-case A-Z counts as lower
-    case. Null, empty and blank texts have no shingles and are linked with nothing, not even one another. Null ids
-    come after all others; a component of null ids only has a null id. Repeated rows are in one component.
-    """
+def _components(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``(id, k1, k2, n, component)`` of every row; ``LAST_ID`` stands for no id."""
     if percent < 80:
         raise ValueError("the trees and sketches are made for 80 per cent or more")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_of(text_col).alias("text")).select("id", *_keys("text"), "text")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), text_of(text_col).alias("text")).select("id", *_keys(F.col("text")), "text")
     summaries = settle(texts.mapInArrow(_summaries(size), _SUMMARY).withColumn("row", F.monotonically_increasing_id()), "summaries")
     sets = ["n", "s1", "s2"]
     # Of equal sets the smallest id stands for all; its first row carries the set.
@@ -351,8 +346,30 @@ def near_groups(docs: DataFrame, size: int, percent: int = 80, id_col: str = "do
     named = settle(members.join(least, "root").select(*sets, "component"), "named")
 
     own_id = groups.select(*sets, F.col("id").alias("alone")).join(named, sets, "left").select(*sets, F.coalesce("component", "alone").alias("component"))
-    out = summaries.select("id", *sets).join(settle(own_id, "set-components"), sets, "left").withColumn("component", F.coalesce("component", "id"))
+    named = settle(own_id, "set-components")
+    return summaries.select("id", "k1", "k2", *sets).join(named, sets, "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def near_groups(docs: DataFrame, size: int, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``(id_col, n_shingles, component_id, kept)``.
+
+    Texts are linked if the intersection of their sets of ``size``-word shingles is at least ``percent`` per cent of
+    the union (80 at least); ``component_id`` is the smallest id that links reach. Upper-case A-Z counts as lower
+    case. Null, empty and blank texts have no shingles and are linked with nothing, not even one another. Null ids
+    come after all others; a component of null ids only has a null id. Repeated rows are in one component. An empty
+    table gives no rows.
+    """
     real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    return out.select(
+    return _components(docs, size, percent, id_col, text_col).select(
         real("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), real("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept")
     )
+
+
+def without_near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns."""
+    gone = _components(docs, size, percent, id_col, text_col).filter("id <> component").select("id", "k1", "k2").distinct()
+    gone = settle(gone, "near-copies").select(*[F.col(c).alias(f"_lakesift_{c}") for c in ("id", "k1", "k2")])
+    k1, k2 = _keys(text_of(text_col))
+    marked = docs.withColumns({"_lakesift_x": k1, "_lakesift_y": k2})
+    same = (F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == gone["_lakesift_id"]) & (F.col("_lakesift_x") == gone["_lakesift_k1"]) & (F.col("_lakesift_y") == gone["_lakesift_k2"])
+    return marked.join(gone, same, "left_anti").drop("_lakesift_x", "_lakesift_y")

@@ -163,23 +163,24 @@ def _cleaned(window: int, digest: bool):
                 removed.append(len(words) - len(kept))
                 joined = b" ".join(kept)
                 out.append(hashlib.sha256(joined).hexdigest() if digest else text if len(kept) == len(words) else joined.decode())
-            rest = [batch.column(c) for c in batch.schema.names if c not in ("_starts", "_copy", "_text")]
             names = [c for c in batch.schema.names if c not in ("_starts", "_copy", "_text")]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())], [*names, "_n_words", "_n_removed", "_out"])
+            columns = [*map(batch.column, names), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(out, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "_n_words", "_n_removed", "_out"])
 
     return run
 
 
 def _applied(docs: DataFrame, keep: list[str], id_col: str, text_col: str, window: int, anchor: int, digest: bool) -> DataFrame:
-    repeats = repeated_starts(docs, id_col, text_col, window, anchor).select(
-        F.col("id").alias("_id"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("copy").alias("_copy"), F.col("starts").alias("_starts")
-    )
+    """Columns by place, so that no name can clash: ``_c0…`` kept, and what was counted and kept of the text."""
+    repeats = repeated_starts(docs, id_col, text_col, window, anchor)
+    repeats = repeats.select(*[F.col(c).alias(f"_{c}") for c in ("id", "k1", "k2", "copy", "starts")])
     k1, k2 = sequence_key(text_col)
-    with_key = docs.select(
-        *keep, F.col(text_col).cast("string").alias("_text"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"), k1.alias("_k1"), k2.alias("_k2")
-    )
-    rows = with_key.join(repeats, ["_id", "_k1", "_k2"], "left").select(*keep, "_text", "_copy", "_starts")
-    schema = rows.select(*keep).schema.add("_n_words", "long").add("_n_removed", "long").add("_out", "string")
+    rows = docs.select(
+        *[F.col(c).alias(f"_c{k}") for k, c in enumerate(keep)], F.col(text_col).cast("string").alias("_text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"), k1.alias("_k1"), k2.alias("_k2"),
+    )
+    rows = rows.join(repeats, ["_id", "_k1", "_k2"], "left").drop("_id", "_k1", "_k2")
+    schema = rows.drop("_text", "_copy", "_starts").schema.add("_n_words", "long").add("_n_removed", "long").add("_out", "string")
     return rows.mapInArrow(_cleaned(window, digest), schema)
 
 
@@ -189,9 +190,10 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A word goes if a window of ``window`` words around it occurs in a document with a smaller id, or earlier in its
     own. Windows are judged on the input. Null text has no words; texts below ``window`` words lose none. A null id
     comes after all others. Rows with the same id are one age: neither loses words to the other, but each to itself.
+    An empty table gives no rows.
     """
     out = _applied(docs, [id_col], id_col, text_col, window, anchor, digest=True)
-    return out.select(id_col, F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_out").alias("kept_sha256"))
+    return out.select(F.col("_c0").alias(id_col), F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_out").alias("kept_sha256"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -201,4 +203,5 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     keep = [c for c in docs.columns if c != text_col]
     out = _applied(docs, keep, id_col, text_col, window, anchor, digest=False)
-    return out.withColumnRenamed("_out", text_col).select(*docs.columns)
+    named = {c: F.col(f"_c{k}") for k, c in enumerate(keep)} | {text_col: F.col("_out")}
+    return out.select(*[named[c].alias(c) for c in docs.columns])
