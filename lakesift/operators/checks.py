@@ -56,9 +56,17 @@ class Reference:
 # -- primary keys ------------------------------------------------------------
 
 
-def check_primary_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> Split:
+def check_primary_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column] = (),
+    ignore: Sequence[str] = (),
+) -> Split:
     """Rejects: all rows of repeated keys. Clean: one row per key.
 
+    The survivor is the first in ``order``, ties settled by the row's content
+    without the columns of ``ignore``, so it is the same in every run.
+
     Only key columns are shuffled to find the repeated keys, which are written
     to a table. If that is small enough to broadcast, rows with a unique key
     pass through an anti join without a shuffle and only the rows of repeated
@@ -68,9 +76,9 @@ def check_primary_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     dups = repeated_keys(df, keys)
     repeated = duplicate_rows(df, keys, dups)
     if fits_broadcast(dups):
-        clean = unique_rows(df, keys, dups).unionByName(keep_best(repeated, keys, order))
+        clean = unique_rows(df, keys, dups).unionByName(keep_best(repeated, keys, order, ignore))
     else:
-        clean = keep_best(df, keys, order)
+        clean = keep_best(df, keys, order, ignore)
     metrics = dups.agg(
         F.count(F.lit(1)).alias("duplicate_keys"),
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rejected_rows"),

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lakesift.functions.columns import composite_key
 from lakesift.operators.keys import prefixed, same_keys_condition
-from lakesift.operators.ordering import MAX_GROUP_ROWS, number_rows, total_order
-from lakesift.session import fits_broadcast, materialize
+from lakesift.operators.ordering import number_rows, total_order
+from lakesift.session import materialize
 
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 1_000_000
@@ -55,13 +55,19 @@ def flag_dupes(df: DataFrame, keys: Sequence[str], out: str = "key_count") -> Da
     )
 
 
-def keep_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the first in ``order``, ties settled by the row's content.
+def keep_best(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column] = (),
+    ignore: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key: the first in ``order``, ties settled by the row's content
+    except the columns of ``ignore``.
 
     The filter on row number 1 lets the planner keep one row per key on the map
     side already, so a hot key is reduced before the shuffle.
     """
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, order))
+    window = Window.partitionBy(*keys).orderBy(*total_order(df, order, ignore))
     return (
         df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
     )
@@ -78,14 +84,14 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence[Col
 
 
 def surplus_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: bool = False
 ) -> DataFrame:
-    """The rows that :func:`keep_best` would drop."""
-    candidates = duplicate_rows(df, keys)
-    numbered = number_rows(candidates, keys, order, "_rn", max_group_rows)
+    """The rows that :func:`keep_best` would drop: all but the first of each key.
+
+    Only rows of repeated keys are numbered; ``spread`` as in
+    :func:`lakesift.operators.ordering.running_total`.
+    """
+    numbered = number_rows(duplicate_rows(df, keys), keys, order, "_rn", spread)
     return numbered.where(F.col("_rn") > 1).drop("_rn")
 
 
@@ -121,19 +127,16 @@ def disambiguate(
     keys: Sequence[str],
     order: Sequence[Column],
     out: str = "row_key",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    spread: bool = False,
 ) -> DataFrame:
     """Make a repeated composite key unique by adding a running number to it.
 
-    Where few keys repeat, only their rows are sorted; all others are number 1.
+    Only rows of repeated keys are numbered, all others are number 1.
     """
     dups = repeated_keys(df, keys)
-    if fits_broadcast(dups):
-        rest = unique_rows(df, keys, dups).withColumn("_rn", F.lit(1).cast("bigint"))
-        repeated = duplicate_rows(df, keys, dups)
-        numbered = rest.unionByName(number_rows(repeated, keys, order, "_rn", max_group_rows))
-    else:
-        numbered = number_rows(df, keys, order, "_rn", max_group_rows)
+    rest = unique_rows(df, keys, dups).withColumn("_rn", F.lit(1).cast("bigint"))
+    repeated = number_rows(duplicate_rows(df, keys, dups), keys, order, "_rn", spread)
+    numbered = rest.unionByName(repeated)
     key = F.concat_ws("_", composite_key(keys), F.col("_rn").cast("string"))
     return numbered.withColumn(out, key).drop("_rn")
 

@@ -10,21 +10,19 @@ from pyspark.sql import functions as F
 from lakesift.operators.keys import prefixed, same_keys_condition, sortable
 from lakesift.session import materialize
 
-# Above this many rows a group is no longer sorted by a single task.
-MAX_GROUP_ROWS = 2_000_000
-# Upper limit of the number of range partitions one numbering asks for.
-MAX_PARTITIONS = 100_000
 
-
-def content_hash(df: DataFrame) -> Column:
+def content_hash(df: DataFrame, ignore: Sequence[str] = ()) -> Column:
     """A number made of the whole row: short to compare, equal in every run."""
-    return F.xxhash64(*sortable(df))
+    return F.xxhash64(*[c for c in sortable(df) if c not in ignore])
+
 
+def total_order(df: DataFrame, order: Sequence[Column], ignore: Sequence[str] = ()) -> list[Column]:
+    """``order`` completed by the row's content, so that every run picks the same rows.
 
-def total_order(df: DataFrame, order: Sequence[Column]) -> list[Column]:
-    """``order`` completed by the row's content, so that every run picks the same rows."""
-    rest = [F.col(c).asc_nulls_first() for c in sortable(df)]
-    return [*order, content_hash(df).asc(), *rest]
+    ``ignore`` names columns that differ from run to run, such as surrogate ids and load times.
+    """
+    rest = [F.col(c).asc_nulls_first() for c in sortable(df) if c not in ignore]
+    return [*order, content_hash(df, ignore).asc(), *rest]
 
 
 def running_total(
@@ -33,39 +31,40 @@ def running_total(
     order: Sequence[Column],
     weight: str | None = None,
     out: str = "running_total",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    spread: bool = False,
 ) -> DataFrame:
     """Running sum of ``weight`` (1 by default) per key in a total order.
 
-    Ties in ``order`` are settled by the row's content. One count over the key
-    columns finds the largest group. Up to ``max_group_rows`` a plain window does
-    the work. Beyond it the rows are range-partitioned over keys *and* order,
-    which spreads a hot key over many tasks; each partition numbers its own rows
-    and adds what earlier partitions hold of the same key. Only a partition's
-    first key can reach back, so the offsets number at most one row per partition
-    and are safe to broadcast. The rows are stored before and after the
-    partitioning: a lost executor then repeats neither the row ids that split
-    equal rows nor the choice of ranges.
+    Ties in ``order`` are settled by the row's content. A sum is null until the
+    first weight that is not. The type is that of a sum of the weight.
+
+    The caller chooses the plan; rows and types are the same either way (sums of
+    doubles but for rounding). By default a window sorts each group in one task,
+    on disk where it must. With ``spread`` the rows are range-partitioned over
+    keys *and* order into ``spark.sql.shuffle.partitions`` parts, which spreads a
+    hot key, or a table without keys, over many tasks; each part numbers its own
+    rows and adds what earlier parts hold of the same key. Only a part's first
+    key can reach back, so there is at most one offset per part. The rows are
+    stored before the partitioning, so that a lost executor does not repeat the
+    row ids that split equal rows.
     """
     amount = F.lit(1) if weight is None else F.col(weight)
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    size = groups.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
     upto_here = (Window.unboundedPreceding, Window.currentRow)
-    if (size["largest"] or 0) <= max_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*total_order(df, order)).rowsBetween(*upto_here)
-        return df.withColumn(out, F.sum(amount).over(window))
+    whole = Window.partitionBy(*keys).orderBy(*total_order(df, order)).rowsBetween(*upto_here)
+    plain = df.withColumn(out, F.sum(amount).over(whole))
+    if not spread:
+        return plain
 
+    kind = plain.schema[out].dataType
     tied = materialize(
         df.withColumns({"_hash": content_hash(df), "_tie": F.monotonically_increasing_id()}),
         "tied",
     )
-    by = [*order, F.col("_hash").asc(), F.col("_tie").asc()]
-    n_parts = max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        min(-(-size["total"] // max_group_rows), MAX_PARTITIONS),
-    )
+    content = [F.col(c).asc_nulls_first() for c in sortable(df)]
+    by = [*order, F.col("_hash").asc(), *content, F.col("_tie").asc()]
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = tied.repartitionByRange(n_parts, *[F.col(k) for k in keys], *by)
-    parts = materialize(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
+    parts = ranged.withColumn("_part", F.spark_partition_id())
 
     earlier = (
         Window.partitionBy(*keys)
@@ -75,18 +74,19 @@ def running_total(
     offsets = (
         parts.groupBy(*keys, "_part")
         .agg(F.sum(amount).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
+        .withColumn("_before", F.sum("_n").over(earlier).cast(kind))
         .where(F.col("_before").isNotNull())
         .drop("_n")
     )
     on = [*keys, "_part"]
     window = Window.partitionBy(*on).orderBy(*by).rowsBetween(*upto_here)
     numbered = parts.withColumn("_here", F.sum(amount).over(window))
-    return numbered.join(
+    joined = numbered.join(
         F.broadcast(prefixed(offsets, on, "_o_")), same_keys_condition(on, "_o_"), "left"
-    ).select(
-        *df.columns, (F.col("_here") + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
     )
+    here, before = F.col("_here"), F.col("_before")
+    total = F.when(before.isNull(), here).otherwise(before + F.coalesce(here, F.lit(0)))
+    return joined.select(*df.columns, total.cast(kind).alias(out))
 
 
 def number_rows(
@@ -94,10 +94,10 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[Column],
     out: str = "row_number",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    spread: bool = False,
 ) -> DataFrame:
     """1, 2, 3, ... per key; ties are settled by the row's content."""
-    return running_total(df, keys, order, None, out, max_group_rows)
+    return running_total(df, keys, order, None, out, spread)
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

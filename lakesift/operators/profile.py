@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesift.operators.ordering import MAX_GROUP_ROWS, first_rows, running_total
+from lakesift.operators.ordering import first_rows, running_total
 from lakesift.session import materialize
 
 
@@ -121,9 +121,7 @@ def min_max(df: DataFrame, col: str, by: str | Column | None = None) -> DataFram
     return df.groupBy(*keys).agg(F.min(col).alias("min_value"), F.max(col).alias("max_value"))
 
 
-def quantiles(
-    df: DataFrame, col: str, points: Sequence[float], max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def quantiles(df: DataFrame, col: str, points: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: one row (point, value) each.
 
     Values are counted first and the counts summed in value order over range
@@ -136,7 +134,7 @@ def quantiles(
         .agg(F.count(F.lit(1)).alias("_n")),
         "value-counts",
     )
-    ranks = running_total(counts, [], [F.col("value").asc()], "_n", "_upto", max_group_rows)
+    ranks = running_total(counts, [], [F.col("value").asc()], "_n", "_upto", spread=True)
     total = counts.agg(F.sum("_n").alias("n")).scalar()
     wanted = []
     for p in points:

@@ -3,11 +3,12 @@ wide facts, gated by expectation suites, published, and verified."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakesift.functions.columns import venue, with_audit
@@ -18,23 +19,15 @@ from lakesift.operators.checks import (
     classify,
     flag_rows,
 )
-from lakesift.operators.expectations import (
-    Expectation,
-    failures,
-    gate,
-    run_suite,
-)
+from lakesift.operators.expectations import Expectation, passed, run_suite
 from lakesift.operators.facts import rate_fact
 from lakesift.operators.joins import Lookup, enrich, join_dimension
+from lakesift.session import remove, scratch
 from lakesift.sources.catalog import load_required
 from lakesift.sources.published import Shelf, verify_loaded
 from lakesift.sources.rejects import append_rejects
 from lakesift.sources.runlog import RunLog
 
-CLEAN = "clean"
-# Partition column of a silver table; a name no source table uses.
-VERDICT = "row_verdict"
-
 
 @dataclass(frozen=True)
 class GalaxyRules:
@@ -98,31 +91,50 @@ class StarRules:
 
 # -- silver ------------------------------------------------------------------
 
+# Staging numbers its rows anew in every run; survivors must not depend on that.
+SURROGATES = ("index",)
+
 
 def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The accepted rows of a silver table."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}").where(F.col(VERDICT) == CLEAN)
-    return df.drop(VERDICT, *REASONS)
+    """A silver table: accepted rows only."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{table}")
 
 
-def _write_flagged(flagged: DataFrame, path: str) -> int:
-    """One pass over the table: accepted rows and rejects go to different partitions.
+def _write_split(flagged: DataFrame, path: str, rejects_root: str, key: Column, run: tuple[str, str]) -> int:
+    """Accepted rows to the silver table at ``path``, the others to the rejects; returns their number.
 
-    Returns the number of rejects, counted while the rows are written.
+    The flagged rows are written once to a run folder, so that the joins behind
+    them are not repeated, and read from there by both writes.
     """
+    spark = flagged.sparkSession
+    folder = scratch(spark, "flagged")
     rejected = F.col("issue_type").isNotNull()
-    verdict = F.when(rejected, F.col("issue_type")).otherwise(F.lit(CLEAN))
     seen = Observation(f"rows of {path}")
-    rows = flagged.withColumn(VERDICT, verdict).observe(seen, F.count_if(rejected).alias("rejected"))
-    # Static: partitions of an earlier run must not survive.
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(VERDICT).parquet(path)
+    try:
+        flagged.observe(seen, F.count_if(rejected).alias("rejected")).write.parquet(folder)
+        stored = spark.read.schema(flagged.schema).parquet(folder)
+        clean = with_audit(stored.where(~rejected).drop(*REASONS), *run)
+        clean.write.mode("overwrite").parquet(path)
+        if seen.get["rejected"]:
+            append_rejects(stored.where(rejected), rejects_root, key, *run)
+    finally:
+        remove(spark, folder)
     return seen.get["rejected"]
 
 
-def _write_clean(df: DataFrame, path: str) -> None:
-    """A table without rejects: its only partition is the accepted one."""
-    df.write.mode("overwrite").parquet(f"{path}/{VERDICT}={CLEAN}")
+@contextmanager
+def recorded(log: RunLog, step: str, spark: SparkSession) -> Iterator[None]:
+    """Run a step; a failure is logged with its class and what follows goes on."""
+    try:
+        yield
+    except Exception as e:  # noqa: BLE001  whatever ends a step must not end the load
+        log.error(step, e, str(e).partition("\n")[0][:500])
+    finally:
+        log.flush(spark)
+
+
+class MissingInput(Exception):
+    """A table that a step needs was not loaded."""
 
 
 def load_silver(
@@ -132,12 +144,12 @@ def load_silver(
     rejects_root: str,
     log: RunLog,
 ) -> dict[str, DataFrame]:
-    """Check staged tables and write the silver layer; returns its tables.
+    """Check staged tables and write the silver layer; returns the tables that were loaded.
 
-    Dimensions are checked for unique keys. Facts are checked against the
-    cleaned dimensions and for signs in one pass that writes accepted and
-    rejected rows; the rejects are then appended to the rejects dataset from
-    what was written, without repeating the joins.
+    Dimensions are checked for unique keys. Facts are checked against the cleaned
+    dimensions and for signs. A silver table holds its accepted rows and nothing
+    else; rejects go to the rejects dataset. A table that fails is logged with its
+    error class, and so are the facts that need it; all others still load.
     """
     spark = next(iter(tables.values())).sparkSession
     groups = classify(list(tables), list(rules.primary_keys), list(rules.references))
@@ -149,37 +161,40 @@ def load_silver(
     silver: dict[str, DataFrame] = {}
 
     for t in groups["dimension"]:
-        split = check_primary_key(tables[t], rules.primary_keys[t])
-        rejected = split.metrics.first()["rejected_rows"]
-        if rejected:
-            append_rejects(split.rejects, rejects_root, t, *run)
-        _write_clean(with_audit(split.clean, *run), f"{silver_root}/{t}")
-        log.step(f"check_keys {t}", "success", f"{rejected} rows rejected")
-        silver[t] = read_silver(spark, silver_root, t)
+        with recorded(log, f"check_keys {t}", spark):
+            split = check_primary_key(tables[t], rules.primary_keys[t], ignore=SURROGATES)
+            rejected = split.metrics.first()["rejected_rows"]
+            if rejected:
+                append_rejects(split.rejects, rejects_root, t, *run)
+            with_audit(split.clean, *run).write.mode("overwrite").parquet(f"{silver_root}/{t}")
+            log.step(f"check_keys {t}", "success", f"{rejected} rows rejected")
+            silver[t] = read_silver(spark, silver_root, t)
 
     target = F.coalesce("failed_dimension", "failed_column")
     kind = F.when(F.col("failed_dimension").isNotNull(), "orphans").otherwise("negatives")
     for t in rules.fact_order(groups["fact"]):
-        refs = [
-            Reference(d, silver[d], own, dim_key)
-            for d, (own, dim_key) in rules.references[t].items()
-        ]
-        flagged = flag_rows(tables[t], refs, rules.non_negative.get(t, ()))
-        path = f"{silver_root}/{t}"
-        rejected = _write_flagged(with_audit(flagged, *run), path)
-        if rejected:
-            written = spark.read.parquet(path).where(F.col(VERDICT) != CLEAN).drop(VERDICT)
+        with recorded(log, f"check_rows {t}", spark):
+            if absent := [d for d in rules.references[t] if d not in silver]:
+                raise MissingInput(", ".join(absent))
+            refs = [
+                Reference(d, silver[d], own, dim_key)
+                for d, (own, dim_key) in rules.references[t].items()
+            ]
+            flagged = flag_rows(tables[t], refs, rules.non_negative.get(t, ()))
             key = F.concat_ws("_", F.lit(t), target, kind)
-            append_rejects(written.drop("load_timestamp"), rejects_root, key, *run)
-        log.step(f"check_rows {t}", "success", f"{rejected} rows rejected")
-        silver[t] = read_silver(spark, silver_root, t)
+            rejected = _write_split(flagged, f"{silver_root}/{t}", rejects_root, key, run)
+            log.step(f"check_rows {t}", "success", f"{rejected} rows rejected")
+            silver[t] = read_silver(spark, silver_root, t)
 
     for t in groups["uncategorised"]:
-        _write_clean(with_audit(tables[t], *run), f"{silver_root}/{t}")
-        silver[t] = read_silver(spark, silver_root, t)
+        with recorded(log, f"copy {t}", spark):
+            with_audit(tables[t], *run).write.mode("overwrite").parquet(f"{silver_root}/{t}")
+            silver[t] = read_silver(spark, silver_root, t)
     for t in sorted(silver):
         log.add("load_to_silver", "tables", t)
-    log.step("load_to_silver", "success")
+    missing = sorted(set(tables) - set(silver))
+    log.step("load_to_silver", "failed" if missing else "success", missing or None)
+    log.flush(spark)
     return silver
 
 
@@ -215,21 +230,29 @@ def build_gold(
 ) -> tuple[dict[str, str], bool]:
     """Build, stage and judge every wide fact.
 
-    Staging happens whether or not the suites pass; the second value tells if
-    the staged versions may be published.
+    Staging happens whether or not the suites pass; the second value tells if the
+    staged versions may be published. Each suite is evaluated once. A fact that
+    fails is logged, closes the gate, and leaves the other facts to be staged.
     """
-    used = load_required(tables, required)
-    staged: dict[str, str] = {}
-    results: list[DataFrame] = []
+    spark, staged, judged = shelf.spark, {}, []
     for fact in facts:
-        staged[fact.name] = shelf.stage(build_fact(used, fact, star), fact.name, ts, cluster_by)
-        log.step(f"stage {fact.name}", "success", staged[fact.name])
-        outcome = run_suite(shelf.read_version(staged[fact.name]), fact.suite)
-        results.append(outcome)
-        failed = [r["column"] for r in failures(outcome).collect()]
-        log.step(f"suite {fact.name}", "failed" if failed else "success", failed or None)
-    proceed = gate(*results)
+        with recorded(log, f"stage {fact.name}", spark):
+            needed = {fact.source, star.main.dim, *[r.dim for r in star.roles]}
+            if absent := sorted(t for t in needed if t not in tables):
+                raise MissingInput(", ".join(absent))
+            used = load_required(tables, {t: required[t] for t in required if t in needed})
+            staged[fact.name] = shelf.stage(build_fact(used, fact, star), fact.name, ts, cluster_by)
+            log.step(f"stage {fact.name}", "success", staged[fact.name])
+        with recorded(log, f"suite {fact.name}", spark):
+            if fact.name not in staged:
+                raise MissingInput(fact.name)
+            rows = run_suite(shelf.read_version(staged[fact.name]), fact.suite).collect()
+            failed = [r["column"] for r in rows if not r["success"]]
+            judged.append(passed(rows))
+            log.step(f"suite {fact.name}", "failed" if failed else "success", failed or None)
+    proceed = len(judged) == len(facts) and all(judged)
     log.step("gate", "success" if proceed else "failed")
+    log.flush(spark)
     return staged, proceed
 
 
@@ -239,9 +262,13 @@ def publish_gold(
     """Publish the staged versions if the gate is open, then verify what is visible."""
     if not proceed:
         log.step("publish", "skipped")
+        log.flush(shelf.spark)
         return None
-    shelf.publish(staged, log.pipeline_id, log.run_id, ts)
-    report = verify_loaded(shelf.spark, {t: shelf.read_published(t) for t in staged})
-    for r in report.collect():
-        log.step(f"verify {r['table_name']}", r["status"], r["row_count"])
+    report = None
+    with recorded(log, "publish", shelf.spark):
+        shelf.publish(staged, log.pipeline_id, log.run_id, ts)
+        log.step("publish", "success")
+        report = verify_loaded(shelf.spark, {t: shelf.read_published(t) for t in staged})
+        for r in report.collect():
+            log.step(f"verify {r['table_name']}", r["status"], r["row_count"])
     return report

@@ -107,7 +107,7 @@ def e4_hot(t):
     """Few keys with very many rows each: every group is spread over range partitions."""
     events = t.events.select("event_id", "event_type", "ts")
     return number_rows(
-        events, ["event_type"], [F.col("ts").asc(), F.col("event_id").asc()], "seq", max_group_rows=500
+        events, ["event_type"], [F.col("ts").asc(), F.col("event_id").asc()], "seq", spread=True
     )
 
 

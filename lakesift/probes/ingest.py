@@ -16,8 +16,10 @@ LONG, INT, DBL, STR = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringTyp
 
 
 def land(df: DataFrame, path: str) -> str:
-    """Write a table as landing text with header and NA for nulls."""
-    df.write.option("header", True).option("nullValue", "NA").csv(path)
+    """Write a table as landing text with header and NA for nulls; quotes are doubled, text is kept as it is."""
+    df.write.options(
+        header=True, nullValue="NA", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return path
 
 
@@ -30,25 +32,20 @@ def a3(t):
     """Most labels are null, so the landing text is full of NA tokens."""
     docs = labelled(t)
     path = land(docs, scratch(t.spark, "landing") + "/labelled.csv")
-    return L.read_typed_csv(t.spark, path, _schema(docs))
+    return L.read_typed_csv(t.spark, path, _schema(docs), multi_line=True)
 
 
 @probe(
     "a4_tolerant_csv",
     """
-    SELECT l_orderkey, l_linenumber, nullif(l_discount, 0) AS l_discount, l_discount = 0 AS malformed
-    FROM lineitem
+    SELECT * REPLACE (nullif(l_discount, 0) AS l_discount), l_discount = 0 AS malformed FROM lineitem
     """,
 )
 def a4(t):
     """Zero discounts land as a word, which makes those rows malformed for a numeric column."""
     word = F.when(F.col("l_discount") == 0, F.lit("none")).otherwise(F.col("l_discount").cast("string"))
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", word.alias("l_discount"))
-    path = land(lines, scratch(t.spark, "landing") + "/lineitem.csv")
-    schema = T.StructType(
-        [T.StructField("l_orderkey", LONG), T.StructField("l_linenumber", INT), T.StructField("l_discount", DBL)]
-    )
-    df = L.read_typed_csv(t.spark, path, schema, mode="PERMISSIVE", corrupt_col="_corrupt_record")
+    path = land(t.lineitem.withColumn("l_discount", word), scratch(t.spark, "landing") + "/lineitem.csv")
+    df = L.read_typed_csv(t.spark, path, _schema(t.lineitem), mode="PERMISSIVE", corrupt_col="_corrupt_record")
     return df.withColumn("malformed", F.col("_corrupt_record").isNotNull()).drop("_corrupt_record")
 
 
@@ -65,11 +62,11 @@ def a5(t):
     "a5_text_csv",
     """
     SELECT cast(c_custkey as varchar) AS c_custkey, c_name, cast(c_nationkey as varchar) AS c_nationkey,
-           c_mktsegment FROM customer
+           cast(c_acctbal as varchar) AS c_acctbal, c_mktsegment FROM customer
     """,
 )
 def a5_text(t):
-    path = land(t.customer.drop("c_acctbal"), scratch(t.spark, "landing") + "/customer.csv")
+    path = land(t.customer, scratch(t.spark, "landing") + "/customer.csv")
     return L.read_inferred_csv(t.spark, path, infer=False)
 
 
@@ -116,46 +113,48 @@ def a13(t):
     return t.spark.read.parquet(paths["orders"])
 
 
+def _declared(df: DataFrame, **other: T.DataType) -> dict[str, T.DataType]:
+    return {f.name: other.get(f.name, f.dataType) for f in df.schema.fields}
+
+
 def _landing(t: Tables) -> tuple[str, dict]:
-    """A landing folder with every kind of file: good, duplicated, misordered, empty,
-    malformed, without schema, and with a foreign extension."""
+    """A landing folder with every kind of file, whole tables each: good, free text, duplicated,
+    misordered, misordered in one part, empty, malformed, without schema, with a foreign extension."""
     folder = scratch(t.spark, "landing")
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    lines = t.lineitem.select("l_suppkey", "l_linenumber", "l_quantity")
-    events = t.events.select("event_id", "user_id", F.col("event_type").alias("value"))
-    land(orders, f"{folder}/orders.csv")
-    land(lines, f"{folder}/lineitem.csv")
-    land(t.customer.select("c_name", "c_custkey"), f"{folder}/customer.csv")
-    land(t.supplier.select("s_suppkey", "s_name").where("s_suppkey IS NULL").coalesce(1), f"{folder}/supplier.csv")
-    land(events, f"{folder}/events.csv")
+    twice = t.lineitem.unionByName(t.lineitem.where("l_linenumber = 1"))
+    land(t.orders, f"{folder}/orders.csv")
+    land(t.documents, f"{folder}/documents.csv")
+    land(twice, f"{folder}/lineitem.csv")
+    land(t.customer.select(*reversed(t.customer.columns)), f"{folder}/customer.csv")
+    land(t.nation.coalesce(1), f"{folder}/nation.csv")
+    t.nation.select(*reversed(t.nation.columns)).coalesce(1).write.option("header", True).mode("append").csv(f"{folder}/nation.csv")
+    land(t.supplier.where("s_suppkey IS NULL").coalesce(1), f"{folder}/supplier.csv")
+    land(t.events, f"{folder}/events.csv")
     land(t.part, f"{folder}/part.csv")
-    land(t.nation, f"{folder}/nation.txt")
-    registry = {
-        "orders": {"o_orderkey": LONG, "o_custkey": LONG, "o_totalprice": DBL},
-        "lineitem": {"l_suppkey": LONG, "l_linenumber": INT, "l_quantity": DBL},
-        "customer": {"c_custkey": LONG, "c_name": STR},
-        "supplier": {"s_suppkey": LONG, "s_name": STR},
-        "events": {"event_id": LONG, "user_id": LONG, "value": DBL},
-    }
+    land(t.region, f"{folder}/region.txt")
+    registry = {n: _declared(getattr(t, n)) for n in ("orders", "documents", "lineitem", "customer", "nation", "supplier")}
+    registry["events"] = _declared(t.events, event_type=DBL)
     return folder, registry
 
 
 @probe(
     "a1_admitted_files",
-    """
-    SELECT 'customer.csv' AS file, 'customer' AS "table", count(*) AS n_rows FROM customer
-    UNION ALL SELECT 'events.csv', 'events', count(*) FROM events
-    UNION ALL SELECT 'lineitem.csv', 'lineitem', count(*) FROM lineitem
-    UNION ALL SELECT 'orders.csv', 'orders', count(*) FROM orders
-    UNION ALL SELECT 'supplier.csv', 'supplier', 0
-    """,
+    " UNION ALL ".join(
+        f"SELECT '{n}.csv' AS file, '{n}' AS \"table\", {rows} AS n_rows"
+        for n, rows in {
+            **{n: f"(SELECT count(*) FROM {n})" for n in ("customer", "documents", "events", "orders")},
+            "lineitem": "(SELECT count(*) + count(*) FILTER (l_linenumber = 1) FROM lineitem)",
+            "nation": "(SELECT 2 * count(*) FROM nation)",
+            "supplier": "0",
+        }.items()
+    ),
 )
 def a1(t):
     """The admitted files and the rows each of them holds."""
     folder, registry = _landing(t)
     admitted = L.admit(L.list_landing(t.spark, folder), registry).select("file", "table")
     counts = [
-        L.read_inferred_csv(t.spark, f"{folder}/{n}.csv", infer=False).agg(
+        t.spark.read.options(header=True, multiLine=n == "documents", escape='"').csv(f"{folder}/{n}.csv").agg(
             F.lit(f"{n}.csv").alias("file"), F.count(F.lit(1)).alias("n_rows")
         )
         for n in registry
@@ -166,24 +165,58 @@ def a1(t):
     return admitted.join(rows, "file")
 
 
+def _ingested(t: Tables) -> tuple[DataFrame, str]:
+    folder, registry = _landing(t)
+    name = C.staging_namespace(datetime.now(timezone.utc)) + "_" + scratch(t.spark, "ns")[-8:]
+    C.create_namespace(t.spark, name, scratch(t.spark, "namespace"))
+    return L.ingest_folder(t.spark, folder, registry, name, multi_line=["documents"]), name
+
+
 @probe(
     "a16_ingest_manifest",
     """
     SELECT 'customer.csv' AS file, 'quarantine' AS decision, 'header_ok' AS failed_step,
            NULL::bigint AS rows_read, NULL::bigint AS malformed_rows, NULL::bigint AS rows_loaded
+    UNION ALL SELECT 'nation.csv', 'quarantine', 'header_ok', NULL, NULL, NULL
     UNION ALL SELECT 'events.csv', 'quarantine', 'parsed', (SELECT count(*) FROM events),
            (SELECT count(*) FROM events), NULL
-    UNION ALL SELECT 'lineitem.csv', 'processed', NULL, (SELECT count(*) FROM lineitem), 0,
-           (SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_linenumber, l_quantity FROM lineitem))
+    UNION ALL SELECT 'lineitem.csv', 'processed', NULL, (SELECT count(*) + count(*) FILTER (l_linenumber = 1) FROM lineitem), 0,
+           (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem))
     UNION ALL SELECT 'orders.csv', 'processed', NULL, (SELECT count(*) FROM orders), 0, (SELECT count(*) FROM orders)
+    UNION ALL SELECT 'documents.csv', 'processed', NULL, (SELECT count(*) FROM documents), 0, (SELECT count(*) FROM documents)
     UNION ALL SELECT 'supplier.csv', 'quarantine', 'not_empty', NULL, NULL, NULL
     """,
 )
 def a16(t):
-    folder, registry = _landing(t)
-    name = C.staging_namespace(datetime.now(timezone.utc)) + "_" + scratch(t.spark, "ns")[-8:]
-    C.create_namespace(t.spark, name, scratch(t.spark, "namespace"))
-    manifest = L.ingest_folder(t.spark, folder, registry, name)
-    return manifest.select(
+    return _ingested(t)[0].select(
         "file", "decision", "failed_step", "rows_read", "malformed_rows", "rows_loaded"
     )
+
+
+@probe("a16_staged_documents", "SELECT * FROM documents")
+def a16_documents(t):
+    """Free text with line breaks and quotes comes through a whole ingest as it was."""
+    _, space = _ingested(t)
+    return t.spark.table(f"{space}.documents").drop("index")
+
+
+@probe(
+    "i2_type_checks",
+    """
+    SELECT * FROM (VALUES ('declared', true), ('orderkey_as_text', false), ('column_absent', false), ('column_more', false)) AS v(staged, types_ok)
+    """,
+)
+def i2(t):
+    """Staged tables against the declared columns of orders: as declared, with another type, with a column less and more."""
+    schema, space = _schema(t.orders), "types_" + scratch(t.spark, "ns")[-8:]
+    C.create_namespace(t.spark, space, scratch(t.spark, "namespace"))
+    staged = {
+        "declared": t.orders,
+        "orderkey_as_text": t.orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string")),
+        "column_absent": t.orders.drop("o_orderdate"),
+        "column_more": t.orders.withColumn("o_comment", F.lit("x")),
+    }
+    for n, df in staged.items():
+        C.write_table(df, f"{space}.{n}")
+    found = [(n, L.check_types(t.spark.table(f"{space}.{n}"), schema)) for n in staged]
+    return t.spark.createDataFrame(found, "staged string, types_ok boolean")

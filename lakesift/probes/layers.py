@@ -111,6 +111,14 @@ def rejects(t):
     return reasons.groupBy("report", "issue_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@probe("layered_load_plain_silver", f"SELECT * EXCLUDE (report) FROM ({_JUDGED}) WHERE report IS NULL".replace("SELECT *, CASE", "SELECT *, l_extendedprice - 1000 AS margin, CASE"))
+def plain_silver(t):
+    """A silver table read as plain files holds its accepted rows and no others."""
+    silver, _, _ = _load(t)
+    stored = t.spark.read.parquet(silver["lineitem"].inputFiles()[0].rpartition("/")[0])
+    return stored.drop("load_timestamp", "pipeline_id", "run_id")
+
+
 @probe(
     "layered_load_line_fact",
     f"""

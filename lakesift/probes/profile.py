@@ -7,7 +7,7 @@ from lakesift.operators.ordering import first_rows, has_rows, top_k
 from lakesift.probes.registry import NAMES, probe, sql_round
 from lakesift.probes.views import LABELLED_SQL, labelled
 
-LABELLED_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+LABELLED_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
 
 @probe(

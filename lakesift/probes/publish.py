@@ -8,7 +8,7 @@ from lakesift.operators import checks as K
 from lakesift.probes.registry import NAMES, probe
 from lakesift.probes.views import LINE_FACT_SQL, line_fact
 from lakesift.session import scratch
-from lakesift.sources.published import Shelf, check_complete, upsert, verify_loaded
+from lakesift.sources.published import PublishError, Shelf, check_complete, upsert, verify_loaded
 from lakesift.sources.rejects import append_rejects, read_rejects
 from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
 
@@ -20,16 +20,11 @@ def _shelf(t) -> Shelf:
     return Shelf(t.spark, scratch(t.spark, "shelf"))
 
 
-@probe(
-    "a14_staged_version",
-    "SELECT 'orders_20240101_120000' AS staging_table, count(*) AS row_count FROM orders",
-)
+@probe("a14_staged_version", "SELECT *, 'orders_20240101_120000' AS staging_table FROM orders")
 def a14(t):
     shelf = _shelf(t)
     name = shelf.stage(t.orders, "orders", FIRST)
-    return shelf.read_version(name).agg(
-        F.lit(name).alias("staging_table"), F.count(F.lit(1)).alias("row_count")
-    )
+    return shelf.read_version(name).withColumn("staging_table", F.lit(name))
 
 
 @probe(
@@ -94,6 +89,27 @@ def j2_names(t):
     return shelf.read_published("c")
 
 
+@probe("j2_one_stamp", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal >= 0")
+def j2_one_stamp(t):
+    """Staged and published under one stamp, with another column order."""
+    shelf = _shelf(t)
+    shelf.publish({"c": shelf.stage(t.customer.select("c_custkey", "c_name"), "c", FIRST)}, "p1", "r1", FIRST)
+    shelf.publish({"c": shelf.stage(t.customer.where("c_acctbal >= 0").select("c_name", "c_custkey"), "c", SECOND)}, "p1", "r2", SECOND)
+    return shelf.read_published("c")
+
+
+@probe("j4_older_stamp_refused", "SELECT *, 'PublishError' AS outcome FROM orders")
+def j4_older(t):
+    """A publish that could not become visible is refused; what was published stays."""
+    shelf, outcome = _shelf(t), "published"
+    shelf.publish({"orders": shelf.stage(t.orders, "orders", SECOND)}, "p1", "r1", SECOND)
+    try:
+        shelf.publish({"orders": shelf.stage(t.orders.limit(1), "orders", FIRST)}, "p1", "r2", FIRST)
+    except PublishError as e:
+        outcome = type(e).__name__
+    return shelf.read_published("orders").withColumn("outcome", F.lit(outcome))
+
+
 @probe("j3_recreated", "SELECT c_name, c_mktsegment, c_acctbal FROM customer")
 def j3(t):
     """The schema follows the staged table."""
@@ -128,15 +144,13 @@ def j4(t):
     return shelf.audit().drop("publish_ts").join(rows, "gold_table")
 
 
-@probe("a17_published_fact", f"SELECT count(*) AS row_count, count(DISTINCT season) AS seasons FROM ({LINE_FACT_SQL})")
+@probe("a17_published_fact", LINE_FACT_SQL)
 def a17(t):
     """The wide line fact staged by season, published and read back."""
     shelf = _shelf(t)
     name = shelf.stage(line_fact(t), "line_fact", FIRST, cluster_by=["season"])
     shelf.publish({"line_fact": name}, "p1", "r1", FIRST)
-    return shelf.read_published("line_fact").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("season").alias("seasons")
-    )
+    return shelf.read_published("line_fact")
 
 
 _UPSERT = """
@@ -185,10 +199,16 @@ def j6_loads(t):
                    CASE WHEN count(*) = 0 THEN 'empty' END AS problem FROM {n}"""
         for n in NAMES
     )
-    + " UNION ALL SELECT 'invoices', NULL, 'FAIL', 'error: AnalysisException'",
+    + " UNION ALL SELECT 'invoices', NULL, 'FAIL', 'error: AnalysisException' UNION ALL SELECT 'payments', NULL, 'FAIL', 'unreadable'",
 )
 def i15(t):
-    return verify_loaded(t.spark, {n: t.path(n) for n in [*NAMES, "invoices"]})
+    """All tables beside one that is absent and one whose files are no parquet."""
+    broken = scratch(t.spark, "payments")
+    t.region.select("r_name").write.text(broken)
+    frame = t.spark.read.schema("k int").option("pathGlobFilter", "part-*").parquet(broken)
+    report = verify_loaded(t.spark, {**{n: t.path(n) for n in [*NAMES, "invoices"]}, "payments": frame})
+    unreadable = (F.col("table_name") == "payments") & F.col("problem").startswith("error: ")
+    return report.withColumn("problem", F.when(unreadable, "unreadable").otherwise(F.col("problem")))
 
 
 @probe(

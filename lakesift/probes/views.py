@@ -40,12 +40,11 @@ def doubles(df: DataFrame) -> DataFrame:
 
 def labelled(t: Tables) -> DataFrame:
     """Documents with their labels; most have none."""
-    docs = t.documents.select("doc_id", "lang", "source", "n_chars")
-    return docs.join(t.labels, "doc_id", "left")
+    return t.documents.join(t.labels, "doc_id", "left")
 
 
 LABELLED_SQL = """
-  SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """
 

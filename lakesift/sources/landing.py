@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass, fields
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,15 +74,22 @@ def read_typed_csv(
     null_token: str = "NA",
     mode: str = "FAILFAST",
     corrupt_col: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed scan with a header line; ``null_token`` is null in every type.
 
     The header of each file must carry the schema's names in order. FAILFAST
     stops at the first malformed row that is parsed in full; PERMISSIVE keeps it
     and, with ``corrupt_col``, shows its text.
+
+    ``multi_line`` reads free text whose quoted values hold line breaks and
+    doubled quotes. Such a file cannot be split, so each is read by one task: land
+    large tables as many part files.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     reader = reader.option("nullValue", null_token).option("nanValue", null_token)
+    if multi_line:
+        reader = reader.options(multiLine=True, escape='"', emptyValue="")
     reader = reader.option("mode", mode)
     if corrupt_col:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
@@ -104,10 +113,27 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def check_headers(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Are the file's own column names the declared ones, in order?"""
+    """Are the file's own column names the declared ones, in order?
+
+    Of a folder of part files this sees the first; the others are checked by the
+    scan that loads them, see :func:`header_error`.
+    """
     return header_of(spark, path) == schema.names
 
 
+def cause_of(e: BaseException) -> str:
+    """Class of what made a job fail, without the layers around it."""
+    java = getattr(e, "java_exception", None)
+    while java is not None and java.getCause() is not None:
+        java = java.getCause()
+    return type(e).__name__ if java is None else java.getClass().getSimpleName()
+
+
+def header_error(e: BaseException) -> bool:
+    """Did a scan stop because a part file has other column names?"""
+    return "CSV header does not conform to the schema" in str(e)
+
+
 def check_types(df: DataFrame, schema: T.StructType) -> bool:
     """Does the frame have the declared name-to-type map?"""
     actual = {f.name: f.dataType for f in df.schema.fields}
@@ -130,9 +156,9 @@ class FileStatus:
     table: str
     schema_known: bool | None = None
     header_ok: bool | None = None
-    types_ok: bool | None = None
     not_empty: bool | None = None
     parsed: bool | None = None
+    types_ok: bool | None = None
     loaded: bool | None = None
     rows_read: int | None = None
     malformed_rows: int | None = None
@@ -140,7 +166,7 @@ class FileStatus:
     error: str | None = None
 
 
-STEPS = ["schema_known", "header_ok", "types_ok", "not_empty", "parsed", "loaded"]
+STEPS = ["schema_known", "header_ok", "not_empty", "parsed", "types_ok", "loaded"]
 
 STATUS_SCHEMA = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("table", T.StringType())]
@@ -157,14 +183,19 @@ def ingest_file(
     registry: Registry,
     namespace: str,
     null_token: str = "NA",
+    multi_line: bool = False,
 ) -> FileStatus:
     """Check one landing file and load it, deduplicated and numbered, as a staging table.
 
-    One job parses every column, counts malformed rows on the way, removes
-    duplicate rows and writes. A file that fails any step leaves no table.
+    One job parses every column, checks the header of every part, counts malformed
+    rows on the way, removes duplicate rows and writes. Rows are numbered by their
+    content, so two ingests of a file number them alike. A file that fails any step
+    leaves no table.
     """
     table = file.rsplit(".", 1)[0]
     status = FileStatus(file, table)
+    target = f"{namespace}.{table}"
+    written = False
     try:
         status.schema_known = table in registry
         if not status.schema_known:
@@ -173,27 +204,31 @@ def ingest_file(
         status.header_ok = check_headers(spark, path, schema)
         if not status.header_ok:
             return status
-        raw = read_typed_csv(spark, path, schema, null_token, "PERMISSIVE", CORRUPT)
-        status.types_ok = check_types(raw.drop(CORRUPT), schema)
+        raw = read_typed_csv(spark, path, schema, null_token, "PERMISSIVE", CORRUPT, multi_line)
         status.not_empty = require_rows(raw)
-        if not (status.types_ok and status.not_empty):
+        if not status.not_empty:
             return status
-        seen = Observation(f"ingest {table}")
+        seen, kept = Observation(f"ingest {table}"), Observation(f"load {table}")
         rows = raw.observe(
             seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("malformed")
         )
-        target = f"{namespace}.{table}"
-        write_table(with_row_id(rows.drop(CORRUPT).dropDuplicates()), target)
+        distinct = rows.drop(CORRUPT).dropDuplicates().observe(kept, F.count(F.lit(1)).alias("rows"))
+        written = True
+        write_table(with_row_id(distinct, stable=schema.names), target)
         status.rows_read = seen.get["rows"]
         status.malformed_rows = seen.get["malformed"]
         status.parsed = status.malformed_rows == 0
-        if not status.parsed:
-            spark.sql(f"DROP TABLE {target}")
-            return status
-        status.rows_loaded = spark.table(target).count()
-        status.loaded = status.rows_loaded > 0
+        status.types_ok = check_types(spark.table(target).drop("index"), schema)
+        if status.parsed and status.types_ok:
+            status.rows_loaded = kept.get["rows"]
+            status.loaded = status.rows_loaded > 0
     except READ_ERRORS as e:
-        status.error = type(e).__name__
+        status.error = cause_of(e)
+        if header_error(e):
+            status.header_ok = False
+    finally:
+        if written and not status.loaded:
+            spark.sql(f"DROP TABLE IF EXISTS {target}")
     return status
 
 
@@ -216,15 +251,26 @@ def triage(statuses: DataFrame) -> DataFrame:
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, registry: Registry, namespace: str, null_token: str = "NA"
+    spark: SparkSession,
+    folder: str,
+    registry: Registry,
+    namespace: str,
+    null_token: str = "NA",
+    multi_line: Iterable[str] = (),
+    at_once: int = 8,
 ) -> DataFrame:
     """Ingest every admitted file of a landing folder; returns the triage manifest.
 
-    The loop is over file names; each file is one distributed job.
+    Each file is one distributed job; ``at_once`` of them run side by side.
+    ``multi_line`` names the tables whose text may hold line breaks.
     """
     names = [r["file"] for r in admit(list_landing(spark, folder), registry).select("file").collect()]
-    done = [
-        ingest_file(spark, f"{folder.rstrip('/')}/{n}", n, registry, namespace, null_token)
-        for n in sorted(names)
-    ]
+    free_text = {f"{t}.csv" for t in multi_line}
+
+    def one(name: str) -> FileStatus:
+        path = f"{folder.rstrip('/')}/{name}"
+        return ingest_file(spark, path, name, registry, namespace, null_token, name in free_text)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(one), sorted(names)))
     return triage(status_frame(spark, done))

@@ -12,15 +12,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesift.operators.dedupe import keep_best
 from lakesift.operators.keys import prefixed, same_keys_condition
-from lakesift.session import exists, fits_broadcast
+from lakesift.session import exists, materialize
 from lakesift.sources.catalog import stamp
 
 AUDIT_SCHEMA = T.StructType(
@@ -35,6 +37,10 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+# What a table that cannot be read raises: when it is opened, or from inside a task.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
+
 class PublishError(Exception):
     """A staged table cannot replace its target; nothing was published."""
 
@@ -47,13 +53,22 @@ class Shelf:
     root: str
 
     def _version(self, name: str) -> str:
-        table, day, time = name.rsplit("_", 2)
+        table, day, time = name.rsplit("_", 2)  # the time may carry a counter
         return f"{self.root.rstrip('/')}/versions/{table}/{day}_{time}"
 
     @property
     def _audit_path(self) -> str:
         return f"{self.root.rstrip('/')}/audit"
 
+    def _free_name(self, table: str, ts: datetime | None) -> str:
+        """``<table>_<stamp>``, with a counter where that stamp is taken."""
+        first = name = f"{table}_{stamp(ts)}"
+        taken = 1
+        while exists(self.spark, self._version(name)):
+            taken += 1
+            name = f"{first}-{taken}"
+        return name
+
     # -- staging -----------------------------------------------------------
 
     def stage(
@@ -69,7 +84,7 @@ class Shelf:
         statistics prune a later scan; small groups share a file and a hot one
         is split over several tasks.
         """
-        name = f"{table}_{stamp(ts)}"
+        name = self._free_name(table, ts)
         if cluster_by:
             df = df.hint("rebalance", *cluster_by).sortWithinPartitions(*cluster_by)
         df.write.parquet(self._version(name))
@@ -144,7 +159,7 @@ class Shelf:
         wrong = [f.name for f in old.fields if types.get(f.name) != f.dataType]
         if wrong:
             raise PublishError(f"{staged} does not fit {table}: {', '.join(wrong)}")
-        name = f"{table}_{stamp(ts)}"
+        name = self._free_name(table, ts)
         self.read_version(staged).select(*old.names).write.parquet(self._version(name))
         return name
 
@@ -158,9 +173,14 @@ class Shelf:
     ) -> DataFrame:
         """Make staged versions current, all together; returns the new audit rows.
 
-        ``recreate`` lets the schema follow the staged table.
+        ``recreate`` lets the schema follow the staged table. A stamp that is not
+        later than a table's last publish would leave the older version current,
+        so it is refused.
         """
         ts = ts or datetime.now(timezone.utc)
+        late = self.audit().where(F.col("gold_table").isin(*staged) & (F.col("publish_ts") >= F.lit(ts)))
+        if stale := sorted(r["gold_table"] for r in late.select("gold_table").distinct().collect()):
+            raise PublishError(f"published later than {ts}: {', '.join(stale)}")
         rows = []
         for table, name in staged.items():
             before = self.current(table)
@@ -175,16 +195,15 @@ class Shelf:
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
-    """Base, unique on its keys, with the rows of delta merged in.
+    """Base with the rows of delta merged in.
 
-    Per key the first row in ``order`` wins. If the keys of the delta are small
-    enough to broadcast, only base rows with such a key compete and all others
-    pass through an anti join without a shuffle. A larger delta is merged in one
-    shuffle of everything.
+    Of a key that the delta has, the first row in ``order`` among base and delta
+    stays. Rows of other keys pass as they are, also where base repeats a key.
+    The delta is stored, so it is computed once and its true size lets the
+    planner join by broadcast where it is small.
     """
+    delta = materialize(delta, "delta")
     touched = prefixed(delta.select(*keys).distinct(), keys, "_u_")
-    if not fits_broadcast(touched):
-        return keep_best(base.unionByName(delta), keys, order)
     on = same_keys_condition(keys, "_u_")
     rivals = base.join(touched, on, "left_semi").unionByName(delta)
     return base.join(touched, on, "left_anti").unionByName(keep_best(rivals, keys, order))
@@ -193,34 +212,41 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequen
 # -- verification after a load -----------------------------------------------
 
 
+def _counted(df: DataFrame, name: str) -> DataFrame:
+    n = F.count(F.lit(1))
+    return df.agg(
+        F.lit(name).alias("table_name"),
+        n.alias("row_count"),
+        F.when(n > 0, "PASS").otherwise("FAIL").alias("status"),
+        F.when(n == 0, "empty").alias("problem"),
+    )
+
+
 def verify_loaded(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> DataFrame:
     """Row count and PASS or FAIL per table, given as frames or paths.
 
-    Tables that cannot be opened are reported with their error class; the
-    counts of all others come from one job over file footers.
+    The counts come from one job over file footers. Where a table cannot be
+    opened or read it is reported with its error class, and the others are
+    counted one by one.
     """
-    broken, counts = [], []
+    schema = "table_name string, row_count bigint, status string, problem string"
+    broken, counts = [], {}
     for name, source in tables.items():
         try:
             df = spark.read.parquet(source) if isinstance(source, str) else source
-        except AnalysisException as e:
+            counts[name] = _counted(df, name)
+        except READ_ERRORS as e:
             broken.append((name, None, "FAIL", f"error: {type(e).__name__}"))
-            continue
-        n = F.count(F.lit(1))
-        counts.append(
-            df.agg(
-                F.lit(name).alias("table_name"),
-                n.alias("row_count"),
-                F.when(n > 0, "PASS").otherwise("FAIL").alias("status"),
-                F.when(n == 0, "empty").alias("problem"),
-            )
-        )
-    report = spark.createDataFrame(
-        broken, "table_name string, row_count bigint, status string, problem string"
-    )
-    for c in counts:
-        report = report.unionByName(c)
-    return report
+    try:
+        rows = reduce(DataFrame.unionByName, counts.values()).collect() if counts else []
+    except READ_ERRORS:
+        rows = []
+        for name, count in counts.items():
+            try:
+                rows += count.collect()
+            except READ_ERRORS as e:
+                broken.append((name, None, "FAIL", f"error: {type(e).__name__}"))
+    return spark.createDataFrame([*map(tuple, rows), *broken], schema)
 
 
 def check_complete(report: DataFrame, expected: Sequence[str]) -> DataFrame:

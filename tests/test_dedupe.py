@@ -50,11 +50,11 @@ def test_dedupe_is_idempotent(frame):
     assert rows(by_key) == rows(U.dedupe(by_key, ["k"], U.latest_complete("v")))
 
 
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_surplus_and_survivors_cover_the_table(frame, limit):
+@pytest.mark.parametrize("spread", [True, False])
+def test_surplus_and_survivors_cover_the_table(frame, spread):
     df = frame(ROWS + ROWS[:1], SCHEMA)
     order = U.latest_complete("v")
-    both = U.keep_best(df, ["k"], order).unionByName(U.surplus_rows(df, ["k"], order, limit))
+    both = U.keep_best(df, ["k"], order).unionByName(U.surplus_rows(df, ["k"], order, spread))
     assert rows(both) == rows(df)
 
 
@@ -80,7 +80,7 @@ def test_running_total_is_the_same_on_both_paths(frame, data):
     """The range-partitioned form against brute force, with many ties and hot keys."""
     df = frame(data, "k int, v int, n int")
     order = [F.col("v").desc(), F.col("n").asc()]
-    got = running_total(df, ["k"], order, "n", "t", max_group_rows=8)
+    got = running_total(df, ["k"], order, "n", "t", spread=True)
     groups, want = defaultdict(int), []
     for k, v, n in sorted(data, key=lambda r: (r[0], -r[1], r[2])):
         groups[k] += n
@@ -90,9 +90,27 @@ def test_running_total_is_the_same_on_both_paths(frame, data):
     assert rows(plain) == sorted(want)
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(10,2)"])
+def test_nullable_weights_give_the_same_rows_and_types(frame, kind):
+    """Null until the first weight that is there; equal types whatever the plan."""
+    weights = [None, 1, 1, 1, None, 2, None, None, 3] * 30
+    df = frame([(1 if i % 5 else 2, i, w) for i, w in enumerate(weights)], "k int, v int, n int")
+    df = df.withColumn("n", F.col("n").cast(kind)).repartition(5)
+    order = [F.col("v").asc()]
+    plain, spread = (running_total(df, ["k"], order, "n", "t", spread=s) for s in (False, True))
+    assert plain.dtypes == spread.dtypes
+    assert rows(plain) == rows(spread)
+    so_far = {1: None, 2: None}
+    for i, w in enumerate(weights):
+        k = 1 if i % 5 else 2
+        so_far[k] = so_far[k] if w is None else (so_far[k] or 0) + w
+    last = {r["k"]: r["t"] for r in spread.orderBy("v").collect()}
+    assert {k: float(t) for k, t in last.items()} == so_far
+
+
 def test_number_rows_of_a_hot_key(spark):
     df = spark.range(0, 30000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id) AS k", "30000 - id AS v")
-    got = number_rows(df, ["k"], [F.col("v").asc()], "n", max_group_rows=2000)
+    got = number_rows(df, ["k"], [F.col("v").asc()], "n", spread=True)
     hot = sorted((r["v"], r["n"]) for r in got.where("k = -1").collect())
     assert [n for _, n in hot] == list(range(1, 10001))
     assert got.where("k <> -1 AND n <> 1").isEmpty()
@@ -101,28 +119,28 @@ def test_number_rows_of_a_hot_key(spark):
 
 def test_number_all_rows_without_keys(spark):
     df = spark.range(0, 5000, 1, 5).selectExpr("id % 7 AS a", "id AS b")
-    got = number_rows(df, [], [F.col("a").asc(), F.col("b").asc()], "n", max_group_rows=500)
+    got = number_rows(df, [], [F.col("a").asc(), F.col("b").asc()], "n", spread=True)
     assert [r["n"] for r in got.orderBy("a", "b").collect()] == list(range(1, 5001))
 
 
 def test_hot_equal_rows_are_spread(spark):
     """A third of the rows are copies of one row; their numbers are still 1 to n."""
     df = spark.range(0, 9000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id) AS k", "0 AS v")
-    got = number_rows(df, ["k"], [F.col("v").asc()], "n", max_group_rows=500)
+    got = number_rows(df, ["k"], [F.col("v").asc()], "n", spread=True)
     assert sorted(r["n"] for r in got.where("k = -1").collect()) == list(range(1, 3001))
 
 
 def test_ties_are_settled_alike_on_both_paths(spark):
     df = spark.range(0, 3000, 1, 3).selectExpr("id % 2 AS k", "id % 3 AS v", "id AS w")
     order = [F.col("v").asc()]
-    assert rows(number_rows(df, ["k"], order, "n", 300)) == rows(number_rows(df, ["k"], order, "n"))
-    first = number_rows(df, ["k"], order, "n", 300).where("n = 1").drop("n")
+    assert rows(number_rows(df, ["k"], order, "n", True)) == rows(number_rows(df, ["k"], order, "n"))
+    first = number_rows(df, ["k"], order, "n", True).where("n = 1").drop("n")
     assert rows(first) == rows(U.keep_best(df, ["k"], order))
 
 
 def test_offsets_of_the_distributed_numbering_are_broadcast(spark):
     df = spark.range(0, 5000, 1, 5).selectExpr("id % 2 AS k", "id AS b")
-    assert "BroadcastHashJoin" in plan(number_rows(df, ["k"], [F.col("b").asc()], max_group_rows=500))
+    assert "BroadcastHashJoin" in plan(number_rows(df, ["k"], [F.col("b").asc()], spread=True))
 
 
 def test_top_k_and_first_rows(frame):

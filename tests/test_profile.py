@@ -55,11 +55,10 @@ def test_summary(frame):
     assert r["stddev"] == pytest.approx(statistics.stdev([1, 2, 4]))
 
 
-@pytest.mark.parametrize("limit", [5, 10_000])
-def test_quantiles_against_brute_force(frame, limit):
+def test_quantiles_against_brute_force(frame):
     rng = random.Random(3)
     values = [float(rng.choice([1, 1, 1, rng.randint(0, 50)])) for _ in range(101)]
-    got = P.quantiles(frame([(v,) for v in values], "v double"), "v", [0.0, 0.25, 0.5, 0.9, 1.0], limit)
+    got = P.quantiles(frame([(v,) for v in values], "v double"), "v", [0.0, 0.25, 0.5, 0.9, 1.0])
     ordered = sorted(values)
 
     def at(p):

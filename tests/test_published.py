@@ -80,6 +80,38 @@ def test_upsert(frame, conf, threshold):
     assert rows(again) == rows(got)
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_upsert_of_stored_tables_with_repeated_keys(spark, frame, conf, tmp_path, threshold):
+    """Of keys that the delta has one row stays, others pass as they are, whatever the join."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    frame([(1, 1, "a"), (1, 2, "aa"), (2, 1, "b"), (2, 2, "bb"), (None, 1, "n")], "k int, ts int, v string").write.parquet(f"{tmp_path}/base")
+    frame([(2, 3, "B"), (3, 1, "c"), (None, 2, "N")], "k int, ts int, v string").write.parquet(f"{tmp_path}/delta")
+    base, delta = spark.read.parquet(f"{tmp_path}/base"), spark.read.parquet(f"{tmp_path}/delta")
+    got = upsert(base, delta, ["k"], [F.col("ts").desc()])
+    assert rows(got, "k", "v") == rows(frame([(1, "a"), (1, "aa"), (2, "B"), (3, "c"), (None, "N")], "k int, v string"))
+
+
+def test_one_stamp_and_older_stamps(shelf, frame):
+    shelf.publish({"t": shelf.stage(frame([(1, "a")], "k int, v string"), "t", DAYS[0])}, "p", "r1", DAYS[0])
+    shelf.publish({"t": shelf.stage(frame([("b", 2)], "v string, k int"), "t", DAYS[1])}, "p", "r2", DAYS[1])
+    assert [tuple(r) for r in shelf.read_published("t").collect()] == [(2, "b")]
+    again = shelf.stage(frame([(3, "c")], "k int, v string"), "t", DAYS[1])
+    for old in (DAYS[0], DAYS[1]):
+        with pytest.raises(PublishError):
+            shelf.publish({"t": again}, "p", "r3", old)
+    assert [tuple(r) for r in shelf.read_published("t").collect()] == [(2, "b")]
+
+
+def test_unreadable_tables_are_reported_beside_good_ones(spark, frame, tmp_path):
+    good, bad = str(tmp_path / "good"), tmp_path / "bad"
+    frame([(1,)], "k int").write.parquet(good)
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"PAR1 no footer")
+    late = spark.read.schema("k int").parquet(str(bad))
+    report = {r["table_name"]: (r["row_count"], r["status"]) for r in verify_loaded(spark, {"good": good, "bad": str(bad), "late": late}).collect()}
+    assert report == {"good": (1, "PASS"), "bad": (None, "FAIL"), "late": (None, "FAIL")}
+
+
 def test_initial_and_incremental_load(shelf, frame):
     order = [F.col("ts").desc()]
     first = frame([(1, 1, "a"), (1, 2, "A"), (2, 1, "b")], "k int, ts int, v string")
