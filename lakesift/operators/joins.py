@@ -48,9 +48,38 @@ def enrich(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
     A dimension must be unique on its key, as :func:`check_primary_key` leaves it.
     """
+    return star(fact, lookups)
+
+
+def star(fact: DataFrame, lookups: Sequence[Lookup], hows: Sequence[str] | None = None) -> DataFrame:
+    """Join dimensions, among them those that are reached through another one.
+
+    A lookup whose key comes from an earlier lookup is joined to that dimension
+    first, so only dimensions are shuffled for it and the fact takes part in one
+    join per dimension of its own. Columns come in the order in which one join
+    after the other would leave them. ``hows`` gives the kind of each join, left
+    by default; a dimension of a dimension is always joined left.
+    """
+    hows = list(hows or ["left"] * len(lookups))
+    home: list[int | None] = []
+    for i, look in enumerate(lookups):
+        above = [k for k in range(i) if look.key in lookups[k].cols.values()]
+        home.append(None if look.key in fact.columns or not above else above[0])
+
+    def resolved(like: DataFrame, i: int) -> DataFrame:
+        df = _projected(like, lookups[i])
+        for k in range(len(lookups)):
+            if home[k] == i:
+                df = df.join(resolved(df, k), lookups[k].key, "left")
+        return df
+
+    columns = list(fact.columns)
     for look in lookups:
-        fact = join_dimension(fact, look, "left")
-    return fact
+        columns = [look.key, *[c for c in columns if c != look.key], *look.cols.values()]
+    for i, look in enumerate(lookups):
+        if home[i] is None:
+            fact = fact.join(resolved(fact, i), look.key, hows[i])
+    return fact.select(*columns)
 
 
 def _membership(

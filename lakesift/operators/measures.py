@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakesift.functions.columns import current_values, rate, safe_ratio
+from lakesift.functions.columns import current_values, rate, safe_ratio, season_start
 
 
 def slice_by(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:
@@ -39,7 +40,24 @@ def measure_ratio(df: DataFrame, by: Sequence[str], num: str, den: str, out: str
     return df.groupBy(*by).agg(safe_ratio(F.sum(num), F.sum(den)).alias(out))
 
 
+def measure_set(
+    df: DataFrame,
+    by: Sequence[str],
+    sums: Mapping[str, str],
+    rates: Mapping[str, str],
+    time: str,
+    per: float = 60,
+) -> DataFrame:
+    """A fixed set of sums and of rates of sums, in one aggregate."""
+    every = {name: F.sum(c).alias(name) for name, c in sums.items()}
+    every |= {name: rate(F.sum(c), F.sum(time), per).alias(name) for name, c in rates.items()}
+    return df.groupBy(*by).agg(*every.values())
+
+
 def _season_totals(df: DataFrame, by: Sequence[str], season: str, measure: str) -> DataFrame:
+    """Totals per season; a text such as 19951996 counts as the year it starts in."""
+    if isinstance(df.schema[season].dataType, T.StringType):
+        df = df.withColumn(season, season_start(season))
     return df.groupBy(*by, season).agg(F.sum(measure).cast("double").alias("current"))
 
 

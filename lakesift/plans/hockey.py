@@ -187,3 +187,18 @@ REQUIRED = {
 }
 
 FACTS = [SKATER_FACT, GOALIE_FACT]
+
+# The measures of the two published facts by their names, sums and rates of sums per 60.
+SKATER_SUMS = {
+    "Total TOI (Min)": "total_toi_min", "Total Goals": "total_goals", "Total Assists": "total_assists",
+    "Total Shots": "total_shots",
+}
+SKATER_RATES = {"Goals per 60": "total_goals", "Assists per 60": "total_assists", "Shots per 60": "total_shots"}
+GOALIE_SUMS = {
+    "G Total TOI (Min)": "total_toi_min", "Total Saves": "total_saves", "G Total Assists": "total_assists",
+    "G Total Shots": "total_shots", "G Total Goals": "total_goals",
+}
+GOALIE_RATES = {
+    "G Assists per 60": "total_assists", "G Goals per 60": "total_goals", "G Shots per 60": "total_shots",
+    "Saves per 60": "total_saves",
+}

@@ -21,7 +21,8 @@ from lakesift.operators.checks import (
 )
 from lakesift.operators.expectations import Expectation, passed, run_suite
 from lakesift.operators.facts import rate_fact
-from lakesift.operators.joins import Lookup, enrich, join_dimension
+from lakesift.operators.joins import Lookup
+from lakesift.operators.joins import star as join_star
 from lakesift.session import remove, scratch
 from lakesift.sources.catalog import load_required
 from lakesift.sources.published import Shelf, verify_loaded
@@ -208,13 +209,14 @@ def _lookup(tables: Mapping[str, DataFrame], role: Role) -> Lookup:
 def build_fact(tables: Mapping[str, DataFrame], fact: FactRules, star: StarRules) -> DataFrame:
     """One wide fact: sums and rates at the grain, then the star around it.
 
-    The sums come first, so only aggregated rows take part in the joins.
+    The sums come first, so only aggregated rows take part in the joins, and
+    dimensions of dimensions are joined to one another before.
     """
     rates = rate_fact(
         tables[fact.source], fact.keys, fact.metrics, fact.time, fact.time_out, cast=fact.cast
     )
-    joined = join_dimension(rates, _lookup(tables, star.main), "inner")
-    wide = enrich(joined, [_lookup(tables, r) for r in star.roles])
+    roles = [star.main, *star.roles]
+    wide = join_star(rates, [_lookup(tables, r) for r in roles], ["inner", *["left"] * len(star.roles)])
     return wide.withColumn("venue", venue(star.own_key, star.home_key))
 
 

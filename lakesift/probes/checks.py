@@ -105,14 +105,13 @@ def i4_metrics(t):
 @probe(
     "i4_document_orphans",
     """
-    SELECT doc_id, lang, source, n_chars, 'ri_orphan' AS issue_type,
+    SELECT doc_id, text, lang, source, n_chars, 'ri_orphan' AS issue_type,
            'labels' AS failed_dimension, 'doc_id' AS join_key
     FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
     """,
 )
 def i4_documents(t):
-    docs = t.documents.drop("text")
-    return K.check_references(docs, [K.Reference("labels", t.labels, "doc_id")]).rejects
+    return K.check_references(t.documents, [K.Reference("labels", t.labels, "doc_id")]).rejects
 
 
 _NEG = "'negative_value' AS issue_type, 'must_be_non_negative' AS check_type"

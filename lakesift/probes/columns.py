@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakesift.functions import columns as C
@@ -42,10 +43,12 @@ def b3(t):
     )
 
 
-@probe("b4_row_id", "SELECT count(*) AS n_rows, count(*) AS n_ids FROM lineitem")
+@probe("b4_row_id", "SELECT *, true AS only_once FROM lineitem")
 def b4(t):
-    ids = C.with_row_id(t.lineitem.select("l_orderkey"))
-    return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("index").alias("n_ids"))
+    """Every line with its id, which no other line has."""
+    ids = C.with_row_id(t.lineitem)
+    once = F.count(F.lit(1)).over(Window.partitionBy("index")) == 1
+    return ids.withColumn("only_once", once).drop("index")
 
 
 @probe(

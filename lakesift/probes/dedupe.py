@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakesift.operators import dedupe as U
-from lakesift.operators.ordering import number_rows
+from lakesift.operators.ordering import number_rows, running_total
 from lakesift.probes.registry import probe
 from lakesift.probes.views import labelled
 
@@ -111,6 +111,21 @@ def e4_hot(t):
     )
 
 
+@probe(
+    "e4_running_weight",
+    """
+    SELECT *, CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS weight,
+           cast(sum(CASE WHEN o_orderstatus <> 'F' THEN o_custkey END) OVER (
+             PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS bigint) AS so_far
+    FROM orders
+    """,
+)
+def e4_weight(t):
+    """A running sum of weights of which many are null, spread over range partitions."""
+    orders = t.orders.withColumn("weight", F.when(F.col("o_orderstatus") != "F", F.col("o_custkey")))
+    return running_total(orders, ["o_orderpriority"], [F.col("o_orderkey").asc()], "weight", "so_far", spread=True)
+
+
 @probe(
     "b13_running_number_key",
     f"""

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from lakesift.operators import measures as M
 from lakesift.probes.registry import probe, sql_money
+from lakesift.session import scratch
+from lakesift.sources.published import Shelf
 from lakesift.probes.views import (
     LINE_FACT_SQL,
     LINE_RATES_SQL,
@@ -13,12 +17,13 @@ from lakesift.probes.views import (
     line_rates,
     money,
     order_seasons,
+    season_lines,
 )
 
 
-def _fact(t):
+def _fact(fact):
     return money(
-        line_fact(t), "total_l_extendedprice", "total_minutes", "l_linenumber_per_60",
+        fact, "total_l_extendedprice", "total_minutes", "l_linenumber_per_60",
         "l_tax_per_60", "l_extendedprice_per_60",
     )
 
@@ -42,7 +47,7 @@ def d18(t):
         "price": "total_l_extendedprice",
         "linenumbers": "total_l_linenumber",
     }
-    return doubles(M.measure_sum(_fact(t), ["season"], cols))
+    return doubles(M.measure_sum(_fact(season_lines(t)), ["season"], cols))
 
 
 _RATES = f"""
@@ -57,12 +62,12 @@ _RATE_COLS = {"price_per_60": "total_l_extendedprice", "linenumber_per_60": "tot
     f"SELECT season, o_orderpriority, {_RATES} FROM ({LINE_FACT_SQL}) GROUP BY season, o_orderpriority",
 )
 def d19(t):
-    return M.measure_rate(_fact(t), ["season", "o_orderpriority"], _RATE_COLS, "total_minutes")
+    return M.measure_rate(_fact(season_lines(t)), ["season", "o_orderpriority"], _RATE_COLS, "total_minutes")
 
 
 @probe("d19_ratio_of_sums_overall", f"SELECT {_RATES} FROM ({LINE_FACT_SQL})")
 def d19_all(t):
-    return M.measure_rate(_fact(t), [], _RATE_COLS, "total_minutes")
+    return M.measure_rate(_fact(season_lines(t)), [], _RATE_COLS, "total_minutes")
 
 
 @probe(
@@ -157,10 +162,10 @@ def d24(t):
     """,
 )
 def d25(t):
-    picked = M.slice_by(
-        _fact(t),
-        {"season": 1996, "venue": "Home", "o_orderpriority": ["1-URGENT", "2-HIGH"]},
-    )
+    """What is selected by the orders' own columns is selected before the lines are grouped."""
+    orders = t.orders.withColumn("season", F.year("o_orderdate"))
+    orders = M.slice_by(orders, {"season": 1996, "o_orderpriority": ["1-URGENT", "2-HIGH"]})
+    picked = M.slice_by(_fact(line_fact(t, orders)), {"venue": "Home"})
     return M.measure_rate(picked, ["l_suppkey"], _RATE_COLS, "total_minutes")
 
 
@@ -173,3 +178,42 @@ def d25(t):
 )
 def f4(t):
     return M.most_improved(order_seasons(t), "o_custkey", "season", "o_totalprice", 20)
+
+
+def _published_lines(t):
+    """The line fact with its season as text, such as 19951996, published and read back."""
+    year = F.col("season")
+    fact = season_lines(t).withColumn("season", F.concat(year.cast("string"), (year + 1).cast("string")))
+    shelf, stamp = Shelf(t.spark, scratch(t.spark, "shelf")), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    shelf.publish({"lines": shelf.stage(fact, "lines", stamp, cluster_by=["season"])}, "p1", "r1", stamp)
+    return _fact(shelf.read_published("lines"))
+
+
+_TEXT_SEASONS = f"""
+  WITH s AS (SELECT season, cast(sum(total_l_linenumber) as double) AS total FROM ({LINE_FACT_SQL}) GROUP BY season)
+  SELECT c.season, c.total AS "current", p.total AS previous, %s FROM s c LEFT JOIN s p ON c.season = p.season + 1
+"""
+
+
+@probe("d21_text_season_difference", _TEXT_SEASONS % "coalesce(c.total, 0) - p.total AS change")
+def d21_text(t):
+    return M.yoy_diff(_published_lines(t), [], "season", "total_l_linenumber")
+
+
+@probe("d22_text_season_percent", _TEXT_SEASONS % _PCT)
+def d22_text(t):
+    return M.yoy_pct(_published_lines(t), [], "season", "total_l_linenumber")
+
+
+@probe(
+    "d19_measure_set",
+    f"""
+    SELECT cast(season as varchar) || cast(season + 1 as varchar) AS season, {sql_money("total_minutes")} AS minutes,
+           {sql_money("total_l_extendedprice")} AS price, cast(sum(total_l_linenumber) as bigint) AS linenumbers, {_RATES}
+    FROM ({LINE_FACT_SQL}) GROUP BY season
+    """,
+)
+def d19_set(t):
+    """A fixed set of sums and rates on a published fact."""
+    sums = {"minutes": "total_minutes", "price": "total_l_extendedprice", "linenumbers": "total_l_linenumber"}
+    return doubles(M.measure_set(_published_lines(t), ["season"], sums, _RATE_COLS, "total_minutes"))

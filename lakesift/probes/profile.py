@@ -188,7 +188,7 @@ def d16_share(t):
     return P.null_share_by_category(labelled(t), "lang", "quality")
 
 
-_TYPES = {"doc_id": "bigint", "lang": "string", "source": "string", "n_chars": "bigint",
+_TYPES = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint",
           "quality": "int", "toxic": "int"}
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakesift.functions.columns import venue
 from lakesift.operators.facts import rate_fact
-from lakesift.operators.joins import Lookup, enrich, join_dimension
+from lakesift.operators.joins import Lookup, matched, star
 from lakesift.probes.registry import Tables, sql_round
 
 LINE_GRAIN = ["l_suppkey", "l_orderkey"]
@@ -49,9 +49,10 @@ LABELLED_SQL = """
 """
 
 
-def line_rates(t: Tables) -> DataFrame:
+def line_rates(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     """Sums and rates per supplier and order; quantity plays the part of time."""
-    return doubles(rate_fact(line_amounts(t), LINE_GRAIN, LINE_METRICS, "l_quantity", "total_minutes"))
+    lines = line_amounts(t) if lines is None else lines
+    return doubles(rate_fact(lines, LINE_GRAIN, LINE_METRICS, "l_quantity", "total_minutes"))
 
 
 _TOTALS = {
@@ -75,26 +76,31 @@ LINE_RATES_SQL = f"""
 """
 
 
-def line_fact(t: Tables) -> DataFrame:
-    """The wide fact: line rates, their order, and nations in a home and an away role."""
+def line_orders(orders: DataFrame) -> Lookup:
+    """What the line fact takes from its orders."""
+    cols = ["o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+    return Lookup(orders, "l_orderkey", "o_orderkey", {c: c for c in cols})
+
+
+def line_fact(t: Tables, orders: DataFrame | None = None) -> DataFrame:
+    """The wide fact: line rates, their order, and nations in a home and an away role.
+
+    Given a selection of orders, only their lines are grouped.
+    """
+    lines = None if orders is None else matched(line_amounts(t), orders, "l_orderkey", "o_orderkey")
+    orders = t.orders if orders is None else orders
     homes = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("home_nation_id"))
     aways = t.customer.select("c_custkey", F.col("c_nationkey").alias("away_nation_id"))
-    with_order = join_dimension(
-        line_rates(t),
-        Lookup(
-            t.orders, "l_orderkey", "o_orderkey",
-            {"o_custkey": "o_custkey", "o_orderdate": "o_orderdate",
-             "o_orderpriority": "o_orderpriority", "o_orderstatus": "o_orderstatus"},
-        ),
-    )
-    wide = enrich(
-        with_order,
+    wide = star(
+        line_rates(t, lines),
         [
+            line_orders(orders),
             Lookup(homes, "l_suppkey", "s_suppkey", {"home_nation_id": "home_nation_id"}),
             Lookup(aways, "o_custkey", "c_custkey", {"away_nation_id": "away_nation_id"}),
             Lookup(t.nation, "away_nation_id", "n_nationkey", {"n_name": "away_nation_name"}),
             Lookup(t.nation, "home_nation_id", "n_nationkey", {"n_name": "home_nation_name"}),
         ],
+        ["inner", "left", "left", "left", "left"],
     )
     return wide.withColumns(
         {
@@ -104,6 +110,11 @@ def line_fact(t: Tables) -> DataFrame:
     )
 
 
+def season_lines(t: Tables) -> DataFrame:
+    """The line fact with its orders only, for measures that need no other role."""
+    return star(line_rates(t), [line_orders(t.orders)], ["inner"]).withColumn("season", F.year("o_orderdate"))
+
+
 LINE_FACT_SQL = f"""
   SELECT r.*, o.o_custkey, o.o_orderdate, o.o_orderpriority, o.o_orderstatus,
          s.s_nationkey AS home_nation_id, c.c_nationkey AS away_nation_id,

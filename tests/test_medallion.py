@@ -149,3 +149,69 @@ def test_fact_order():
     assert order.index("game_plays") < order.index("game_plays_players")
     with pytest.raises(ValueError):
         GalaxyRules({}, {"a": {"b": ("k", "k")}, "b": {"a": ("k", "k")}}).fact_order(["a", "b"])
+
+
+def test_failures_are_logged_and_the_rest_still_loads(spark, tmp_path):
+    """A fact without its dimension and an unreadable fact; the good fact loads, the log is written."""
+    from pyspark.sql import functions as F
+
+    from lakesift.sources.runlog import entries, read_log
+
+    dim = spark.createDataFrame([(1,), (2,)], "d int")
+    facts = {
+        "good": spark.createDataFrame([(1, 5), (3, 5), (2, -1)], "d int, v int"),
+        "alone": spark.createDataFrame([(1, 5)], "d int, v int"),
+        "broken": spark.createDataFrame([(1, 5)], "d int, v int").withColumn("v", F.raise_error(F.lit("boom")).cast("int")),
+    }
+    rules = GalaxyRules(
+        primary_keys={"dim": ["d"]},
+        references={"good": {"dim": ("d", "d")}, "alone": {"absent": ("d", "d")}, "broken": {"dim": ("d", "d")}},
+        non_negative={"good": ["v"], "broken": ["v"]},
+    )
+    log = RunLog("p", "r", str(tmp_path / "log"))
+    silver = load_silver({"dim": dim, **facts}, rules, str(tmp_path / "silver"), str(tmp_path / "rejects"), log)
+    assert sorted(silver) == ["dim", "good"]
+    stored = read_log(spark, log.path)
+    last = {r["step"]: r["status"] for r in latest(stored).collect()}
+    assert last["check_rows good"] == "success" and last["check_rows alone"] == last["check_rows broken"] == last["load_to_silver"] == "failed"
+    assert entries(stored, "check_rows alone", "error").first()["status"] == "MissingInput"
+    assert entries(stored, "check_rows broken", "error").first()["status"] != ""
+    # Plain files of a silver table hold accepted rows only.
+    plain = spark.read.parquet(str(tmp_path / "silver" / "good"))
+    assert plain.columns == ["d", "v", "load_timestamp", "pipeline_id", "run_id"]
+    assert rows(plain, "d", "v") == [(1, 5)]
+    assert read_reasons(spark, str(tmp_path / "rejects")).count() == 2
+
+
+def test_two_ingests_give_the_same_silver_rows(spark, tmp_path):
+    """One landing folder, read into different numbers of partitions: the same survivors with the same numbers."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    table = "\n".join(["k,v", *[f"{i % 40},{i}" for i in range(400)]]) + "\n"
+    (landing / "t.csv").write_text(table)
+    from pyspark.sql import types as T
+
+    registry = {"t": {"k": T.IntegerType(), "v": T.IntegerType()}}
+    found = []
+    for run, size in (("a", "200b"), ("b", "128m")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        space = C.create_namespace(spark, f"again_{run}", str(tmp_path / run))
+        L.ingest_folder(spark, str(landing), registry, space)
+        rules = GalaxyRules(primary_keys={"t": ["k"]}, references={})
+        silver = load_silver(C.load_namespace(spark, space), rules, str(tmp_path / f"s{run}"), str(tmp_path / f"r{run}"), RunLog("p", run))
+        found.append(rows(silver["t"], "k", "v", "index"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found[0]) == 40 and found[0] == found[1]
+
+
+def test_measures_of_the_published_facts(lake):
+    from lakesift.operators.measures import measure_set, yoy_diff, yoy_pct
+
+    skater = lake["shelf"].read_published("fact_skater_stats_per_60")
+    row = measure_set(skater, [], H.SKATER_SUMS, H.SKATER_RATES, "total_toi_min").first()
+    assert (row["Total Goals"], row["Total TOI (Min)"], row["Goals per 60"]) == (3, 20.0, 9.0)
+    goalie = lake["shelf"].read_published("fact_goalie_stats_per_60")
+    row = measure_set(goalie, [], H.GOALIE_SUMS, H.GOALIE_RATES, "total_toi_min").first()
+    assert (row["Total Saves"], row["Saves per 60"]) == (30, 30.0)
+    assert rows(yoy_diff(skater, [], "season", "total_goals"), "season", "change") == [(2015, None), (2016, -1.0)]
+    assert rows(yoy_pct(skater, [], "season", "total_goals"), "season", "pct_change") == [(2015, None), (2016, -50.0)]

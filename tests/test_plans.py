@@ -44,6 +44,22 @@ def test_star_around_small_dimensions_shuffles_only_the_aggregate(spark):
     assert text.count("BroadcastHashJoin") == 5
 
 
+def test_a_star_of_large_dimensions_shuffles_the_fact_for_its_own_keys_only(spark, conf):
+    """Without broadcasts: one exchange of the fact to group, one for each of its own two keys."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    text = _plan(spark, "c2_star_enrichment")
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", text)
+    # The dimension on the other side of each of the two joins carries the fact's key name.
+    assert keys.count("l_orderkey") + keys.count("l_suppkey") == 3 + 2
+    assert len(re.findall("SortMergeJoin", text)) == 5
+
+
+def test_measures_of_one_role_join_nothing_else(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert _plan(spark, "d18_additive_measures").count("Join") == 1
+
+
 def test_season_change_needs_no_self_join(spark):
     text = _plan(spark, "d22_season_percent")
     assert "Join" not in text
