@@ -8,10 +8,13 @@ node; with two children per node a pair of similarity 0.8 shares a path of any d
 
 * Small nodes are compared exhaustively on 128-bit sketches. They give out a forest of the closest pairs rather than
   all pairs.
-* Large nodes are compared with one pivot each; if some class is not near the pivot, all go on to the next level.
+* Members of large nodes are compared with one pivot. Those near it are its family and go no further; all others
+  follow their paths to the next level.
 * Pairs given out are confirmed on full shingle sets and joined to components.
-* Nodes in which pairs were not given out are then looked at again: pairs between different components are compared
-  and confirmed too. So only pairs whose members are connected already are left out.
+* Only pairs whose members are connected already may be left out. So nodes that have more near pairs, and families of
+  more than one component, are looked at again: near pairs between components are confirmed too, and in a family the
+  members outside its main component are compared with all members, in blocks, on full sets. What is given out are
+  links, not pairs.
 """
 
 from __future__ import annotations
@@ -34,8 +37,12 @@ POSITIONS = 128
 FIRST_DEPTH = 2
 LAST_DEPTH = 6
 SMALL = 64
-#: Sketches of sets of similarity 0.8 differ in 12.8 of 128 bits on average, with a deviation of 3.4.
-NEAR_BITS = 30
+#: Sketches of sets of similarity 0.8 differ in 12.8 of 128 bits on average, with a deviation of 3.4. What is linked
+#: with a set of that similarity has 0.6 at least: 25.6 bits, with a deviation of 4.5.
+NEAR_BITS = 26
+FAMILY_BITS = 38
+#: Members in one block of a family.
+BLOCK = 512
 
 _RNG = np.random.default_rng(20240531)
 _FACTORS = _RNG.integers(1, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -219,11 +226,15 @@ def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
+def _apart(left: str, right: str) -> Column:
+    """Bits in which two sketches differ."""
+    return F.bit_count(F.col(f"{left}b1").bitwiseXOR(F.col(f"{right}b1"))) + F.bit_count(F.col(f"{left}b2").bitwiseXOR(F.col(f"{right}b2")))
+
+
 def _near(left: str, right: str) -> Column:
     """Are two rows' sketches and sizes near?"""
-    apart = F.bit_count(F.col(f"{left}b1").bitwiseXOR(F.col(f"{right}b1"))) + F.bit_count(F.col(f"{left}b2").bitwiseXOR(F.col(f"{right}b2")))
-    n, m = F.col(f"{left}n"), F.col(f"{right}n")
-    return (apart <= NEAR_BITS) & (100 * F.least(n, m).cast("long") >= 80 * F.greatest(n, m).cast("long"))
+    n, m = F.col(f"{left}n").cast("long"), F.col(f"{right}n").cast("long")
+    return (_apart(left, right) <= NEAR_BITS) & (100 * F.least(n, m) >= 80 * F.greatest(n, m))
 
 
 def _pair(x: str, y: str) -> list[Column]:
@@ -236,53 +247,100 @@ class _Tree:
     def __init__(self) -> None:
         self.pairs: list[DataFrame] = []
         self.small: list[DataFrame] = []  # rows of small nodes with near pairs not given out
-        self.large: list[DataFrame] = []  # rows of large nodes that are not split further
+        self.families: list[DataFrame] = []  # (pivot, cls)
 
     def walk(self, classes: DataFrame) -> None:
         level = settle(classes.select("cls", "n", "b1", "b2", "sig").mapInArrow(_first_level, _ROW), "level")
         for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
             # Per node: members, and the pivot, which is the smallest class.
             large = settle(level.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("pivot")).filter(F.col("members") > SMALL), "large")
-            self._small(level.join(large, "node", "left_anti") if not large.isEmpty() else level)
             if large.isEmpty():
+                self._small(level, level)
                 return
-            pivots = level.join(large.select("node", "pivot"), (level["node"] == large["node"]) & (level["cls"] == large["pivot"])).select(
-                level["node"], "pivot", *[F.col(c).alias(f"pivot_{c}") for c in ("n", "b1", "b2")]
-            )
-            rows = settle(level.join(settle(pivots.dropDuplicates(["node"]), "pivots"), "node").withColumn("near", _near("", "pivot_")), "large-rows")
+            self._small(level.join(_shuffled(large), "node", "left_anti"), level)
+            sketches = classes.select(F.col("cls").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in ("n", "b1", "b2")])
+            pivots = settle(large.join(sketches, "pivot").drop("members"), "pivots")
+            rows = level.join(_shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "related": _apart("", "pivot_") <= FAMILY_BITS})
+            rows = settle(rows.select("node", "cls", "n", "b1", "b2", "pivot", "near", "related"), "large-rows")
             self.pairs.append(rows.filter("near AND cls <> pivot").select(*_pair("cls", "pivot")))
-            split = settle(rows.groupBy("node").agg(F.min("near").alias("all_near")), "split")
-            whole = split.filter("all_near") if depth < LAST_DEPTH else split
-            self.large.append(rows.join(whole.select("node"), "node", "left_semi").select("node", "cls", "n", "b1", "b2", "pivot"))
-            apart = split.filter("NOT all_near").select("node")
-            if depth == LAST_DEPTH or apart.isEmpty():
+            # At the last level whatever is left in a node is compared with its pivot's family.
+            self.families.append((rows.filter("related") if depth < LAST_DEPTH else rows).select("pivot", "cls"))
+            going = rows.filter("NOT near").select("node", "cls", "n", "b1", "b2")
+            if depth == LAST_DEPTH or going.isEmpty():
                 return
-            going = rows.join(apart, "node", "left_semi").select("node", "cls", "n", "b1", "b2")
             level = settle(going.join(classes.select("cls", "sig"), "cls").mapInArrow(_next_level, _ROW), "level")
 
-    def _small(self, rows: DataFrame) -> None:
+    def _small(self, rows: DataFrame, level: DataFrame) -> None:
         found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, "a long, b long"), "small")
         self.pairs.append(found.filter("b IS NOT NULL"))
-        self.small.append(rows.join(found.filter("b IS NULL").select(F.col("a").alias("node")), "node", "left_semi"))
-
-    def across(self, roots: DataFrame) -> DataFrame:
-        """Near pairs between different components in the nodes that did not give out all their pairs."""
+        more = found.filter("b IS NULL").select(F.col("a").alias("node"))
+        self.small.append(settle(level.join(_shuffled(more), "node", "left_semi"), "small-rows"))
+
+    def cross_pairs(self, roots: DataFrame) -> DataFrame:
+        """Near pairs between different components in small nodes that did not give out all their pairs."""
+        rows = _rooted(reduce(DataFrame.unionByName, self.small), roots)
+        return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_cross_pairs, "a long, b long").distinct()
+
+    def cross_links(self, families: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+        """Links between the members of a family outside its main component and all its members."""
+        rows = settle(_rooted(families, roots), "family-roots")
+        sizes = rows.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
+        sizes = sizes.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
+        parts = lambda n: F.ceil(n / BLOCK).cast("int")
+        mixed = settle(sizes.filter("most < all").select("pivot", "main", parts(F.col("all") - F.col("most")).alias("p"), parts(F.col("all")).alias("q")), "mixed-families")
+        rows = rows.join(mixed, "pivot")
+        part = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        outside = rows.filter("root <> main").select("pivot", part("p").alias("i"), every("q").alias("j"), "cls", "root")
+        members = rows.select("pivot", every("p").alias("i"), part("q").alias("j"), "cls", "root")
+        grid = ["pivot", "i", "j"]
+        # Both sides come from the same tables: new columns tell them apart.
+        columns = [*grid, "cls", "root", "set"]
+        both = [side.join(sets, "cls").select(*columns).toDF(*columns).groupBy(*grid) for side in (outside, members)]
+        return both[0].cogroup(both[1]).applyInArrow(_block_links(percent), "a long, b long").distinct()
+
+
+def _shuffled(side: DataFrame) -> DataFrame:
+    """Join by shuffling also where this side is small: what a step moves then grows with the input at every size."""
+    return side.hint("merge")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with the root of their class, which is the class itself where it has no link."""
+    of = roots.select(F.col("node").alias("_of"), "root")
+    return rows.join(of, F.col("cls") == F.col("_of"), "left").withColumn("root", F.coalesce("root", "cls")).drop("_of")
+
+
+def _incidence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
+    """One row per set, one column per shingle of the vocabulary."""
+    out = np.zeros((len(sets), len(vocabulary)), np.float32)
+    for row, values in zip(out, sets):
+        at = np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)
+        row[at[vocabulary[at] == values]] = 1
+    return out
 
-        def rooted(rows: list[DataFrame]) -> DataFrame:
-            rows = reduce(DataFrame.unionByName, rows)
-            return rows.join(roots, rows["cls"] == roots["node"], "left").select(*[rows[c] for c in rows.columns], F.coalesce("root", "cls").alias("root"))
 
-        small = rooted(self.small)
-        pairs = small.repartition("node").sortWithinPartitions("node").mapInArrow(_cross_pairs, "a long, b long")
-        if not self.large:
-            return pairs
-        large = settle(rooted(self.large), "large-rooted")
-        pivot_roots = large.filter("cls = pivot").select("node", F.col("root").alias("main")).dropDuplicates(["node"])
-        large = settle(large.join(pivot_roots, "node"), "large-main")
-        # Members outside the pivot's component against all members of other components.
-        outside = large.filter("root <> main").select("node", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "b1", "b2", "root")])
-        met = large.join(outside, "node").filter((F.col("root") != F.col("o_root")) & _near("", "o_"))
-        return pairs.unionByName(met.select(*_pair("cls", "o_cls")))
+def _block_links(percent: int):
+    def compare(outside: pa.Table, members: pa.Table) -> pa.Table:
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        if outside.num_rows and members.num_rows:
+            x, y = ([np.frombuffer(v, np.uint64) for v in t.column("set").to_pylist()] for t in (outside, members))
+            cls_x, cls_y = (t.column("cls").to_numpy() for t in (outside, members))
+            root_x, root_y = (t.column("root").to_numpy() for t in (outside, members))
+            size_x, size_y = (np.array([len(v) for v in s]) for s in (x, y))
+            both = np.zeros((len(x), len(y)), np.float32)
+            # Shingles that several of the outside members have come in parts, so that no matrix is large.
+            vocabulary = np.unique(np.concatenate(x))
+            for at in range(0, len(vocabulary), 8192):
+                part = vocabulary[at : at + 8192]
+                both += _incidence(x, part) @ _incidence(y, part).T
+            linked = (root_x[:, None] != root_y) & (100 * both >= percent * (size_x[:, None] + size_y - both))
+            i, j = np.nonzero(linked)
+            a.append(np.minimum(cls_x[i], cls_y[j]))
+            b.append(np.maximum(cls_x[i], cls_y[j]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return compare
 
 
 def _sets(size: int):
@@ -309,14 +367,17 @@ def _confirm(percent: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _full_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """``(cls, set)`` of the wanted classes, from the texts."""
+    keys = settle(classes.join(wanted, "cls", "left_semi").select("cls", "id", "k1", "k2"), "wanted")
+    rows = texts.join(_shuffled(keys), ["id", "k1", "k2"]).select("cls", "text")
+    return settle(rows.mapInArrow(_sets(size), "cls long, set binary"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose full sets are similar."""
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    wanted = settle(classes.join(wanted, "cls", "left_semi").select("cls", "id", "k1", "k2"), "wanted")
-    rows = texts.join(wanted, ["id", "k1", "k2"]).select("cls", "text")
-    sets = settle(rows.mapInArrow(_sets(size), "cls long, set binary"), "sets")
     side = lambda c: sets.select(F.col("cls").alias(c), F.col("set").alias(f"set_{c}"))
-    return settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirm(percent), "a long, b long").distinct(), "links")
+    return settle(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
 def _components(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -336,11 +397,21 @@ def _components(docs: DataFrame, size: int, percent: int, id_col: str, text_col:
     tree = _Tree()
     tree.walk(classes)
     pairs = settle(reduce(DataFrame.unionByName, tree.pairs).distinct(), "pairs")
-    links = _confirmed(pairs, classes, texts, size, percent)
-    more = settle(tree.across(components(links)).distinct().join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_confirmed(more, classes, texts, size, percent))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    families = None
+    if tree.families:
+        families = settle(reduce(DataFrame.unionByName, tree.families).distinct(), "families")
+        wanted = wanted.unionByName(families.select("cls"))
+    full = _full_sets(wanted.distinct(), classes, texts, size)
+    links = _confirmed(pairs, full, percent)
     roots = components(links)
+    more = settle(tree.cross_pairs(roots).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    found = [_confirmed(more, full, percent)]
+    if families is not None:
+        found.append(settle(tree.cross_links(families, roots, full, percent), "family-links"))
+    # What is connected already is a star around its root; only new links can change it.
+    stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    roots = components(reduce(DataFrame.unionByName, [stars, *found]))
     members = roots.join(classes.select(F.col("cls").alias("node"), *sets, "id"), "node")
     least = members.groupBy("root").agg(F.min("id").alias("component"))
     named = settle(members.join(least, "root").select(*sets, "component"), "named")
