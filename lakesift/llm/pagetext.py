@@ -63,6 +63,8 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
+_CLOSED = re.compile(r"(?:-->|</\w+\s*>|^<[!?](?!--)[^>]*>)\Z")
+_OPEN = re.compile(r"<(?:/?[A-Za-z]|!--)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 #: A list or division with this share of its text in links is a menu.
@@ -119,12 +121,15 @@ def _tree(page: str) -> list[_Node]:
         node.chars += n
         node.link_chars += n * linked
 
-    for token in _TOKEN.finditer(page):
+    last = page.rfind(">") + 1  # a tag that begins later has no end and is dropped
+    whole = True
+    for token in _TOKEN.finditer(page, 0, last):
         if token.start() > at:
             add(page[at : token.start()])
         at = token.end()
         name = (token["name"] or token["name2"] or "").lower()
         if not name:
+            whole = bool(_CLOSED.search(token[0]))
             continue
         if token["close"] or token["close2"]:
             if opened[name] > 0:
@@ -152,7 +157,9 @@ def _tree(page: str) -> list[_Node]:
         if name not in VOID and not rest.endswith("/"):
             stack.append((name, node, linked, dropped))
             opened[name] += 1
-    add(page[at:])
+    add(page[at:last])
+    rest = page[max(at, last) :] if whole else ""
+    add(rest[: m.start()] if (m := _OPEN.search(rest)) else rest)
     return nodes
 
 
@@ -211,7 +218,7 @@ def main_text(page: str) -> str:
     """The article of a page, one block per line; empty if there is none."""
     nodes = _tree(page)
     _densities(nodes)
-    best = max(nodes, key=lambda n: n.total)
+    best = max(reversed(nodes), key=lambda n: n.total)  # of equals the innermost
     if not best.total:
         best = nodes[0]
     path = [best]
