@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesift.llm.bpe import Words
 from lakesift.llm.labelled import fold, sampled, with_text
@@ -132,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
     """
     usable = labels.select(F.col(id_col).cast("long").alias(id_col), *[F.col(c).cast("int").alias(c) for c in categories]).dropna().dropDuplicates([id_col])
     sample = with_text(docs, sampled(usable, id_col, limit), id_col, text_col).withColumn("fold", fold(id_col, FOLDS))
-    schema = sample.drop("text").schema.add("words", "array<int>")
+    schema = sample.drop("text").schema.add("words", T.ArrayType(T.IntegerType()))
     rows = sample.mapInArrow(_hashed, schema).toArrow().sort_by(id_col)
     target = np.array([rows.column(c).to_pylist() for c in categories], float).T.reshape(-1, len(categories))
     words = rows.column("words").combine_chunks()
@@ -170,7 +171,7 @@ def _scored(docs: DataFrame, models: Chain, decisive: str, threshold: float, tex
     schema = rows.drop("_text").schema
     for k in range(len(models.categories)):
         schema = schema.add(f"_p{k}", "double")
-    return rows.mapInArrow(_scores(models, threshold, models.categories.index(decisive)), schema.add("_toxic", "int"))
+    return rows.mapInArrow(_scores(models, threshold, models.categories.index(decisive)), schema.add("_toxic", "integer"))
 
 
 def score(docs: DataFrame, models: Chain, keep: list[str], decisive: str = "toxic", threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
