@@ -323,7 +323,8 @@ def _incidence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
 def _block_links(percent: int):
     def compare(outside: pa.Table, members: pa.Table) -> pa.Table:
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        if outside.num_rows and members.num_rows:
+        # A side without rows may come with its key columns only.
+        if all(t.num_rows and "set" in t.column_names for t in (outside, members)):
             x, y = ([np.frombuffer(v, np.uint64) for v in t.column("set").to_pylist()] for t in (outside, members))
             cls_x, cls_y = (t.column("cls").to_numpy() for t in (outside, members))
             root_x, root_y = (t.column("root").to_numpy() for t in (outside, members))

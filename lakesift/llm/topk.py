@@ -35,7 +35,7 @@ def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids in rising order and their vectors; a repeated id counts once, with its smallest vector."""
     ids = t.column("id").to_numpy()
     flat = t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    rows = flat.reshape(len(ids), -1) if len(ids) else np.empty((0, 0))
+    rows = flat.reshape(len(ids), -1)
     if len(np.unique(ids)) < len(ids):
         order = np.lexsort((*rows.T[::-1], ids))
         first = np.r_[True, ids[order][1:] != ids[order][:-1]]
@@ -69,10 +69,11 @@ def _best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> np.ndarray:
 
 def _cell(k: int):
     def search(key, queries: pa.Table, candidates: pa.Table) -> pa.Table:
-        q_ids, q = _matrix(queries)
-        c_ids, c = _matrix(candidates)
         out: list[list] = [[], [], []]
-        if len(q_ids) and len(c_ids):
+        # A side without rows may come with its key columns only.
+        if all(t.num_rows and "vec" in t.column_names for t in (queries, candidates)):
+            q_ids, q = _matrix(queries)
+            c_ids, c = _matrix(candidates)
             own = np.searchsorted(c_ids, q_ids)
             own = np.where(c_ids[np.minimum(own, len(c_ids) - 1)] == q_ids, own, -1)
             step = max(1, PRODUCT_CELLS // len(c_ids))
@@ -111,8 +112,10 @@ def search(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     tiles = sides[0].withColumn("tile", part(n_tiles)).withColumn("shard", every(n_shards))
     shards = sides[1].withColumn("shard", part(n_shards)).withColumn("tile", every(n_tiles))
-    grid = ["dim", "tile", "shard"]
-    lists = tiles.groupBy(*grid).cogroup(shards.groupBy(*grid)).applyInArrow(_cell(k), _SCHEMA)
+    # Both sides may come from one table: new columns tell them apart.
+    grid, columns = ["dim", "tile", "shard"], ["dim", "tile", "shard", "id", "vec"]
+    both = [side.select(*columns).toDF(*[f"{c}_{x}" for c in columns]).toDF(*columns).groupBy(*grid) for x, side in (("q", tiles), ("c", shards))]
+    lists = both[0].cogroup(both[1]).applyInArrow(_cell(k), _SCHEMA)
     while n_shards > 1:
         n_shards = -(-n_shards // FAN_IN)
         lists = _merged(lists.withColumn("shard", F.floor(F.col("shard") / FAN_IN).cast("int")), k).drop("rank")
