@@ -53,7 +53,8 @@ def test_pipeline_stages(spark, tmp_path):
     long = max(texts.values(), key=lambda t: len(t.split()))
     words = long.split()
     passage = " ".join(f"pass{i}" for i in range(60))
-    planted = [(10_001, " ".join(words)), (10_002, " ".join(["new", *words, "end"])), (10_003, "own words here " + passage), (10_004, passage + " and others there")]
+    own, other = (" ".join(f"{w}{i}" for i in range(80)) for w in ("own", "other"))
+    planted = [(10_001, " ".join(words)), (10_002, " ".join(["new", *words, "end"])), (10_003, f"{own} {passage}"), (10_004, f"{passage} {other}")]
     docs = docs.unionByName(spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in planted], docs.schema))
     rows = {r.doc_id: r.text for r in docs.collect()}
     stages = dict(corpus_pipeline.STAGES)
@@ -87,7 +88,7 @@ def test_pipeline_stages(spark, tmp_path):
     digests = sorted([(r.doc_id, hashlib.sha256(" ".join(r.text.split()).encode()).hexdigest()) for r in cut.collect()])
     assert digests == sorted([(i, sha) for i, _, _, sha in repeats_by_hand(list(kept.items()), 20)])
     final = {r.doc_id: r.text for r in cut.collect()}
-    assert final[10_004] == "and others there" and final[10_003] == rows[10_003]
+    assert final[10_004] == other and final[10_003] == rows[10_003]
     assert all(r.n_chars == len(r.text) for r in cut.collect())
 
     pieces = run("packing", cut).collect()
