@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesift.llm.common import one_space, text_of
+from lakesift.llm.common import one_space, shuffled, text_of
 from lakesift.session import materialize
 
 BLOCK_CHARS = 4096
@@ -137,7 +137,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def on(other: DataFrame) -> Column:
         return marked[id_col].eqNullSafe(other["_id"]) & (marked["_lakesift_sha"] == other["_sha"])
 
-    kept = marked.join(gone, on(gone), "left_anti")
+    kept = marked.join(shuffled(gone), on(gone), "left_anti")
     if not split.isEmpty():
         once = marked.join(split, on(split), "left_semi").dropDuplicates([id_col, "_lakesift_sha"])
         kept = kept.join(split, kept[id_col].eqNullSafe(split["_id"]) & (kept["_lakesift_sha"] == split["_sha"]), "left_anti").unionByName(once)

@@ -86,3 +86,8 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     out = materialize(df, label)
     df.sparkSession.sparkContext._jvm.System.gc()
     return out
+
+
+def shuffled(side: DataFrame) -> DataFrame:
+    """Join by shuffling also where this side is small: what a step moves then grows with the input at every size."""
+    return side.hint("merge")

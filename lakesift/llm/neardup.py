@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesift.llm.common import settle, text_of
+from lakesift.llm.common import settle, shuffled, text_of
 from lakesift.llm.components import components
 from lakesift.llm.words import LAST_ID, hasher, mixed, run_hashes, word_hashes
 
@@ -257,10 +257,10 @@ class _Tree:
             if large.isEmpty():
                 self._small(level, level)
                 return
-            self._small(level.join(_shuffled(large), "node", "left_anti"), level)
+            self._small(level.join(shuffled(large), "node", "left_anti"), level)
             sketches = classes.select(F.col("cls").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in ("n", "b1", "b2")])
             pivots = settle(large.join(sketches, "pivot").drop("members"), "pivots")
-            rows = level.join(_shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "related": _apart("", "pivot_") <= FAMILY_BITS})
+            rows = level.join(shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "related": _apart("", "pivot_") <= FAMILY_BITS})
             rows = settle(rows.select("node", "cls", "n", "b1", "b2", "pivot", "near", "related"), "large-rows")
             self.pairs.append(rows.filter("near AND cls <> pivot").select(*_pair("cls", "pivot")))
             # At the last level whatever is left in a node is compared with its pivot's family.
@@ -274,7 +274,7 @@ class _Tree:
         found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, "a long, b long"), "small")
         self.pairs.append(found.filter("b IS NOT NULL"))
         more = found.filter("b IS NULL").select(F.col("a").alias("node"))
-        self.small.append(settle(level.join(_shuffled(more), "node", "left_semi"), "small-rows"))
+        self.small.append(settle(level.join(shuffled(more), "node", "left_semi"), "small-rows"))
 
     def cross_pairs(self, roots: DataFrame) -> DataFrame:
         """Near pairs between different components in small nodes that did not give out all their pairs."""
@@ -300,11 +300,6 @@ class _Tree:
         return both[0].cogroup(both[1]).applyInArrow(_block_links(percent), "a long, b long").distinct()
 
 
-def _shuffled(side: DataFrame) -> DataFrame:
-    """Join by shuffling also where this side is small: what a step moves then grows with the input at every size."""
-    return side.hint("merge")
-
-
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows with the root of their class, which is the class itself where it has no link."""
     of = roots.select(F.col("node").alias("_of"), "root")
@@ -371,7 +366,7 @@ def _confirm(percent: int):
 def _full_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """``(cls, set)`` of the wanted classes, from the texts."""
     keys = settle(classes.join(wanted, "cls", "left_semi").select("cls", "id", "k1", "k2"), "wanted")
-    rows = texts.join(_shuffled(keys), ["id", "k1", "k2"]).select("cls", "text")
+    rows = texts.join(shuffled(keys), ["id", "k1", "k2"]).select("cls", "text")
     return settle(rows.mapInArrow(_sets(size), "cls long, set binary"), "sets")
 
 
@@ -444,4 +439,4 @@ def without_near_copies(docs: DataFrame, size: int = 5, percent: int = 80, id_co
     k1, k2 = _keys(text_of(text_col))
     marked = docs.withColumns({"_lakesift_x": k1, "_lakesift_y": k2})
     same = (F.coalesce(docs[id_col].cast("long"), F.lit(LAST_ID)) == gone["_lakesift_id"]) & (F.col("_lakesift_x") == gone["_lakesift_k1"]) & (F.col("_lakesift_y") == gone["_lakesift_k2"])
-    return marked.join(gone, same, "left_anti").drop("_lakesift_x", "_lakesift_y")
+    return marked.join(shuffled(gone), same, "left_anti").drop("_lakesift_x", "_lakesift_y")
