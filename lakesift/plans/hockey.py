@@ -12,6 +12,9 @@ INT, STR, FLT, TS = T.IntegerType(), T.StringType(), T.FloatType(), T.TimestampT
 
 # The landing tables, their columns in file order and their types.
 REGISTRY = {
+    "team_info": dict(
+        team_id=INT, franchiseId=INT, shortName=STR, teamName=STR, abbreviation=STR, link=STR
+    ),
     "game_skater_stats": dict(
         game_id=INT, player_id=INT, team_id=INT, timeOnIce=INT, assists=INT, goals=INT,
         shots=INT, hits=INT, powerPlayGoals=INT, powerPlayAssists=INT, penaltyMinutes=INT,
@@ -50,9 +53,6 @@ REGISTRY = {
         primaryPosition=STR, birthDate=TS, birthStateProvince=STR, height=STR, height_cm=FLT,
         weight=INT, shootsCatches=STR,
     ),
-    "team_info": dict(
-        team_id=INT, franchiseId=INT, shortName=STR, teamName=STR, abbreviation=STR, link=STR
-    ),
 }
 
 # Primary keys, references, and columns that must not be negative.
