@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -81,6 +82,48 @@ def test_licences(spark):
     assert licences.document_licences(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_licences_inside_longer_texts(spark):
+    prepare(spark)
+    whole = dict(licences.whole_texts())
+    prose = "The harbour was quiet and the boats had not come back before the evening. " * 40
+    wrapped = textwrap.fill(licences.TEXTS["GPL-3.0"][0], 60, initial_indent=" * ", subsequent_indent=" * ")
+    cases = [(name, f"{prose}\n\nCopyright 2020 A. Person\n\n{whole[name]}\n{prose}") for name in whole]
+    cases += [("GPL-3.0", f"{prose}\n/*\n{wrapped}\n */\n{prose}"), ("MIT", f"{prose} This work is licensed under the MIT License. Copyright 2020. {prose}")]
+    cases += [("AGPL-3.0", f"{prose}\n{textwrap.fill(licences.HEADERS['AGPL-3.0'][0], 70)}\n{prose}"), ("MIT", f"{prose}\nMIT License\n{prose}")]
+    cases += [("Apache-2.0", f"{prose}\n# SPDX-License-Identifier: Apache-2.0\n{prose}"), ("Apache-2.0", f"{prose}\n{textwrap.fill(' '.join(licences.TEXTS['Apache-2.0']), 72)}\n{prose}")]
+    cases += [(None, f"{prose} The MIT License is discussed here. {prose}"), (None, f"{prose} Permission is hereby granted. {prose}"), (None, prose)]
+    cases += [("MIT", f"{prose}\n{whole['MIT']}\n" * 20), ("ISC", "Released\nunder the\nISC License"), ("ISC", "a b c Released under the ISC License")]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(cases)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in licences.document_licences(docs).collect()}
+    assert {i: got[i].licence for i in got} == {i: name for i, (name, _) in enumerate(cases)}
+    assert all(got[i].dice == 1.0 for i, (name, text) in enumerate(cases) if name in whole and whole[name] in text)
+
+
+def test_runs_against_plain_windows(spark):
+    prepare(spark)
+    rng = np.random.default_rng(5)
+    pairs = [(f"L{k}", " ".join(rng.choice(list("abcdef"), size))) for k, size in enumerate([3, 5, 9, 20])]
+    texts = [" ".join(rng.choice(list("abcdefxy"), size)) for size in rng.integers(1, 60, 80)]
+
+    def runs(text):
+        words, found = text.split(), []
+        seq = list(zip(words, words[1:]))
+        for name, t in pairs:
+            want = list(zip(t.split(), t.split()[1:]))
+            m = len(set(want))
+            for s in range(len(seq) - len(want) + 1):
+                run = seq[s : s + len(want)]
+                c = len(set(run) & set(want))
+                dice = 2 * c / (c + sum(b not in set(want) for b in run) + m)
+                if dice >= 0.6:
+                    found.append((-round(dice, 6), name))
+        return min(found, default=None)
+
+    got = licences.scan(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), threshold=0.6, pairs=pairs).filter("line = -1").collect()
+    want = {i: best for i, text in enumerate(texts) if (best := runs(text))}
+    assert {r.doc_id: (-r.dice, r.licence) for r in got} == want and len(want) > 10
+
+
 def tables(spark):
     return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
 
