@@ -5,6 +5,10 @@ text is in links and up where little is, against the page's share of linked text
 densities of its children. The node with the largest sum is the main content; its ancestors' smallest density, up to
 the page's body, is the threshold at which neighbouring subtrees still belong to it.
 
+Elements ``article`` and ``main`` bound this choice. If the main content lies in an ``article``, it is widened to the
+innermost one. If it lies in any, then outside of the outermost only other such elements that reach the threshold are
+taken, and headings inside it beside the path stay whatever their density.
+
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out of the tree by
 element, role and class name before densities are taken, link lists inside the content after.
 """
@@ -26,6 +30,8 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split()
 )
+ARTICLES = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACING = frozenset("br td th img wbr".split())
 DROPPED = frozenset(
@@ -224,23 +230,35 @@ def main_text(page: str) -> str:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    article = next((n for n in path if n.name in ("article", "main")), None)
-    out: list[str] = []
-    if article is not None:
-        _blocks(article, out)
-        return "\n".join(out)
     threshold = min(n.density for n in path)
-    on_path = set(map(id, path[1:]))
+    content = next((n for n in path if n.name == "article"), best)
+    on_path = set(map(id, path[path.index(content) + 1 :]))
+    marked = [k for k, n in enumerate(path) if n.name in ARTICLES]
+    within = set(map(id, path[: marked[-1] + 1] if marked else path))
+    holds: set[int] = set()  # nodes with an article or main below them
+    for node in reversed(nodes):  # children come after their parents
+        if node.parent is not None and (node.name in ARTICLES or id(node) in holds):
+            holds.add(id(node.parent))
     # From the body down: the content itself, and subtrees beside its path that are dense enough.
     chosen = _Node("content", None)
-    todo = [iter([path[-1]])]
+    out: list[str] = []
+    todo = [(iter([path[-1]]), False)]
     while todo:
-        for item in todo[-1]:
-            if isinstance(item, str) or item is best or id(item) not in on_path and item.density >= threshold:
+        items, inside = todo[-1]
+        for item in items:
+            if isinstance(item, str):
+                if inside:
+                    chosen.items.append(item)
+            elif item is content:
                 chosen.items.append(item)
             elif id(item) in on_path:
                 chosen.items.append(_Node("border", None))
-                todo.append(iter(item.items))
+                todo.append((iter(item.items), id(item) in within))
+                break
+            elif (inside or item.name in ARTICLES) and item.density >= threshold or inside and marked and item.name in HEADINGS:
+                chosen.items.append(item)
+            elif not inside and id(item) in holds:
+                todo.append((iter(item.items), False))
                 break
         else:
             todo.pop()

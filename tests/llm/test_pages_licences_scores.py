@@ -37,6 +37,27 @@ def test_main_text(page, text):
     assert pagetext.main_text(page or "") == text
 
 
+PARTS = [[f"Part {k}, block {b}. {LONG}".strip() for b in range(5)] for k in range(3)]
+
+
+def _part(blocks):
+    return "".join(f"<p>{b}</p>" for b in blocks)
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        ("<body><main>" + "".join(f"<article>{_part(b)}</article>" for b in PARTS) + "</main>", PARTS),
+        ("<body>" + "".join(f"<div><article>{_part(b)}</article></div>" for b in PARTS), PARTS),
+        (f"<body><article><h1>Short</h1><div>{_part(PARTS[0])}</div><ul><li>brief</ul></article><div>x</div>", [["Short"], PARTS[0], ["brief"]]),
+        (f"<body><main><h1>Short</h1><div>{_part(PARTS[0])}</div><div><p>Tiny</p><p>bit</p></div></main><div>{_part(PARTS[2][:2])}</div>", [["Short"], PARTS[0]]),
+        (f"<body>{LONG}<article>{_part(PARTS[0])}</article><div><p>{LONG}</p></div>", PARTS[:1]),
+    ],
+)
+def test_content_is_chosen_by_density_inside_the_bounds(page, kept):
+    assert pagetext.main_text(page) == "\n".join(b for blocks in kept for b in blocks)
+
+
 def test_deep_and_broken_pages_end():
     assert pagetext.main_text("<div>" * 20_000 + "deep" + "</x>" * 20_000) == "deep"
     assert pagetext.main_text("<" * 20_000 + "<a b='" * 2_000) is not None
