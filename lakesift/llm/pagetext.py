@@ -10,7 +10,8 @@ innermost one. If it lies in any, then outside of the outermost only other such
 taken, and headings inside it beside the path stay whatever their density.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out of the tree by
-element, role and class name before densities are taken, link lists inside the content after.
+element and role before densities are taken, and by class or id name where they hold a minor share of the page's
+unlinked text or lie beside its article. Link lists inside the content are left out after.
 """
 
 from __future__ import annotations
@@ -51,15 +52,18 @@ ENDS = {
 }
 #: Roles and words of class and id names that mark what is not the article.
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|adbox|banner|sponsor(?:ed|s)?|promo(?:tion|s)?|"
-    r"nav|navbar|navigation|menu|menubar|breadcrumbs?|sidebar|side-bar|masthead|footer|foot|header|topbar|"
-    r"cookies?|consent|gdpr|notice|notices|notification|alert|disclaimer|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"comments?|commentlist|respond|replies|disqus|share|sharing|social|related|recommended|widget|toolbar|pagination|pager|skip-link)(?:$|[\s_-])"
-    r"|^(?:comment|sidebar|cookie|advert|footer|navbar|google_ads)",
-    re.I,
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense adbox banner sponsor sponsored sponsors promo promotion "
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar masthead footer foot header topbar "
+    "cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay newsletter subscribe subscription signup login "
+    "comment comments commentlist respond replies disqus share sharing social related recommended widget toolbar pagination pager side-bar skip-link".split()
 )
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: Such words may be grown together with others of their kind, as in ``cookiebar``.
+GROWN = re.compile(r"(?:comments?|sidebar|cookies?|advert|footer|navbar)(?:bar|box|list|form|wrap|wrapper|area|section|container|block|links|banner|message|policy|notice|menu|nav|widget)")
+#: A class with one of these words says something of the layout or of what is not there.
+STATES = frozenset("has have no not with without layout is hide show".split())
+#: Headers of a part of the text, which hold its title.
+PARTS = frozenset("entry post article story section title content page chapter".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -71,42 +75,75 @@ _TOKEN = re.compile(
 )
 _CLOSED = re.compile(r"(?:-->|</\w+\s*>|^<[!?](?!--)[^>]*>)\Z")
 _OPEN = re.compile(r"<(?:/?[A-Za-z]|!--)")
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_]+")
 
-#: A list or division with this share of its text in links is a menu.
+#: A list, or a division without paragraphs, with this share of its text in links is a menu.
 LINK_SHARE = 0.7
+LISTS = frozenset("ul ol dl dir".split())
+DIVISIONS = frozenset("div section table center".split())
+#: Inside an article, links longer than this on average are its references.
+REFERENCE_CHARS = 40
+#: With this share of the page's unlinked text an element is no side matter, whatever its name.
+MAJOR_SHARE = 0.5
+FAIR_SHARE = 0.1
 
 
 class _Node:
-    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "total", "named", "in_article")
 
-    def __init__(self, name: str, parent: _Node | None) -> None:
-        self.name, self.parent = name, parent
+    def __init__(self, name: str, parent: _Node | None, named: bool = False, in_article: bool = False) -> None:
+        self.name, self.parent, self.named, self.in_article = name, parent, named, in_article
         self.items: list = []  # texts and child nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Is this element no part of an article? A header inside an article holds its title."""
+def _marked(value: str, in_article: bool) -> bool:
+    """Does a class or id name mark what is not the article? Every name is taken by itself."""
+    for token in value.split():
+        words = [w.lower() for w in _WORDS.findall(token)]
+        joined = "-".join(words)
+        if STATES.intersection(words):
+            continue
+        found = NAMES.intersection(words)
+        if "header" in found and (in_article or PARTS.intersection(words)):
+            found -= {"header"}
+        if found or "side-bar" in joined or "skip-link" in joined or any(map(GROWN.fullmatch, words)):
+            return True
+    return False
+
+
+def _unwanted(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Is this element no part of an article, and is it so by its class or id name?
+
+    A header inside an article holds its title.
+    """
     if name in DROPPED or name == "header" and not in_article:
-        return True
+        return True, False
     if not attributes or name in ("html", "body"):
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    for kind, *values in _ATTRIBUTE.findall(attributes):
-        value = next((v for v in values if v), "")
-        if kind.lower() == "role":
-            if value.lower() in ROLES:
-                return True
-        elif NAMES.search(value):
-            return not (in_article and name in ("header", "h1", "h2", "h3"))
-    return False
+        return False, False
+    named = False
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        kind, value = key.lower(), next((v for v in values if v), "")
+        if kind == "hidden" or kind == "aria-hidden" and value.strip().lower() == "true":
+            return True, False
+        if kind == "style" and _INVISIBLE.search(value):
+            return True, False
+        if kind == "role":
+            if value.strip().lower() in ROLES:
+                return True, False
+        elif kind in ("class", "id") and not (in_article and name in ("header", "h1", "h2", "h3")):
+            named = named or _marked(value, in_article)
+    return False, named
 
 
 def _tree(page: str) -> list[_Node]:
-    """All block nodes in page order, the root first; unwanted elements are left out."""
+    """All block nodes in page order, the root first; unwanted elements are left out.
+
+    Those with a name of unwanted elements are nodes too, and ``named``.
+    """
     root = _Node("html", None)
     nodes = [root]
     stack: list[tuple[str, _Node, bool, bool]] = [("", root, False, False)]  # element, its node, in a link, dropped
@@ -150,13 +187,15 @@ def _tree(page: str) -> list[_Node]:
                     close(k)
         _, node, linked, dropped = stack[-1]
         rest = token["rest"] or token["rest2"] or ""
-        dropped = dropped or _unwanted(name, rest, opened["article"] + opened["main"] > 0)
-        if name in BLOCKS and not dropped and name not in ("html", "body"):
-            node = _Node(name, stack[-1][1])
+        in_article = opened["article"] + opened["main"] > 0
+        unwanted, named = (True, False) if dropped else _unwanted(name, rest, in_article)
+        dropped = dropped or unwanted or named and name in VOID
+        if name in SPACING and not dropped:
+            add(" ")
+        if (name in BLOCKS or named) and not dropped and name not in ("html", "body"):
+            node = _Node(name, stack[-1][1], named, in_article)
             node.parent.items.append(node)
             nodes.append(node)
-        elif name in SPACING and not dropped:
-            add(" ")
         if name == "a" and not dropped:
             node.link_tags += 1
             linked = True
@@ -169,6 +208,40 @@ def _tree(page: str) -> list[_Node]:
     return nodes
 
 
+def _without_named(nodes: list[_Node]) -> list[_Node]:
+    """Drop what is named as no part of the article, unless it holds a major share of the page's unlinked text.
+
+    A major share of the text inside its ``article`` and ``main`` elements counts as well. An element with none of that
+    text is dropped whatever its size, if one of these elements has a fair share of the page's.
+    """
+    if not any(n.named for n in nodes):
+        return nodes
+    text = {id(n): n.chars - n.link_chars for n in nodes}
+    inside = {id(n): text[id(n)] if n.in_article or n.name in ARTICLES else 0 for n in nodes}
+    for node in reversed(nodes):  # children come after their parents
+        if node.parent is not None:
+            text[id(node.parent)] += text[id(node)]
+            inside[id(node.parent)] += inside[id(node)]
+    page, articles = text[id(nodes[0])], inside[id(nodes[0])]
+    fair = any(n.name in ARTICLES and text[id(n)] >= FAIR_SHARE * page > 0 for n in nodes)
+    gone: set[int] = set()
+    thinned: dict[int, _Node] = {}
+    left = []
+    for node in nodes:
+        own, in_articles = text[id(node)], inside[id(node)]
+        minor = own < MAJOR_SHARE * page and (not in_articles or in_articles < MAJOR_SHARE * articles)
+        if id(node.parent) in gone:
+            gone.add(id(node))
+        elif node.named and (minor or fair and not in_articles or not own):
+            gone.add(id(node))
+            thinned[id(node.parent)] = node.parent
+        else:
+            left.append(node)
+    for node in thinned.values():
+        node.items = [i for i in node.items if id(i) not in gone]
+    return left
+
+
 def _densities(nodes: list[_Node]) -> None:
     for node in reversed(nodes):  # children come after their parents
         if (up := node.parent) is not None:
@@ -192,12 +265,14 @@ def _densities(nodes: list[_Node]) -> None:
 
 
 def _menu(node: _Node) -> bool:
-    return node.link_tags >= 2 and node.link_chars >= LINK_SHARE * node.chars
+    if node.link_tags < 2 or node.link_chars < LINK_SHARE * node.chars or node.in_article and node.link_chars > REFERENCE_CHARS * node.link_tags:
+        return False
+    return node.name in LISTS or node.name in DIVISIONS and not any(isinstance(i, _Node) and i.name in ("p", *HEADINGS) for i in node.items)
 
 
 def _blocks(node: _Node, out: list[str]) -> None:
     """Texts of the node's blocks in page order: what stands between two block borders is one block."""
-    todo: list = [iter(node.items)]
+    todo: list = [(iter(node.items), True)]
     run: list[str] = []
 
     def end() -> None:
@@ -206,23 +281,25 @@ def _blocks(node: _Node, out: list[str]) -> None:
         run.clear()
 
     while todo:
-        for item in todo[-1]:
+        for item in todo[-1][0]:
             if isinstance(item, str):
                 run.append(item)
+            elif not _menu(item):
+                if item.name in BLOCKS or item.name == "border":
+                    end()
+                todo.append((iter(item.items), item.name in BLOCKS or item.name == "border"))
+                break
             else:
                 end()
-                if not _menu(item):
-                    todo.append(iter(item.items))
-                    break
         else:
-            end()
-            todo.pop()
+            if todo.pop()[1]:
+                end()
     end()
 
 
 def main_text(page: str) -> str:
     """The article of a page, one block per line; empty if there is none."""
-    nodes = _tree(page)
+    nodes = _without_named(_tree(page))
     _densities(nodes)
     best = max(reversed(nodes), key=lambda n: n.total)  # of equals the innermost
     if not best.total:

@@ -58,6 +58,21 @@ def test_content_is_chosen_by_density_inside_the_bounds(page, kept):
     assert pagetext.main_text(page) == "\n".join(b for blocks in kept for b in blocks)
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "page no-sidebar", "layout layout-sidebar-right", "post-content with-related", "commentary", "sidebar-content", "site-header-and-all"])
+def test_names_do_not_drop_the_whole_text(name):
+    page = f"<body><div class='{name}'><div class='entry-header'><h1>Title</h1></div>{_part(PARTS[0])}</div><div class='sidebar'><p>Side</p></div>"
+    assert pagetext.main_text(page).split("\n")[-5:] == PARTS[0]
+    page = f"<body><div class='{name}'><article><div class='entry-header'><h1>Title</h1></div>{_part(PARTS[0])}</article></div><div id=comments>{_part(PARTS[1] + PARTS[2])}</div>"
+    assert pagetext.main_text(page) == "\n".join(["Title", *PARTS[0]])
+
+
+def test_small_parts_are_dropped_by_attribute_and_menu_only_as_such():
+    link = "<a href=x>A long title of a source that the article quotes, by its author</a>"
+    page = f"<article><p title='A hidden gem'>Gem</p><p hidden>no</p><p aria-hidden='true'>no</p><p style='display: none'>no</p>{_part(PARTS[0])}<ul><li>{link}<li>{link}</ul><p><a>One</a> <a>two</a></p><ul><li><a>One</a><li><a>Two</a></ul><p>an <span class=share>Tweet</span> end</p></article>"
+    text = "A long title of a source that the article quotes, by its author"
+    assert pagetext.main_text(page) == "\n".join(["Gem", *PARTS[0], text, text, "One two", "an end"])
+
+
 def test_deep_and_broken_pages_end():
     assert pagetext.main_text("<div>" * 20_000 + "deep" + "</x>" * 20_000) == "deep"
     assert pagetext.main_text("<" * 20_000 + "<a b='" * 2_000) is not None
