@@ -84,12 +84,12 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence[Col
 
 
 def surplus_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: bool = False
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: bool = True
 ) -> DataFrame:
     """The rows that :func:`keep_best` would drop: all but the first of each key.
 
     Only rows of repeated keys are numbered; ``spread`` as in
-    :func:`lakesift.operators.ordering.running_total`.
+    :func:`lakesift.operators.ordering.number_rows`.
     """
     numbered = number_rows(duplicate_rows(df, keys), keys, order, "_rn", spread)
     return numbered.where(F.col("_rn") > 1).drop("_rn")
@@ -127,11 +127,12 @@ def disambiguate(
     keys: Sequence[str],
     order: Sequence[Column],
     out: str = "row_key",
-    spread: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """Make a repeated composite key unique by adding a running number to it.
 
-    Only rows of repeated keys are numbered, all others are number 1.
+    Only rows of repeated keys are numbered, all others are number 1; ``spread``
+    as in :func:`lakesift.operators.ordering.number_rows`.
     """
     dups = repeated_keys(df, keys)
     rest = unique_rows(df, keys, dups).withColumn("_rn", F.lit(1).cast("bigint"))

@@ -94,9 +94,13 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[Column],
     out: str = "row_number",
-    spread: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
-    """1, 2, 3, ... per key; ties are settled by the row's content."""
+    """1, 2, 3, ... per key; ties are settled by the row's content.
+
+    By default the rows are spread over range partitions, see :func:`running_total`;
+    callers who know that all groups are small can number each in one task.
+    """
     return running_total(df, keys, order, None, out, spread)
 
 

@@ -160,3 +160,16 @@ def test_key_set_comparison(frame):
     got = U.overlap(c, b, "k").first().asDict()
     assert got == {"shared": 1, "only_a": 1, "only_b": 2, "is_subset": False, "overlaps": True}
     assert Counter(U.overlap(b, a, "k").first().asDict())["is_subset"]
+
+
+def test_a_hot_key_is_spread_unless_asked_otherwise(spark, conf):
+    """No task numbers a whole group that holds a third of the rows."""
+    conf("spark.sql.adaptive.enabled", "false")
+    df = spark.range(0, 30000, 1, 6).selectExpr("IF(id % 3 = 0, -1, id DIV 2) AS k", "id AS v")
+    order = [F.col("v").asc()]
+    for made in (number_rows(df, ["k"], order), U.surplus_rows(df, ["k"], order), U.disambiguate(df, ["k"], order)):
+        parts = made.where("k = -1").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in parts) >= 9999
+        assert max(r["count"] for r in parts) < 9000
+    assert rows(U.surplus_rows(df, ["k"], order)) == rows(U.surplus_rows(df, ["k"], order, False))
+    assert rows(U.disambiguate(df, ["k"], order)) == rows(U.disambiguate(df, ["k"], order, spread=False))
