@@ -103,8 +103,9 @@ def j4_older(t):
     """A publish that could not become visible is refused; what was published stays."""
     shelf, outcome = _shelf(t), "published"
     shelf.publish({"orders": shelf.stage(t.orders, "orders", SECOND)}, "p1", "r1", SECOND)
+    other = t.orders.withColumn("o_orderstatus", F.lit("refused"))
     try:
-        shelf.publish({"orders": shelf.stage(t.orders.limit(1), "orders", FIRST)}, "p1", "r2", FIRST)
+        shelf.publish({"orders": shelf.stage(other, "orders", FIRST)}, "p1", "r2", FIRST)
     except PublishError as e:
         outcome = type(e).__name__
     return shelf.read_published("orders").withColumn("outcome", F.lit(outcome))

@@ -9,6 +9,7 @@ import pytest
 
 from lakesift.probes import load_all
 from lakesift.probes.registry import NAMES
+from lakesift.sources.published import Shelf
 
 FOLDER = os.environ.get("PROBE_SF_DIR", "/root/testdata/sf0.001")
 PROBES = load_all()
@@ -46,3 +47,13 @@ def test_query_equals_sql(spark, duck, key):
 
 def test_keys_follow_the_naming_rules():
     assert all(k.islower() and not k.startswith("op") and "pipeline" not in k for k in PROBES)
+
+
+def test_the_refused_version_is_whole_and_differs(spark, monkeypatch):
+    staged = []
+    stage = Shelf.stage
+    monkeypatch.setattr(Shelf, "stage", lambda self, df, *rest: staged.append(df) or stage(self, df, *rest))
+    shown = PROBES["j4_older_stamp_refused"].run(spark, FOLDER)
+    first, refused = staged
+    assert refused.count() == first.count() == shown.count()
+    assert refused.columns == first.columns and refused.intersect(first).isEmpty()
