@@ -13,8 +13,11 @@ node; with two children per node a pair of similarity 0.8 shares a path of any d
 * Pairs given out are confirmed on full shingle sets and joined to components.
 * Only pairs whose members are connected already may be left out. So nodes that have more near pairs, and families of
   more than one component, are looked at again: near pairs between components are confirmed too, and in a family the
-  members outside its main component are compared with all members, in blocks, on full sets. What is given out are
-  links, not pairs.
+  members outside its main component are compared with all members, block by block, on full sets. A block gives out a
+  forest over the components that it links. Blocks come in rounds, each of four times as many as the one before, and
+  what a round has joined to the main component is not compared again: links grow with the members, not with their pairs.
+* Nodes are split until they are small. In deep nodes only members far from the pivot go on, so every level leaves
+  fewer; what is nearer is compared in the family.
 """
 
 from __future__ import annotations
@@ -35,14 +38,18 @@ TREES = 4
 BRANCHES = 2
 POSITIONS = 128
 FIRST_DEPTH = 2
-LAST_DEPTH = 6
+#: From here on all that is near a pivot by its sketch stays behind in the family, whatever its size.
+DEEP = 6
 SMALL = 64
 #: Sketches of sets of similarity 0.8 differ in 12.8 of 128 bits on average, with a deviation of 3.4. What is linked
 #: with a set of that similarity has 0.6 at least: 25.6 bits, with a deviation of 4.5.
 NEAR_BITS = 26
 FAMILY_BITS = 38
-#: Members in one block of a family.
+#: Whoever is within NEAR_BITS of a member that stays behind in a deep node is within this many bits of the pivot.
+DEEP_FAMILY_BITS = 2 * NEAR_BITS
+#: Members in one block of a family; growth of the number of blocks compared in a round.
 BLOCK = 512
+ROUND_GROWTH = 4
 
 _RNG = np.random.default_rng(20240531)
 _FACTORS = _RNG.integers(1, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -251,7 +258,8 @@ class _Tree:
 
     def walk(self, classes: DataFrame) -> None:
         level = settle(classes.select("cls", "n", "b1", "b2", "sig").mapInArrow(_first_level, _ROW), "level")
-        for depth in range(FIRST_DEPTH, LAST_DEPTH + 1):
+        depth = FIRST_DEPTH
+        while True:
             # Per node: members, and the pivot, which is the smallest class.
             large = settle(level.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("pivot")).filter(F.col("members") > SMALL), "large")
             if large.isEmpty():
@@ -260,15 +268,16 @@ class _Tree:
             self._small(level.join(shuffled(large), "node", "left_anti"), level)
             sketches = classes.select(F.col("cls").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in ("n", "b1", "b2")])
             pivots = settle(large.join(sketches, "pivot").drop("members"), "pivots")
-            rows = level.join(shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "related": _apart("", "pivot_") <= FAMILY_BITS})
-            rows = settle(rows.select("node", "cls", "n", "b1", "b2", "pivot", "near", "related"), "large-rows")
+            rows = level.join(shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "apart": _apart("", "pivot_")})
+            rows = settle(rows.select("node", "cls", "n", "b1", "b2", "pivot", "near", "apart"), "large-rows")
             self.pairs.append(rows.filter("near AND cls <> pivot").select(*_pair("cls", "pivot")))
-            # At the last level whatever is left in a node is compared with its pivot's family.
-            self.families.append((rows.filter("related") if depth < LAST_DEPTH else rows).select("pivot", "cls"))
-            going = rows.filter("NOT near").select("node", "cls", "n", "b1", "b2")
-            if depth == LAST_DEPTH or going.isEmpty():
+            deep = depth >= DEEP
+            self.families.append(rows.filter(F.col("apart") <= (DEEP_FAMILY_BITS if deep else FAMILY_BITS)).select("pivot", "cls"))
+            going = rows.filter(F.col("apart") > NEAR_BITS if deep else ~F.col("near")).select("node", "cls", "n", "b1", "b2")
+            if going.isEmpty():
                 return
             level = settle(going.join(classes.select("cls", "sig"), "cls").mapInArrow(_next_level, _ROW), "level")
+            depth += 1
 
     def _small(self, rows: DataFrame, level: DataFrame) -> None:
         found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, "a long, b long"), "small")
@@ -281,23 +290,45 @@ class _Tree:
         rows = _rooted(reduce(DataFrame.unionByName, self.small), roots)
         return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_cross_pairs, "a long, b long").distinct()
 
-    def cross_links(self, families: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-        """Links between the members of a family outside its main component and all its members."""
-        rows = settle(_rooted(families, roots), "family-roots")
-        sizes = rows.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
-        sizes = sizes.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
-        parts = lambda n: F.ceil(n / BLOCK).cast("int")
-        mixed = settle(sizes.filter("most < all").select("pivot", "main", parts(F.col("all") - F.col("most")).alias("p"), parts(F.col("all")).alias("q")), "mixed-families")
-        rows = rows.join(mixed, "pivot")
-        part = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-        outside = rows.filter("root <> main").select("pivot", part("p").alias("i"), every("q").alias("j"), "cls", "root")
-        members = rows.select("pivot", every("p").alias("i"), part("q").alias("j"), "cls", "root")
-        grid = ["pivot", "i", "j"]
+
+def family_links(families: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> list[DataFrame]:
+    """Links ``(a, b)`` between roots: what joins members of a family outside its main component to any member.
+
+    Members are dealt to blocks. A round compares those still outside with some blocks that they have not been
+    compared with; then its links are worked in, so that fewer are outside in the next.
+    """
+    rows = settle(_rooted(families, roots), "family-roots")
+    sizes = rows.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
+    sizes = sizes.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"), F.sum("c").alias("all"), F.max("c").alias("most"))
+    parts = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = settle(sizes.filter("most < all").select("pivot", "main", parts(F.col("all")).alias("blocks")), "mixed-families")
+    last = mixed.agg(F.max("blocks")).first()[0] or 0
+    members = rows.join(mixed, "pivot").withColumn("j", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    members, found, first, width = settle(members.select("pivot", "main", "cls", "root", "blocks", "j"), "members"), [], 0, 1
+    while first < last:
+        left = members.filter((F.col("root") != F.col("main")) & (F.col("blocks") > first))
+        counts = settle(left.groupBy("pivot").agg(parts(F.count(F.lit(1))).alias("p")), "outside")
+        if counts.isEmpty():
+            break
+        end = F.least(F.col("blocks"), F.lit(first + width)) - 1
+        outside = left.join(counts, "pivot").withColumn("i", F.pmod(F.xxhash64(F.lit(first), "cls"), F.col("p")).cast("int"))
+        outside = outside.withColumn("j", F.explode(F.sequence(F.lit(first), end)))
+        others = members.filter(F.col("j").between(first, first + width - 1)).join(counts, "pivot").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
+        grid, columns = ["pivot", "i", "j"], ["pivot", "i", "j", "cls", "root", "set"]
         # Both sides come from the same tables: new columns tell them apart.
-        columns = [*grid, "cls", "root", "set"]
-        both = [side.join(sets, "cls").select(*columns).toDF(*columns).groupBy(*grid) for side in (outside, members)]
-        return both[0].cogroup(both[1]).applyInArrow(_block_links(percent), "a long, b long").distinct()
+        both = [side.join(sets, "cls").select(*columns).toDF(*columns).groupBy(*grid) for side in (outside, others)]
+        links = settle(both[0].cogroup(both[1]).applyInArrow(_block_links(percent), "a long, b long").distinct(), "family-links")
+        first, width = first + width, width * ROUND_GROWTH
+        if links.isEmpty():
+            continue
+        found.append(links)
+        if first < last:
+            moved = components(links)
+            for c in ("root", "main"):
+                to = moved.select(F.col("node").alias("_of"), F.col("root").alias("_to"))
+                members = members.join(to, F.col(c) == F.col("_of"), "left").withColumn(c, F.coalesce("_to", c)).drop("_of", "_to")
+            members = settle(members, "members")
+    return found
 
 
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -317,11 +348,10 @@ def _incidence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
 
 def _block_links(percent: int):
     def compare(outside: pa.Table, members: pa.Table) -> pa.Table:
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        a, b = [], []
         # A side without rows may come with its key columns only.
         if all(t.num_rows and "set" in t.column_names for t in (outside, members)):
             x, y = ([np.frombuffer(v, np.uint64) for v in t.column("set").to_pylist()] for t in (outside, members))
-            cls_x, cls_y = (t.column("cls").to_numpy() for t in (outside, members))
             root_x, root_y = (t.column("root").to_numpy() for t in (outside, members))
             size_x, size_y = (np.array([len(v) for v in s]) for s in (x, y))
             both = np.zeros((len(x), len(y)), np.float32)
@@ -332,9 +362,10 @@ def _block_links(percent: int):
                 both += _incidence(x, part) @ _incidence(y, part).T
             linked = (root_x[:, None] != root_y) & (100 * both >= percent * (size_x[:, None] + size_y - both))
             i, j = np.nonzero(linked)
-            a.append(np.minimum(cls_x[i], cls_y[j]))
-            b.append(np.maximum(cls_x[i], cls_y[j]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+            joined = np.unique(np.stack([np.minimum(root_x[i], root_y[j]), np.maximum(root_x[i], root_y[j])], axis=1), axis=0)
+            kept = _forest([(0, x, y) for x, y in joined.tolist()])
+            a, b = [x for _, x, _ in kept], [y for _, _, y in kept]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
 
@@ -404,7 +435,7 @@ def _components(docs: DataFrame, size: int, percent: int, id_col: str, text_col:
     more = settle(tree.cross_pairs(roots).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     found = [_confirmed(more, full, percent)]
     if families is not None:
-        found.append(settle(tree.cross_links(families, roots, full, percent), "family-links"))
+        found += family_links(families, roots, full, percent)
     # What is connected already is a star around its root; only new links can change it.
     stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
     roots = components(reduce(DataFrame.unionByName, [stars, *found]))

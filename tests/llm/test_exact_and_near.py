@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lakesift.llm import blocknames, components, neardup, substrings
@@ -135,6 +136,45 @@ def test_near_groups(docs, monkeypatch, small, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def near_by_matrix(rows, size):
+    """Components as ``near_by_hand`` finds them, for many texts of few words."""
+    texts = [t.split() for _, t in rows]
+    sets = [{tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in texts]
+    column = {s: i for i, s in enumerate(sorted(set().union(*sets)))}
+    there = np.zeros((len(sets), len(column)), np.float32)
+    for row, s in zip(there, sets):
+        row[[column[x] for x in s]] = 1
+    both = there @ there.T
+    n = there.sum(axis=1)
+    near = 100 * both >= 80 * (n[:, None] + n - both)
+    root = np.array([i for i, _ in rows])
+    while True:
+        least = np.where(near, root, 2**62).min(axis=1)
+        if (least == root).all():
+            return dict(zip([i for i, _ in rows], root.tolist()))
+        root = least
+
+
+def test_links_of_a_family_grow_with_its_members(docs, monkeypatch):
+    """Copies of one text with up to four edits: many are near the main part of the family, but not near its pivot."""
+    counts, original = [], neardup.family_links
+
+    def counted(*args):
+        found = original(*args)
+        counts.append(sum(f.count() for f in found))
+        return found
+
+    monkeypatch.setattr(neardup, "family_links", counted)
+    monkeypatch.setattr(neardup, "BLOCK", 128)
+    base = [f"b{i}" for i in range(200)]
+    for n in (600, 1200, 2400):
+        rnd = random.Random(n)
+        rows = [(i, varied(rnd, base, rnd.randrange(1, 5))) for i in range(n)]
+        got = {r.doc_id: r.component_id for r in neardup.near_groups(docs(rows), 5).collect()}
+        assert got == near_by_matrix(rows, 5)
+    assert counts[0] > 0 and counts[2] <= 6 * counts[0] and all(c <= n for c, n in zip(counts, (600, 1200, 2400)))
+
+
 def test_near_stage(docs):
     hot = " ".join(f"h{i}" for i in range(60))
     rows = [(3, hot), (2, hot + " end"), (None, "start " + hot), (None, "other words here"), (4, ""), (5, None)]
