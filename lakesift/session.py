@@ -43,19 +43,25 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 10
     return max(8, -(-input_bytes // target_bytes))
 
 
+#: Folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: whatever ``spark.checkpoint.dir`` names.
 
-    A machine-local folder is used only by a ``local`` master that names none.
+    A machine-local folder is used only by a ``local`` master that names none. The option cannot be set on a
+    running session, so the folder is remembered here.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = os.environ.get("LAKESIFT_LOCAL_SCRATCH") or tempfile.mkdtemp(prefix="lakesift-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = os.environ.get("LAKESIFT_LOCAL_SCRATCH") or tempfile.mkdtemp(prefix="lakesift-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -14,7 +17,7 @@ class _Conf(dict):
 
 
 def _stub(master, **conf):
-    return SimpleNamespace(conf=_Conf(conf), sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=_Conf(conf), sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
 
 
 def test_scratch_is_the_folder_the_cluster_names():
@@ -30,7 +33,21 @@ def test_a_cluster_without_shared_folder_is_refused():
 
 def test_a_local_master_gets_a_folder_of_its_own():
     spark = _stub("local[2]")
-    assert S.scratch_root(spark) == spark.conf["spark.checkpoint.dir"]
+    assert S.scratch_root(spark) == S.scratch_root(spark) and "spark.checkpoint.dir" not in spark.conf
+
+
+def test_a_plain_local_session_stores_steps(tmp_path):
+    """Without any configured folder; options of the cluster cannot be set on a running session."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from lakesift.session import materialize\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "print('rows', materialize(spark.range(7), 'a').union(materialize(spark.range(5), 'b')).count())\n"
+    )
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", code], env=env, cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert "rows 12" in done.stdout, done.stderr[-2000:]
 
 
 def test_materialized_frames_keep_schema_and_rows(frame):
