@@ -7,7 +7,8 @@ to ``window``. The cheapest sequence of cuts is found exactly. As padding is lin
 earlier cut for each cut is the minimum of a sliding range, kept in a monotone queue; windows of a power of two are
 tried besides. Work is linear in the number of possible cuts.
 
-A cut inside a sentence costs ``HARD_CUT``, so no window of the optimum carries more padding than about that.
+A cut inside a sentence costs ``HARD_CUT``, so no window of the optimum carries more padding than about that. The last
+window's worth of a block may be cut anywhere, so that short blocks are padded little, too.
 
 Documents are packed where they lie: a task packs blocks of about ``BLOCK_TOKENS`` tokens one after the other, each
 ended at a document's end. Nothing is shuffled and memory is bounded by a block and the longest document.
@@ -73,13 +74,17 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> list
     return cuts[::-1]
 
 
-def possible_cuts(doc_ends: np.ndarray, sentence_ends: np.ndarray, step: int = HARD_STEP) -> tuple[np.ndarray, np.ndarray]:
-    """All possible cuts of a block with their penalties; long stretches get cuts ``step`` apart."""
+def possible_cuts(doc_ends: np.ndarray, sentence_ends: np.ndarray, step: int = HARD_STEP, fine: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """All possible cuts of a block with their penalties; long stretches get cuts ``step`` apart.
+
+    In the last ``fine`` tokens every position is one, so that what is left at a block's end falls into powers of two.
+    """
     at = np.union1d(doc_ends, sentence_ends)
     at = at[at > 0]
     gaps = np.diff(at, prepend=0)
-    inside = np.concatenate([np.arange(end - gap + step, end, step) for end, gap in zip(at[gaps > step], gaps[gaps > step])] or [np.empty(0, np.int64)])
-    whole = np.union1d(at, inside)
+    inside = [np.arange(end - gap + step, end, step) for end, gap in zip(at[gaps > step], gaps[gaps > step])]
+    inside.append(np.arange(max(at[-1] - fine, 1), at[-1]))
+    whole = np.union1d(at, np.concatenate(inside))
     penalty = np.full(len(whole), HARD_CUT)
     penalty[np.searchsorted(whole, at)] = SENTENCE_CUT
     penalty[np.searchsorted(whole, doc_ends)] = 0
@@ -140,7 +145,7 @@ def _block(block: list[tuple], sequence: int, window: int) -> tuple[pa.RecordBat
     ends = np.cumsum(lengths)
     starts = ends - lengths
     sentences = np.concatenate([s + first for (_, _, s), first in zip(block, starts.tolist())])
-    cuts = best_cuts(*possible_cuts(ends, sentences), window)
+    cuts = best_cuts(*possible_cuts(ends, sentences, fine=window), window)
     # A piece ends at a window's or a document's end.
     bounds = np.union1d(cuts, ends)
     bounds = bounds[bounds > 0]

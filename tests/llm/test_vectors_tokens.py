@@ -126,6 +126,19 @@ def test_cuts_are_the_cheapest():
             assert cost == cuts_by_hand(at.tolist(), penalty.tolist(), window)
 
 
+@pytest.mark.parametrize("tokens", [1000, 2500, 5000, 20_000])
+def test_short_blocks_are_padded_little(tokens):
+    rnd = random.Random(tokens)
+    padding = total = 0
+    for _ in range(20):
+        ends = np.cumsum([rnd.randrange(1, 600) for _ in range(max(2, tokens // 300))])
+        sentences = np.array(sorted({rnd.randrange(1, ends[-1]) for _ in range(tokens // 20)}))
+        sizes = np.diff(packing.best_cuts(*packing.possible_cuts(ends, sentences)))
+        padding += sum(0 if n & (n - 1) == 0 else 2048 - n for n in sizes.tolist())
+        total += int(ends[-1])
+    assert padding < 0.01 * total
+
+
 def test_packing(spark, monkeypatch):
     prepare(spark)
     monkeypatch.setattr(packing, "BLOCK_TOKENS", 5000)
