@@ -182,10 +182,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     needed = ", ".join(f"'{b}'" for b in needed_bigrams([(r.template, r.bigram) for r in sizes], ratio))
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("pairs", _pairs(_words(F.col("text"))))
     texts = texts.filter(f"exists(pairs, b -> b IN ({needed}))" if needed else "false")
-    lines = F.split("text", "\n")
-    units = F.concat(F.array(F.lit("")), lines)
-    split = texts.select("row", "id", "pairs", (F.size(lines) == 1).alias("single"), F.posexplode(units).alias("line", "unit")).withColumn("line", F.col("line") - 1)
-    split = split.select("row", "id", "line", "single", F.when(F.col("line") < 0, F.col("pairs")).otherwise(_pairs(_words(F.col("unit")))).alias("pairs"))
+    # The whole text is one more unit beside the lines. Only a unit's own bigrams go with its row, however many lines there are.
+    texts = texts.withColumn("lines", F.split("text", "\n")).withColumn("single", F.size("lines") == 1)
+    of_lines = F.transform("lines", lambda line, i: F.struct(i.alias("line"), _pairs(_words(line)).alias("pairs")))
+    units = F.concat(F.array(F.struct(F.lit(-1).alias("line"), F.col("pairs"))), of_lines)
+    split = texts.select("row", "id", "single", F.explode(units).alias("u")).select("row", "id", "single", "u.line", "u.pairs")
     sized = split.withColumn("n", F.size(F.array_distinct("pairs"))).withColumn("total", F.size("pairs"))
     fits = F.col("n").between(math.ceil(least / ratio - SLACK), math.floor(most * ratio + SLACK))
     sized = sized.filter((F.col("line") < 0) | fits)

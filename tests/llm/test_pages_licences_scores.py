@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import subprocess
+import sys
 import textwrap
 import zlib
 
@@ -118,6 +121,24 @@ def test_licences(spark):
     assert licences.document_licences(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_a_text_of_very_many_lines_fits_a_small_heap(tmp_path):
+    """200,000 lines, one of which names a licence, in a JVM of 1 GB."""
+    code = """
+from pyspark.sql import SparkSession
+from lakesift.llm import licences
+from lakesift.llm.common import prepare
+spark = SparkSession.builder.master("local[1]").config("spark.driver.memory", "1g").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+prepare(spark)
+lines = [f"line {i} has some words of its own" for i in range(200_000)]
+lines[1234] = "Licensed under the MIT License."
+docs = spark.createDataFrame([(1, chr(10).join(lines)), (2, "MIT License"), (3, None)], "doc_id long, text string")
+print(sorted((r.doc_id, r.licence, r.n_lines) for r in licences.document_licences(docs).collect()))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": root}, cwd=tmp_path, capture_output=True, text=True, timeout=280)
+    assert "[(1, 'MIT', 1), (2, 'MIT', 1), (3, None, 0)]" in done.stdout, done.stderr[-2000:]
+
+
 def test_licences_inside_longer_texts(spark):
     prepare(spark)
     whole = dict(licences.whole_texts())
