@@ -10,8 +10,12 @@ innermost one. If it lies in any, then outside of the outermost only other such
 taken, and headings inside it beside the path stay whatever their density.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out of the tree by
-element and role before densities are taken, and by class or id name where they hold a minor share of the page's
-unlinked text or lie beside its article. Link lists inside the content are left out after.
+element and role before densities are taken. By class or id name they are left out whatever their size, unless the
+name is that of a wrapper: an element that holds the page's article, or all but a little of the text where it lies.
+Articles inside an article that has text of its own are comments on it. Link lists inside the content are left out
+after. Headings just before the content, or between two of its parts, belong to it.
+
+Of equal density sums the innermost node is taken, of those the last on the page.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ ARTICLES = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SPACING = frozenset("br td th img wbr".split())
+#: Cells of a row are no blocks of text by themselves, but may be menus.
+CELLS = frozenset(["td", "th"])
 DROPPED = frozenset(
     "head nav footer aside form button select textarea input script style noscript template iframe svg object canvas audio video dialog menu search".split()
 )
@@ -56,7 +62,7 @@ NAMES = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense adbox banner sponsor sponsored sponsors promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar masthead footer foot header topbar "
     "cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay newsletter subscribe subscription signup login "
-    "comment comments commentlist respond replies disqus share sharing social related recommended widget toolbar pagination pager side-bar skip-link".split()
+    "comment comments commentlist respond response responses reactions replies disqus share sharing social related recommended widget toolbar pagination pager side-bar skip-link".split()
 )
 #: Such words may be grown together with others of their kind, as in ``cookiebar``.
 GROWN = re.compile(r"(?:comments?|sidebar|cookies?|advert|footer|navbar)(?:bar|box|list|form|wrap|wrapper|area|section|container|block|links|banner|message|policy|notice|menu|nav|widget)")
@@ -82,12 +88,12 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_]+")
 #: A list, or a division without paragraphs, with this share of its text in links is a menu.
 LINK_SHARE = 0.7
 LISTS = frozenset("ul ol dl dir".split())
-DIVISIONS = frozenset("div section table center".split())
+DIVISIONS = frozenset("div section table td center".split())
 #: Inside an article, links longer than this on average are its references.
 REFERENCE_CHARS = 40
-#: With this share of the page's unlinked text an element is no side matter, whatever its name.
-MAJOR_SHARE = 0.5
-FAIR_SHARE = 0.1
+#: Characters outside links and headings that make a text, and the share of an element's text that, coming after it, does.
+TEXT_CHARS = 25
+AFTER_SHARE = 0.1
 
 
 class _Node:
@@ -192,7 +198,7 @@ def _tree(page: str) -> list[_Node]:
         dropped = dropped or unwanted or named and name in VOID
         if name in SPACING and not dropped:
             add(" ")
-        if (name in BLOCKS or named) and not dropped and name not in ("html", "body"):
+        if (name in BLOCKS or name in CELLS or named) and not dropped and name not in ("html", "body"):
             node = _Node(name, stack[-1][1], named, in_article)
             node.parent.items.append(node)
             nodes.append(node)
@@ -209,35 +215,74 @@ def _tree(page: str) -> list[_Node]:
 
 
 def _without_named(nodes: list[_Node]) -> list[_Node]:
-    """Drop what is named as no part of the article, unless it holds a major share of the page's unlinked text.
-
-    A major share of the text inside its ``article`` and ``main`` elements counts as well. An element with none of that
-    text is dropped whatever its size, if one of these elements has a fair share of the page's.
-    """
-    if not any(n.named for n in nodes):
+    """Drop what is named as no part of the article, and articles that are comments on one, but for wrappers."""
+    at = {id(n): k for k, n in enumerate(nodes)}
+    up = [at[id(n.parent)] if n.parent is not None else -1 for n in nodes]
+    heading = [False] * len(nodes)
+    outer = [-1] * len(nodes)  # the outermost article around a node
+    for k, n in enumerate(nodes):  # parents come before their children
+        heading[k] = n.name in HEADINGS or up[k] >= 0 and heading[up[k]]
+        if up[k] >= 0:
+            outer[k] = outer[up[k]] if outer[up[k]] >= 0 else up[k] if nodes[up[k]].name == "article" else -1
+    own = [0 if heading[k] else n.chars - n.link_chars for k, n in enumerate(nodes)]
+    named = [n.named for n in nodes]
+    nested = [k for k, n in enumerate(nodes) if n.name == "article" and outer[k] >= 0]
+    if nested:
+        apart = dict.fromkeys((outer[k] for k in nested), 0)  # text outside of articles within
+        inner = [False] * len(nodes)
+        for k, n in enumerate(nodes):
+            inner[k] = up[k] >= 0 and inner[up[k]] or n.name == "article" and outer[k] >= 0
+            holder = k if n.name == "article" and outer[k] < 0 else outer[k]
+            if holder in apart and not inner[k]:
+                apart[holder] += own[k]
+        for k in nested:
+            named[k] = named[k] or apart[outer[k]] >= TEXT_CHARS
+    if not any(named):
         return nodes
-    text = {id(n): n.chars - n.link_chars for n in nodes}
-    inside = {id(n): text[id(n)] if n.in_article or n.name in ARTICLES else 0 for n in nodes}
-    for node in reversed(nodes):  # children come after their parents
-        if node.parent is not None:
-            text[id(node.parent)] += text[id(node)]
-            inside[id(node.parent)] += inside[id(node)]
-    page, articles = text[id(nodes[0])], inside[id(nodes[0])]
-    fair = any(n.name in ARTICLES and text[id(n)] >= FAIR_SHARE * page > 0 for n in nodes)
+    text, last = own[:], list(range(len(nodes)))  # of whole subtrees: text, and the last node
+    for k in range(len(nodes) - 1, 0, -1):
+        text[up[k]] += text[k]
+        last[up[k]] = max(last[up[k]], last[k])
+    under = named[:]
+    for k in range(1, len(nodes)):
+        under[k] = under[k] or under[up[k]]
+    stays: set[int] = set()
+    articles = [k for k, n in enumerate(nodes) if n.name in ARTICLES and any(m.chars for m in nodes[k : last[k] + 1])]
+    scopes = [k for k in articles if not under[k]]
+    if not scopes and articles:
+        most = max(articles, key=lambda k: (text[k], -k))
+        scopes, k = [most], most
+        while k >= 0:
+            stays.add(k)
+            k = up[k]
+    for scope in scopes or [0]:
+        while True:
+            inside: list[int] = []  # outermost named elements, and the text around them
+            around: list[tuple[int, int]] = []
+            k = scope
+            while k <= last[scope]:
+                if named[k] and k not in stays:
+                    inside.append(k)
+                    k = last[k] + 1
+                else:
+                    around.append((k, own[k]))
+                    k += 1
+            big = max(inside, key=lambda k: (text[k], -k), default=None)
+            if big is None or text[big] < TEXT_CHARS:
+                break
+            before, after = sum(c for k, c in around if k < big), sum(c for k, c in around if k > big)
+            if before >= TEXT_CHARS or after >= AFTER_SHARE * text[big]:
+                break
+            stays.add(big)
+            scope = big
     gone: set[int] = set()
-    thinned: dict[int, _Node] = {}
     left = []
-    for node in nodes:
-        own, in_articles = text[id(node)], inside[id(node)]
-        minor = own < MAJOR_SHARE * page and (not in_articles or in_articles < MAJOR_SHARE * articles)
-        if id(node.parent) in gone:
-            gone.add(id(node))
-        elif node.named and (minor or fair and not in_articles or not own):
+    for k, node in enumerate(nodes):
+        if up[k] >= 0 and id(nodes[up[k]]) in gone or named[k] and k not in stays:
             gone.add(id(node))
-            thinned[id(node.parent)] = node.parent
         else:
             left.append(node)
-    for node in thinned.values():
+    for node in left:
         node.items = [i for i in node.items if id(i) not in gone]
     return left
 
@@ -270,6 +315,14 @@ def _menu(node: _Node) -> bool:
     return node.name in LISTS or node.name in DIVISIONS and not any(isinstance(i, _Node) and i.name in ("p", *HEADINGS) for i in node.items)
 
 
+def _heads(node: _Node) -> bool:
+    """Is this a heading, or does it hold headings only?"""
+    if node.name in HEADINGS:
+        return True
+    parts = [i for i in node.items if not (isinstance(i, str) and i.isspace())]
+    return bool(parts) and all(isinstance(i, _Node) and _heads(i) for i in parts)
+
+
 def _blocks(node: _Node, out: list[str]) -> None:
     """Texts of the node's blocks in page order: what stands between two block borders is one block."""
     todo: list = [(iter(node.items), True)]
@@ -316,9 +369,11 @@ def main_text(page: str) -> str:
     for node in reversed(nodes):  # children come after their parents
         if node.parent is not None and (node.name in ARTICLES or id(node) in holds):
             holds.add(id(node.parent))
-    # From the body down: the content itself, and subtrees beside its path that are dense enough.
+    # From the body down: the content itself, and subtrees beside its path that are dense enough. Headings wait for what
+    # they head: they are taken with the next part that is, if no other text lies between.
     chosen = _Node("content", None)
     out: list[str] = []
+    waiting: list[_Node] = []
     todo = [(iter([path[-1]]), False)]
     while todo:
         items, inside = todo[-1]
@@ -326,17 +381,29 @@ def main_text(page: str) -> str:
             if isinstance(item, str):
                 if inside:
                     chosen.items.append(item)
+                if not item.isspace():
+                    waiting.clear()
             elif item is content:
-                chosen.items.append(item)
+                chosen.items += [*waiting, item]
+                waiting.clear()
             elif id(item) in on_path:
                 chosen.items.append(_Node("border", None))
                 todo.append((iter(item.items), id(item) in within))
                 break
-            elif (inside or item.name in ARTICLES) and item.density >= threshold or inside and marked and item.name in HEADINGS:
-                chosen.items.append(item)
+            elif _heads(item):
+                if inside and marked:
+                    chosen.items += [*waiting, item]
+                    waiting.clear()
+                else:
+                    waiting.append(item)
+            elif (inside or item.name in ARTICLES) and item.density >= threshold:
+                chosen.items += [*waiting, item]
+                waiting.clear()
             elif not inside and id(item) in holds:
                 todo.append((iter(item.items), False))
                 break
+            elif item.chars:
+                waiting.clear()
         else:
             todo.pop()
             chosen.items.append(_Node("border", None))
@@ -354,7 +421,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every row: its main text and the number of its characters.
 
-    Null or empty html, and pages without text outside menus and the like, have an empty text. Broken markup is read
+    Null or empty html, and pages without text outside menus and the like, have an empty text. An empty table gives
+    no rows. Broken markup is read
     as browsers do: unclosed elements end with what holds them. Rows are taken one by one, whatever their ids.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))

@@ -69,6 +69,70 @@ def test_names_do_not_drop_the_whole_text(name):
     assert pagetext.main_text(page) == "\n".join(["Title", *PARTS[0]])
 
 
+ARTICLE_3, SIDE_8 = _part(PARTS[0][:3]), _part([f"Remark {k}. {LONG}" for k in range(8)])
+COMMENTS = _part([f"Comment {k}. {LONG}" for k in range(5)])
+
+
+@pytest.mark.parametrize(
+    "page, kept",
+    [
+        # Reader comments, footers and side matter longer than the article.
+        (f"<body><article>{ARTICLE_3}<div class=comment-list>{COMMENTS}</div></article>", PARTS[0][:3]),
+        (f"<body><main>{ARTICLE_3}<section id=comments>{SIDE_8}</section></main>", PARTS[0][:3]),
+        (f"<body><div class=post>{ARTICLE_3}</div><div class=comments>{COMMENTS}</div>", PARTS[0][:3]),
+        (f"<body><div class=post>{ARTICLE_3}</div><div class=responses>{COMMENTS}</div>", PARTS[0][:3]),
+        (f"<body><article>{ARTICLE_3}<div class=responses>{COMMENTS}</div></article>", PARTS[0][:3]),
+        (f"<body><article>{ARTICLE_3}</article><div class=footer>{SIDE_8}</div>", PARTS[0][:3]),
+        (f"<body><article>{ARTICLE_3}</article><div class=related>{SIDE_8}</div>", PARTS[0][:3]),
+        (f"<body><div class=sidebar>{COMMENTS}</div><div>{ARTICLE_3}</div>", PARTS[0][:3]),
+        # Comments as articles inside the article; parts of a page as articles.
+        (f"<body><article>{ARTICLE_3}<article><p>Well said. {LONG}</article><article><p>I agree. {LONG}</article></article>", PARTS[0][:3]),
+        ("<body><article>" + "".join(f"<article>{_part(b)}</article>" for b in PARTS) + "</article>", [x for b in PARTS for x in b]),
+        # Wrappers with a name of side matter.
+        (f"<body><div class=widget>{ARTICLE_3}</div><p>Copyright of the site, all rights reserved", PARTS[0][:3]),
+        (f"<body><div class=overlay><article>{ARTICLE_3}</article></div><div class=comments>{COMMENTS}</div>", PARTS[0][:3]),
+        (f"<body><article><h1>Title</h1><div class=modal>{ARTICLE_3}</div><div class=share>Tell others about it all</div></article>", ["Title", *PARTS[0][:3]]),
+        # Titles before the content, and headings between its parts.
+        (f"<body><h1>Title</h1><article>{ARTICLE_3}</article>", ["Title", *PARTS[0][:3]]),
+        (f"<body><div><h1>Title</h1><div>{ARTICLE_3}</div></div><div><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div>", ["Title", *PARTS[0][:3]]),
+        (f"<body><div>{_part(PARTS[0])}</div><div class=row><h2>Between</h2></div><div>{_part(PARTS[1])}</div>", [*PARTS[0], "Between", *PARTS[1]]),
+        # A table as layout.
+        (f"<body><table><tr><td><a>Home</a><br><a>News</a></td><td>{_part(PARTS[0])}</td></tr></table>", PARTS[0]),
+    ],
+)
+def test_side_matter_is_told_from_wrappers_by_position(page, kept):
+    assert pagetext.main_text(page) == "\n".join(b.strip() for b in kept)
+
+
+def test_density_sums_against_a_plain_version():
+    """Densities and their sums by the formula, node by node, over a page of nested divisions."""
+    rnd = np.random.default_rng(3)
+
+    def division(depth):
+        inner = "".join(division(depth + 1) if depth < 4 and rnd.random() < 0.6 else f"<p>{'x' * int(rnd.integers(1, 90))}<a>{'y' * int(rnd.integers(1, 40))}</a></p>" for _ in range(3))
+        return f"<div>{inner}</div>"
+
+    for _ in range(20):
+        nodes = pagetext._tree(f"<body>{division(0)}")
+        pagetext._densities(nodes)
+
+        def plain(node):
+            texts = [i for i in node.items if isinstance(i, str)]
+            parts = [plain(i) for i in node.items if not isinstance(i, str)]
+            return [sum(len(t) for t in texts) + sum(p[0] for p in parts), sum(p[1] + 1 for p in parts), sum(t.count("y") for t in texts) + sum(p[2] for p in parts), sum(t.count("y") > 0 for t in texts) + sum(p[3] for p in parts)]
+
+        chars, _, linked, _ = plain(nodes[0])
+
+        def density(node):
+            c, t, lc, lt = plain(node)
+            base = np.log(c / max(c - lc, 1) * lc + linked / chars * c + np.e)
+            return c / (t or 1) * np.log(max(c / (lc or 1) * (t or 1) / (lt or 1), 1.0)) / np.log(max(base, 1.1))
+
+        for node in nodes:
+            assert node.density == pytest.approx(density(node))
+            assert node.total == pytest.approx(sum(density(i) for i in node.items if not isinstance(i, str)))
+
+
 def test_small_parts_are_dropped_by_attribute_and_menu_only_as_such():
     link = "<a href=x>A long title of a source that the article quotes, by its author</a>"
     page = f"<article><p title='A hidden gem'>Gem</p><p hidden>no</p><p aria-hidden='true'>no</p><p style='display: none'>no</p>{_part(PARTS[0])}<ul><li>{link}<li>{link}</ul><p><a>One</a> <a>two</a></p><ul><li><a>One</a><li><a>Two</a></ul><p>an <span class=share>Tweet</span> end</p></article>"
