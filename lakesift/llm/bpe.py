@@ -28,18 +28,25 @@ from pyspark.sql import functions as F
 #: Entries of a worker's table of words seen, and of compatible pairs. Full tables are emptied: no result depends on them.
 WORDS_KEPT = 250_000
 PAIRS_KEPT = 500_000
+#: Longer words are not kept: texts without spaces would fill the table with whole paragraphs.
+LONGEST_KEPT = 64
 
 #: Marks the last symbol of a word in vocabularies with word ends.
 _END = 0x1000
 
 
 class Words(dict):
-    """A bounded table of results by word, filled on demand. What was used since it last filled up stays."""
+    """A bounded table of results by word, filled on demand. What was used since it last filled up stays.
+
+    Two generations of short words take some 150 MB at most, whatever the texts.
+    """
 
     def __init__(self, make, limit: int = WORDS_KEPT) -> None:
         self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, word):
+        if len(word) > LONGEST_KEPT:
+            return self.make(word)
         found = self.older.get(word)
         if found is None:
             found = self.make(word)

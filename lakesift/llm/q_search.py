@@ -14,10 +14,11 @@ WITH v AS (
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+  SELECT vec_id, min(e) AS e FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id, len(e)
 ), p AS (
   SELECT q.vec_id AS query_id, c.vec_id, cast(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
-  WHERE q.vec_id % 50 = 0
+  FROM q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
 ), r AS (
   SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM p

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Components in a shard or tile, score cells in one product, lists merged at once.
-SHARD_CELLS = 4_000_000
-TILE_CELLS = 1_000_000
+SHARD_CELLS = 500_000
+TILE_CELLS = 250_000
 PRODUCT_CELLS = 4_000_000
 FAN_IN = 16
 
@@ -31,17 +31,15 @@ def scaled(vec: str, factor: int) -> Column:
     return F.transform(vec, lambda x: F.floor(x.cast("double") * factor).cast("double"))
 
 
-def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids in rising order and their vectors; a repeated id counts once, with its smallest vector."""
+def _matrix(t: pa.Table, once: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ids in rising order and their vectors; with ``once``, a repeated id counts once, with its smallest vector."""
     ids = t.column("id").to_numpy()
     flat = t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     rows = flat.reshape(len(ids), -1)
-    if len(np.unique(ids)) < len(ids):
+    order = np.argsort(ids, kind="stable")
+    if once and len(np.unique(ids)) < len(ids):
         order = np.lexsort((*rows.T[::-1], ids))
-        first = np.r_[True, ids[order][1:] != ids[order][:-1]]
-        order = order[first]
-    else:
-        order = np.argsort(ids)
+        order = order[np.r_[True, ids[order][1:] != ids[order][:-1]]]
     return ids[order], rows[order]
 
 
@@ -54,17 +52,16 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(2**63), 2**63 - 1)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> np.ndarray:
-    """Positions of the k best scores without ``own``; ties to the smaller position, as ids rise."""
-    if own >= 0:
-        scores = np.delete(scores, own)
+def _best(scores: np.ndarray, own: slice, k: int) -> np.ndarray:
+    """Positions of the k best scores outside of ``own``; ties to the smaller position, as ids rise."""
+    scores = np.concatenate([scores[: own.start], scores[own.stop :]])
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         at = np.flatnonzero(scores >= least)
     else:
         at = np.arange(len(scores))
     at = at[np.argsort(-scores[at], kind="stable")][:k]
-    return at + (at >= own) if own >= 0 else at
+    return at + (at >= own.start) * (own.stop - own.start)
 
 
 def _cell(k: int):
@@ -72,15 +69,14 @@ def _cell(k: int):
         out: list[list] = [[], [], []]
         # A side without rows may come with its key columns only.
         if all(t.num_rows and "vec" in t.column_names for t in (queries, candidates)):
-            q_ids, q = _matrix(queries)
-            c_ids, c = _matrix(candidates)
-            own = np.searchsorted(c_ids, q_ids)
-            own = np.where(c_ids[np.minimum(own, len(c_ids) - 1)] == q_ids, own, -1)
+            q_ids, q = _matrix(queries, once=True)
+            c_ids, c = _matrix(candidates, once=False)
+            own = [slice(a, b) for a, b in zip(np.searchsorted(c_ids, q_ids), np.searchsorted(c_ids, q_ids, side="right"))]
             step = max(1, PRODUCT_CELLS // len(c_ids))
             for start in range(0, len(q_ids), step):
                 scores = _products(q[start : start + step], c)
                 for i, row in enumerate(scores, start):
-                    at = _best(c_ids, row, own[i], k)
+                    at = _best(row, own[i], k)
                     out[0] += [q_ids[i]] * len(at)
                     out[1] += c_ids[at].tolist()
                     out[2] += [int(x) for x in row[at]]
@@ -101,7 +97,8 @@ def search(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
 
     Both sides have ``id`` (long) and ``vec`` (array of doubles that are whole numbers). A candidate with the
     query's id is the query itself and not returned. Ties go to the smaller id. Rows with a null id or vector
-    take no part; of repeated ids the row with the smallest vector counts. Vectors are compared with vectors of
+    take no part. Of queries that repeat an id the one with the smallest vector counts; candidates that do are rows
+    like all others, so an id may come more than once. Vectors are compared with vectors of
     the same length only. Fewer candidates than k: all of them; an empty side: no rows.
     """
     sides = [d.select("id", "vec", F.size("vec").alias("dim")).filter("id IS NOT NULL AND vec IS NOT NULL") for d in (queries, candidates)]

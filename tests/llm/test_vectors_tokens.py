@@ -69,16 +69,23 @@ def test_a_full_table_of_words_changes_nothing():
     assert len(words) <= 3
 
 
+def test_long_words_are_not_kept():
+    words = bpe.Words(len)
+    assert [words["w" * n] for n in (5_000, 64, 5_000)] == [5_000, 64, 5_000] and list(words) == ["w" * 64]
+
+
 def search_by_hand(rows, k, every):
-    good = {}
+    good, queries = [], {}
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
             f = [int(np.floor(256 * float(x))) for x in v]
-            good[i] = min(good.get(i, f), f)
+            good.append((i, f))
+            queries[i] = min(queries.get(i, f), f)
     out = []
-    for q in (i for i in good if i % every == 0):
-        scored = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q and len(v) == len(good[q]))
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    for q, f in queries.items():
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(f, v)), i) for i, v in good if i != q and len(v) == len(f))
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -91,7 +98,7 @@ def test_search(spark, monkeypatch, cells):
     rnd = random.Random(2)
     rows = [(i, [rnd.choice([0.5, -0.25, 0.1, 1.0]) for _ in range(4)]) for i in range(120)]
     rows += [(200, None), (201, [0.1, None, 0.2, 0.3]), (202, [float("nan")] * 4), (203, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4)]
-    rows += [(205, [1.0, 2.0]), (210, [3.0, -1.0]), (10, rows[10][1]), (20, [9.0] * 4), (215, []), (220, [])]
+    rows += [(205, [1.0, 2.0]), (210, [3.0, -1.0]), (10, rows[10][1]), (20, [9.0] * 4), (21, [9.0] * 4), (21, [9.0] * 4), (215, []), (220, [])]
     vectors = spark.createDataFrame([(i, v, 7) for i, v in rows], "vec_id long, embedding array<float>, rank int")
     vectors = vectors.filter(topk.usable("embedding")).select(F.col("vec_id").alias("id"), topk.scaled("embedding", 256).alias("vec"))
     got = topk.search(vectors.filter("id % 5 = 0"), vectors, 5).collect()
