@@ -14,6 +14,8 @@ from lakesift.probes.views import (
     line_rates,
     money,
 )
+from lakesift.session import scratch
+from lakesift.sources.increments import CheckedTable
 
 _DUPED = """
   SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM lineitem
@@ -28,29 +30,68 @@ def i3_rejects(t):
     return K.check_primary_key(t.lineitem, LINE_KEY, _latest()).rejects
 
 
-@probe(
-    "i3_primary_key_clean",
-    f"""
+_CLEAN_SQL = f"""
     SELECT * EXCLUDE (rn) FROM (
       SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER_SQL}) AS rn
       FROM lineitem) WHERE rn = 1
-    """,
-)
+    """
+
+
+@probe("i3_primary_key_clean", _CLEAN_SQL)
 def i3_clean(t):
     return K.check_primary_key(t.lineitem, LINE_KEY, _latest()).clean
 
 
-@probe(
-    "i3_primary_key_metrics",
-    """
+_METRICS_SQL = """
     SELECT count(*) AS duplicate_keys, cast(sum(n) as bigint) AS rejected_rows
     FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-    """,
-)
+    """
+
+
+@probe("i3_primary_key_metrics", _METRICS_SQL)
 def i3_metrics(t):
     return K.check_primary_key(t.lineitem, LINE_KEY).metrics
 
 
+def _lines_in_loads(t) -> CheckedTable:
+    """All lines, arriving in three loads that share keys."""
+    table = CheckedTable(t.spark, scratch(t.spark, "checked"), LINE_KEY, _latest(), rows_per_range=100_000)
+    for k in range(3):
+        table.load(t.lineitem.where(F.col("l_suppkey") % 3 == k))
+    return table
+
+
+@probe("i3_loads_clean", _CLEAN_SQL)
+def i3_loads_clean(t):
+    return _lines_in_loads(t).clean()
+
+
+@probe(
+    "i3_loads_rejects",
+    f"SELECT * EXCLUDE (n), 'pkey_dupe' AS issue_type FROM ({_DUPED}) WHERE n > 1",
+)
+def i3_loads_rejects(t):
+    return _lines_in_loads(t).rejects()
+
+
+@probe("i3_loads_metrics", _METRICS_SQL)
+def i3_loads_metrics(t):
+    return _lines_in_loads(t).metrics()
+
+
+@probe(
+    "i4_index_orphans",
+    """SELECT l.*, 'ri_orphan' AS issue_type, 'orders' AS failed_dimension, 'l_orderkey' AS join_key
+       FROM lineitem l WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')""",
+)
+def i4_index(t):
+    """Lines against the key index of orders that came in two loads; the orders themselves are not read again."""
+    orders = CheckedTable(t.spark, scratch(t.spark, "orders"), ["o_orderkey"], rows_per_range=100_000)
+    for status in ("O", "P"):
+        orders.load(t.orders.where(F.col("o_orderstatus") == status))
+    return K.check_references(t.lineitem, [orders.reference("orders", "l_orderkey", "o_orderkey")]).rejects
+
+
 def _line_references(t):
     """Lines against open orders, large parts and solvent suppliers: all three have orphans."""
     return [

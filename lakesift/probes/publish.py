@@ -9,6 +9,7 @@ from lakesift.probes.registry import NAMES, probe
 from lakesift.probes.views import LINE_FACT_SQL, line_fact
 from lakesift.session import scratch
 from lakesift.sources.published import PublishError, Shelf, check_complete, upsert, verify_loaded
+from lakesift.sources.ranged import RangedTable
 from lakesift.sources.rejects import append_rejects, read_rejects
 from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
 
@@ -192,6 +193,26 @@ def j6_loads(t):
     return shelf.read_published("orders")
 
 
+@probe(
+    "j6_ranged_loads",
+    f"""
+    WITH second AS ({_UPSERT})
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 3 THEN 'Z' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+           CASE WHEN o_orderkey % 10 = 3 THEN o_orderdate + INTERVAL 9 DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority
+    FROM second
+    """,
+)
+def j6_ranged(t):
+    """The orders, the delta and changes of every tenth order, each loaded into the ranges that it touches."""
+    table, order = RangedTable(t.spark, scratch(t.spark, "ranged"), ["o_orderkey"], rows_per_range=5_000), [F.col("o_orderdate").desc()]
+    table.load(t.orders, order)
+    table.load(_delta(t), order)
+    later = (F.col("o_orderdate") + F.expr("INTERVAL 9 DAY")).cast("timestamp_ntz")
+    changed = table.read().where("o_orderkey % 10 = 3").withColumns({"o_orderstatus": F.lit("Z"), "o_orderdate": later})
+    table.load(changed, order)
+    return table.read()
+
+
 @probe(
     "i15_load_verification",
     " UNION ALL ".join(

@@ -97,6 +97,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it does not exist."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder whose contents are no longer needed."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -194,11 +194,11 @@ class Shelf:
 # -- incremental load --------------------------------------------------------
 
 
-def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence, ignore: Sequence[str] = ()) -> DataFrame:
     """Base with the rows of delta merged in.
 
     Of a key that the delta has, the first row in ``order`` among base and delta
-    stays. Rows of other keys pass as they are, also where base repeats a key.
+    stays, ties settled by content without the columns of ``ignore``. Rows of other keys pass as they are, also where base repeats a key.
     The delta is stored, so it is computed once and its true size lets the
     planner join by broadcast where it is small.
     """
@@ -206,7 +206,7 @@ def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequen
     touched = prefixed(delta.select(*keys).distinct(), keys, "_u_")
     on = same_keys_condition(keys, "_u_")
     rivals = base.join(touched, on, "left_semi").unionByName(delta)
-    return base.join(touched, on, "left_anti").unionByName(keep_best(rivals, keys, order))
+    return base.join(touched, on, "left_anti").unionByName(keep_best(rivals, keys, order, ignore))
 
 
 # -- verification after a load -----------------------------------------------
