@@ -3,6 +3,7 @@ wide facts, gated by expectation suites, published, and verified."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -23,8 +24,9 @@ from lakesift.operators.expectations import Expectation, passed, run_suite
 from lakesift.operators.facts import rate_fact
 from lakesift.operators.joins import Lookup
 from lakesift.operators.joins import star as join_star
-from lakesift.session import remove, scratch
+from lakesift.session import names_in, remove, scratch
 from lakesift.sources.catalog import load_required
+from lakesift.sources.commits import CommitLog
 from lakesift.sources.published import Shelf, verify_loaded
 from lakesift.sources.rejects import append_rejects
 from lakesift.sources.runlog import RunLog
@@ -96,9 +98,26 @@ class StarRules:
 SURROGATES = ("index",)
 
 
+def silver_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """The folder of every silver table, as the last complete load left them."""
+    return CommitLog(spark, f"{root.rstrip('/')}/commits").head().get("tables", {})
+
+
 def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A silver table: accepted rows only."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}")
+    return spark.read.parquet(silver_tables(spark, root)[table])
+
+
+def remove_old_loads(spark: SparkSession, root: str) -> list[str]:
+    """Delete the folders of loads none of whose tables is current; returns their names.
+
+    Only for times when no load is running and nobody reads what was current before.
+    """
+    kept = {path.rstrip("/").rsplit("/", 2)[1] for path in silver_tables(spark, root).values()}
+    old = sorted(set(names_in(spark, f"{root.rstrip('/')}/loads")) - kept)
+    for name in old:
+        remove(spark, f"{root.rstrip('/')}/loads/{name}")
+    return old
 
 
 def _write_split(flagged: DataFrame, path: str, rejects_root: str, key: Column, run: tuple[str, str]) -> int:
@@ -115,7 +134,7 @@ def _write_split(flagged: DataFrame, path: str, rejects_root: str, key: Column,
         flagged.observe(seen, F.count_if(rejected).alias("rejected")).write.parquet(folder)
         stored = spark.read.schema(flagged.schema).parquet(folder)
         clean = with_audit(stored.where(~rejected).drop(*REASONS), *run)
-        clean.write.mode("overwrite").parquet(path)
+        clean.write.parquet(path)
         if seen.get["rejected"]:
             append_rejects(stored.where(rejected), rejects_root, key, *run)
     finally:
@@ -147,12 +166,18 @@ def load_silver(
 ) -> dict[str, DataFrame]:
     """Check staged tables and write the silver layer; returns the tables that were loaded.
 
-    Dimensions are checked for unique keys. Facts are checked against the cleaned
+    Every load writes to a folder of its own and then makes its tables current in one commit, so readers see the
+    layer before or after a load, and one that is killed leaves it as it was. A table that was not loaded stays
+    what it was. Dimensions are checked for unique keys. Facts are checked against the cleaned
     dimensions and for signs. A silver table holds its accepted rows and nothing
     else; rejects go to the rejects dataset. A table that fails is logged with its
     error class, and so are the facts that need it; all others still load.
     """
+    if not tables:
+        log.step("load_to_silver", "success")
+        return {}
     spark = next(iter(tables.values())).sparkSession
+    root = f"{silver_root.rstrip('/')}/loads/{uuid.uuid4().hex}"
     groups = classify(list(tables), list(rules.primary_keys), list(rules.references))
     if groups["uncategorised"]:
         log.step("sort_tables", "warning", groups["uncategorised"])
@@ -167,13 +192,16 @@ def load_silver(
             rejected = split.metrics.first()["rejected_rows"]
             if rejected:
                 append_rejects(split.rejects, rejects_root, t, *run)
-            with_audit(split.clean, *run).write.mode("overwrite").parquet(f"{silver_root}/{t}")
+            with_audit(split.clean, *run).write.parquet(f"{root}/{t}")
             log.step(f"check_keys {t}", "success", f"{rejected} rows rejected")
-            silver[t] = read_silver(spark, silver_root, t)
+            silver[t] = spark.read.parquet(f"{root}/{t}")
 
     target = F.coalesce("failed_dimension", "failed_column")
     kind = F.when(F.col("failed_dimension").isNotNull(), "orphans").otherwise("negatives")
-    for t in rules.fact_order(groups["fact"]):
+    ordered: list[str] = []
+    with recorded(log, "order_facts", spark):
+        ordered = rules.fact_order(groups["fact"])
+    for t in ordered:
         with recorded(log, f"check_rows {t}", spark):
             if absent := [d for d in rules.references[t] if d not in silver]:
                 raise MissingInput(", ".join(absent))
@@ -183,14 +211,16 @@ def load_silver(
             ]
             flagged = flag_rows(tables[t], refs, rules.non_negative.get(t, ()))
             key = F.concat_ws("_", F.lit(t), target, kind)
-            rejected = _write_split(flagged, f"{silver_root}/{t}", rejects_root, key, run)
+            rejected = _write_split(flagged, f"{root}/{t}", rejects_root, key, run)
             log.step(f"check_rows {t}", "success", f"{rejected} rows rejected")
-            silver[t] = read_silver(spark, silver_root, t)
+            silver[t] = spark.read.parquet(f"{root}/{t}")
 
     for t in groups["uncategorised"]:
         with recorded(log, f"copy {t}", spark):
-            with_audit(tables[t], *run).write.mode("overwrite").parquet(f"{silver_root}/{t}")
-            silver[t] = read_silver(spark, silver_root, t)
+            with_audit(tables[t], *run).write.parquet(f"{root}/{t}")
+            silver[t] = spark.read.parquet(f"{root}/{t}")
+    paths = {t: f"{root}/{t}" for t in silver}
+    CommitLog(spark, f"{silver_root.rstrip('/')}/commits").add(lambda head: {"run": list(run), "tables": {**head.get("tables", {}), **paths}})
     for t in sorted(silver):
         log.add("load_to_silver", "tables", t)
     missing = sorted(set(tables) - set(silver))

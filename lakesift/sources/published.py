@@ -1,10 +1,12 @@
 """Published tables as immutable versions behind one commit log.
 
 A version is written once under ``versions/<table>/<stamp>`` and never changed.
-The audit log decides which version is current: its newest row per table. One
-publish appends the rows of all its tables as a single file, so either all of
-them become visible or none. The version that was current before is the
-snapshot, at no copying cost whatever its size.
+The audit log decides which version is current. A publish is one numbered commit
+with the rows of all its tables, so either all of them become visible or none;
+of two that end at once, one takes the next number and has the other's versions
+as its snapshots. Every commit names all current versions, so a read opens one
+file. The version that was current before is the snapshot, at no copying cost
+whatever its size.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from lakesift.operators.dedupe import keep_best
 from lakesift.operators.keys import prefixed, same_keys_condition
 from lakesift.session import exists, materialize
 from lakesift.sources.catalog import stamp
+from lakesift.sources.commits import CommitLog
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -96,20 +99,22 @@ class Shelf:
 
     # -- publishing --------------------------------------------------------
 
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(self.spark, self._audit_path)
+
     def audit(self) -> DataFrame:
         """Every publish so far, one row per table."""
-        if not exists(self.spark, self._audit_path):
+        if not self.commits.last():
             return self.spark.createDataFrame([], AUDIT_SCHEMA)
-        return self.spark.read.schema(AUDIT_SCHEMA).parquet(self._audit_path)
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in AUDIT_SCHEMA])
+        commits = self.spark.read.schema(T.StructType([T.StructField("rows", T.ArrayType(text))])).json(self._audit_path)
+        rows = commits.select(F.explode("rows").alias("r")).select("r.*")
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AUDIT_SCHEMA])
 
     def current(self, table: str) -> str | None:
         """Name of the version that is published now."""
-        last = (
-            self.audit()
-            .where(F.col("gold_table") == table)
-            .agg(F.max_by("staging_table", F.struct("publish_ts", "staging_table")).alias("v"))
-        )
-        return last.first()["v"]
+        return self.commits.head().get("current", {}).get(table, [None])[0]
 
     def read_published(self, table: str) -> DataFrame:
         version = self.current(table)
@@ -175,20 +180,26 @@ class Shelf:
 
         ``recreate`` lets the schema follow the staged table. A stamp that is not
         later than a table's last publish would leave the older version current,
-        so it is refused.
+        so it is refused. Another publish that ends first is taken account of.
         """
-        ts = ts or datetime.now(timezone.utc)
-        late = self.audit().where(F.col("gold_table").isin(*staged) & (F.col("publish_ts") >= F.lit(ts)))
-        if stale := sorted(r["gold_table"] for r in late.select("gold_table").distinct().collect()):
-            raise PublishError(f"published later than {ts}: {', '.join(stale)}")
-        rows = []
-        for table, name in staged.items():
-            before = self.current(table)
-            version = name if recreate else self._replacement(table, name, before, ts)
-            rows.append((pipeline_id, run_id, ts, table, version, before))
-        results = self.spark.createDataFrame(rows, AUDIT_SCHEMA)
-        results.coalesce(1).write.mode("append").parquet(self._audit_path)
-        return results
+
+        def commit(head: dict) -> dict:
+            at = ts or datetime.now(timezone.utc)
+            at = at if at.tzinfo else at.astimezone()
+            current = dict(head.get("current", {}))
+            if stale := sorted(t for t in staged if t in current and datetime.fromisoformat(current[t][1]) >= at):
+                raise PublishError(f"published later than {at}: {', '.join(stale)}")
+            rows = []
+            for table, name in staged.items():
+                before = current.get(table, [None])[0]
+                version = name if recreate else self._replacement(table, name, before, at)
+                rows.append(dict(zip(AUDIT_SCHEMA.names, (pipeline_id, run_id, at.isoformat(), table, version, before))))
+                current[table] = [version, at.isoformat()]
+            return {"rows": rows, "current": current}
+
+        made = self.commits.add(commit)["rows"]
+        rows = [tuple(datetime.fromisoformat(v) if k == "publish_ts" else v for k, v in r.items()) for r in made]
+        return self.spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
 # -- incremental load --------------------------------------------------------

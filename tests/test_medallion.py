@@ -8,12 +8,13 @@ import pytest
 from conftest import rows
 
 from lakesift.plans import hockey as H
-from lakesift.plans.medallion import GalaxyRules, build_gold, load_silver, publish_gold
+from lakesift.plans import medallion
+from lakesift.plans.medallion import GalaxyRules, build_gold, load_silver, publish_gold, read_silver, remove_old_loads
 from lakesift.sources import catalog as C
 from lakesift.sources import landing as L
 from lakesift.sources.published import Shelf
 from lakesift.sources.rejects import read_reasons
-from lakesift.sources.runlog import RunLog, latest
+from lakesift.sources.runlog import RunLog, latest, read_log
 
 TS = datetime(2024, 5, 1, 8, tzinfo=timezone.utc)
 
@@ -177,7 +178,7 @@ def test_failures_are_logged_and_the_rest_still_loads(spark, tmp_path):
     assert entries(stored, "check_rows alone", "error").first()["status"] == "MissingInput"
     assert entries(stored, "check_rows broken", "error").first()["status"] != ""
     # Plain files of a silver table hold accepted rows only.
-    plain = spark.read.parquet(str(tmp_path / "silver" / "good"))
+    plain = spark.read.parquet(silver["good"].inputFiles()[0].rpartition("/")[0])
     assert plain.columns == ["d", "v", "load_timestamp", "pipeline_id", "run_id"]
     assert rows(plain, "d", "v") == [(1, 5)]
     assert read_reasons(spark, str(tmp_path / "rejects")).count() == 2
@@ -215,3 +216,38 @@ def test_measures_of_the_published_facts(lake):
     assert (row["Total Saves"], row["Saves per 60"]) == (30, 30.0)
     assert rows(yoy_diff(skater, [], "season", "total_goals"), "season", "change") == [(2015, None), (2016, -1.0)]
     assert rows(yoy_pct(skater, [], "season", "total_goals"), "season", "pct_change") == [(2015, None), (2016, -50.0)]
+
+
+def test_a_killed_load_leaves_the_layer_of_the_load_before(spark, tmp_path, monkeypatch):
+    """A load that ends between its tables, and one that was complete."""
+    rules = GalaxyRules({"dim": ["k"]}, {"fact": {"dim": ("k", "k")}})
+    root, rejects = str(tmp_path / "silver"), str(tmp_path / "rejects")
+    tables = lambda v: {"dim": spark.createDataFrame([(1, v)], "k int, v int"), "fact": spark.createDataFrame([(1, v)], "k int, v int")}
+    load_silver(tables(1), rules, root, rejects, RunLog("p", "r1"))
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*args):
+        raise Killed
+
+    monkeypatch.setattr(medallion, "_write_split", killed)
+    with pytest.raises(Killed):
+        load_silver(tables(2), rules, root, rejects, RunLog("p", "r2"))
+    assert [read_silver(spark, root, t).first()["v"] for t in ("dim", "fact")] == [1, 1]
+    monkeypatch.undo()
+    load_silver(tables(3), rules, root, rejects, RunLog("p", "r3"))
+    load_silver({"dim": tables(4)["dim"]}, rules, root, rejects, RunLog("p", "r4"))
+    assert [read_silver(spark, root, t).first()["v"] for t in ("dim", "fact")] == [4, 3]
+    assert len(remove_old_loads(spark, root)) == 2
+    assert [read_silver(spark, root, t).first()["v"] for t in ("dim", "fact")] == [4, 3]
+    assert load_silver({}, rules, root, rejects, RunLog("p", "r5")) == {}
+
+
+def test_facts_in_a_circle_are_logged(spark, tmp_path):
+    rules = GalaxyRules({"dim": ["k"]}, {"a": {"b": ("k", "k")}, "b": {"a": ("k", "k")}})
+    log = RunLog("p", "r", str(tmp_path / "log"))
+    frame = spark.createDataFrame([(1,)], "k int")
+    assert sorted(load_silver({"dim": frame, "a": frame, "b": frame}, rules, str(tmp_path / "s"), str(tmp_path / "r"), log)) == ["dim"]
+    last = {r["step"]: r["status"] for r in latest(read_log(spark, log.path)).collect()}
+    assert last["order_facts"] == last["load_to_silver"] == "failed"

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lakesift.sources.commits import CommitLog
 from lakesift.sources.published import PublishError, Shelf, check_complete, upsert, verify_loaded
 from lakesift.sources.rejects import append_rejects, read_reasons, read_rejects
 from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
@@ -161,3 +164,36 @@ def test_run_log(spark, tmp_path):
     got = {r["step"]: (r["status"], r["entry"]) for r in latest(stored).collect()}
     assert got == {"run": ("ended", None), "load": ("success", "5"), "check": ("failed", "ValueError")}
     assert rows(latest(log.frame(spark)).drop("at")) == rows(latest(stored).drop("at"))
+
+
+def test_two_publishers_at_once_make_a_chain(shelf, frame):
+    """Both are visible, and the later one has the other's version as its snapshot."""
+    first = shelf.stage(frame([(0,)], "k int"), "t", datetime(2024, 1, 1, tzinfo=timezone.utc))
+    shelf.publish({"t": first}, "p", "r0", datetime(2024, 1, 1, tzinfo=timezone.utc))
+    names = {f"r{k}": shelf.stage(frame([(k,)], "k int"), "t", datetime(2024, 1, 2, k, tzinfo=timezone.utc)) for k in range(1, 5)}
+
+    def publish(item):
+        return shelf.publish({"t": item[1], item[0]: item[1]}, "p", item[0]).collect()
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(publish, names.items()))
+    rows = sorted((r for d in done for r in d if r["gold_table"] == "t"), key=lambda r: r["publish_ts"])
+    assert [r["snapshot_table"] for r in rows] == [first, *[r["staging_table"] for r in rows[:-1]]]
+    assert shelf.current("t") == rows[-1]["staging_table"] and shelf.commits.last() == 5
+    assert {shelf.current(k) for k in names} == set(names.values())
+    assert shelf.audit().where("gold_table = 't'").count() == 5
+
+
+def test_a_taken_number_is_not_written_again(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "commits"))
+    assert log.head() == {} and log.try_add(1, {"a": 1}) and not log.try_add(1, {"a": 2})
+    calls = []
+
+    def make(head):
+        calls.append(head)
+        if len(calls) == 1:
+            log.try_add(2, {"a": 5})  # somebody else
+        return {"a": head["a"] + 1}
+
+    assert log.add(make) == {"a": 6} == log.head() and calls == [{"a": 1}, {"a": 5}]
+    assert sorted(n for n in os.listdir(tmp_path / "commits") if not n.startswith(".")) == ["000000000001.json", "000000000002.json", "000000000003.json"]
