@@ -11,6 +11,7 @@ from lakesift.probes.views import LABELLED_SQL, labelled
 from lakesift.session import scratch
 from lakesift.sources import catalog as C
 from lakesift.sources import landing as L
+from lakesift.sources.ledger import ingest_new, latest_entries, read_ledger
 
 LONG, INT, DBL, STR = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
@@ -193,6 +194,39 @@ def a16(t):
     )
 
 
+@probe(
+    "a16_second_run",
+    """
+    WITH p AS (SELECT * FROM (VALUES ('nation', 'known', 'skipped'), ('orders', 'changed', 'processed'), ('supplier', 'new', 'processed'),
+                                     ('region', 'changed', 'processed'), ('customer', 'known', 'skipped')) AS v(name, state, decision))
+    SELECT name || '.csv' AS file, state, decision,
+           CASE name WHEN 'orders' THEN (SELECT count(*) FROM orders) WHEN 'supplier' THEN (SELECT count(*) FROM supplier)
+                     WHEN 'region' THEN (SELECT count(*) FROM region) END AS rows_loaded,
+           CASE name WHEN 'orders' THEN false WHEN 'region' THEN true END AS same_content
+    FROM p
+    """,
+)
+def a16_second_run(t):
+    """After a first ingest one file is rewritten with other rows, one with the same rows, and one is added."""
+    folder, ledger = scratch(t.spark, "landing"), scratch(t.spark, "ledger")
+    registry = {n: _declared(getattr(t, n)) for n in ("orders", "nation", "supplier", "region", "customer")}
+    for n in ("nation", "region"):
+        land(getattr(t, n).coalesce(1), f"{folder}/{n}.csv")
+    land(t.orders.where("o_orderstatus = 'F'"), f"{folder}/orders.csv")
+    land(t.customer.select(*reversed(t.customer.columns)), f"{folder}/customer.csv")
+    space = "ledger_" + scratch(t.spark, "ns")[-8:]
+    C.create_namespace(t.spark, space, scratch(t.spark, "namespace"))
+    ingest_new(t.spark, folder, registry, space, ledger)
+    before = latest_entries(read_ledger(t.spark, ledger)).select("file", F.col("digest").alias("was")).collect()
+    t.orders.write.option("header", True).mode("overwrite").csv(f"{folder}/orders.csv")
+    t.region.coalesce(1).write.option("header", True).mode("overwrite").csv(f"{folder}/region.csv")
+    land(t.supplier, f"{folder}/supplier.csv")
+    second = ingest_new(t.spark, folder, registry, space, ledger)
+    old = t.spark.createDataFrame([tuple(r) for r in before], "file string, was string")
+    changed = F.when(F.col("state") == "changed", F.col("digest") == F.col("was"))
+    return second.join(old, "file", "left").select("file", "state", "decision", "rows_loaded", changed.alias("same_content"))
+
+
 @probe("a16_staged_documents", "SELECT * FROM documents")
 def a16_documents(t):
     """Free text with line breaks and quotes comes through a whole ingest as it was."""

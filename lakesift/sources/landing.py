@@ -10,7 +10,7 @@ from dataclasses import astuple, dataclass, fields
 from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,20 +38,24 @@ def schema_for(registry: Registry, table: str) -> T.StructType:
 # -- listing and admission ---------------------------------------------------
 
 
+def landing_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, length and time of every part file; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select("path", "length", "modificationTime")
+
+
+def file_of(folder: str) -> Column:
+    """The landing file that a part's path belongs to: the first name below the folder."""
+    base = re.escape(re.sub(r"^\w+:/*", "/", folder).rstrip("/"))
+    return F.regexp_extract("path", base + r"/([^/]+)", 1)
+
+
 def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per file (or per folder of part files): name, bytes, parts.
 
     Only paths and lengths are read, no content.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select("path", "length")
-    )
-    base = re.escape(re.sub(r"^\w+:/*", "/", folder).rstrip("/"))
-    name = F.regexp_extract("path", base + r"/([^/]+)", 1)
-    return files.groupBy(name.alias("file")).agg(
+    return landing_parts(spark, folder).groupBy(file_of(folder).alias("file")).agg(
         F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("parts")
     )
 
@@ -164,6 +168,7 @@ class FileStatus:
     malformed_rows: int | None = None
     rows_loaded: int | None = None
     error: str | None = None
+    digest: str | None = None
 
 
 STEPS = ["schema_known", "header_ok", "not_empty", "parsed", "types_ok", "loaded"]
@@ -172,7 +177,7 @@ STATUS_SCHEMA = T.StructType(
     [T.StructField("file", T.StringType()), T.StructField("table", T.StringType())]
     + [T.StructField(s, T.BooleanType()) for s in STEPS]
     + [T.StructField(c, T.LongType()) for c in ("rows_read", "malformed_rows", "rows_loaded")]
-    + [T.StructField("error", T.StringType())]
+    + [T.StructField("error", T.StringType()), T.StructField("digest", T.StringType())]
 )
 
 
@@ -209,14 +214,17 @@ def ingest_file(
         if not status.not_empty:
             return status
         seen, kept = Observation(f"ingest {table}"), Observation(f"load {table}")
+        # A sum of row hashes: the same for the same rows in any order.
+        digest = F.sum(F.xxhash64(*schema.names).cast("decimal(38,0)"))
         rows = raw.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("malformed")
+            seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT).alias("malformed"), digest.cast("string").alias("digest")
         )
         distinct = rows.drop(CORRUPT).dropDuplicates().observe(kept, F.count(F.lit(1)).alias("rows"))
         written = True
         write_table(with_row_id(distinct, stable=schema.names), target)
         status.rows_read = seen.get["rows"]
         status.malformed_rows = seen.get["malformed"]
+        status.digest = seen.get["digest"]
         status.parsed = status.malformed_rows == 0
         status.types_ok = check_types(spark.table(target).drop("index"), schema)
         if status.parsed and status.types_ok:
