@@ -7,6 +7,7 @@ none collects values into arrays or onto the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,12 +89,19 @@ def column_profile(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, approximate: bool = False, rsd: float = 0.02) -> DataFrame:
     """One row: distinct non-null values per column.
 
-    The exact form shuffles the distinct values of every column, pre-aggregated
-    per map task; the approximate form shuffles sketches of fixed size only.
+    The exact form reads every column by itself, so no row is multiplied by the
+    number of columns, and shuffles its distinct values, pre-aggregated per map
+    task. Store a frame first that is costly to compute. The approximate form
+    shuffles sketches of fixed size only.
     """
     if approximate:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns])
-    return df.agg(*[F.count_distinct(F.col(c)).alias(c) for c in df.columns])
+    counts = [
+        df.select(F.col(c).alias("value")).where("value IS NOT NULL").distinct().agg(F.lit(i).alias("at"), F.count(F.lit(1)).alias("n"))
+        for i, c in enumerate(df.columns)
+    ]
+    every = reduce(DataFrame.unionAll, counts)
+    return every.agg(*[F.max(F.when(F.col("at") == i, F.col("n"))).alias(c) for i, c in enumerate(df.columns)])
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

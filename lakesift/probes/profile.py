@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakesift.operators import profile as P
+from lakesift.operators import sketches as S
 from lakesift.operators.ordering import first_rows, has_rows, top_k
 from lakesift.probes.registry import NAMES, probe, sql_round
 from lakesift.probes.views import LABELLED_SQL, labelled
@@ -308,3 +309,44 @@ def i13(t):
 )
 def i14(t):
     return P.null_period(_orders_with_lines(t), "o_orderdate", "l_orderkey")
+
+
+_LINE_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+_LINE_NUMBERS = _LINE_COLUMNS[:8]
+
+
+@probe(
+    "d10_line_distinct_counts",
+    "SELECT " + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in _LINE_COLUMNS) + " FROM lineitem",
+)
+def d10_lines(t):
+    return P.distinct_counts(t.lineitem.select(*_LINE_COLUMNS))
+
+
+@probe(
+    "d17_merged_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS non_null, {f'min({c})::double' if c in _LINE_NUMBERS else 'NULL::double'} AS least,
+                   {f'max({c})::double' if c in _LINE_NUMBERS else 'NULL::double'} AS most, count(DISTINCT {c}) AS exact_distinct, true AS distinct_within, true AS as_of_one_load,
+                   {'true' if c in _LINE_NUMBERS else 'NULL::boolean'} AS median_within FROM lineitem"""
+        for c in _LINE_COLUMNS
+    ),
+)
+def d17_merged(t):
+    """Profiles of three loads of the lines merged, held against one profile of all lines and exact values."""
+    lines = t.lineitem.select(*_LINE_COLUMNS)
+    loads = [S.sketch(lines.where(F.col("l_suppkey") % 3 == k)) for k in range(3)]
+    merged = S.profile(S.merge(loads[0].unionByName(loads[1]).unionByName(loads[2])), [0.5])
+    whole = S.profile(S.merge(S.sketch(lines)), [0.5]).select("column", F.col("n_distinct").alias("whole_distinct"))
+    exact = P.distinct_counts(lines).unpivot([], _LINE_COLUMNS, "column", "exact_distinct")
+    # The share of values below and up to the estimated median, which must enclose one half but for the error.
+    medians = {r["column"]: r["median"] for r in merged.where("quantiles IS NOT NULL").select("column", F.col("quantiles")[0].alias("median")).collect()}
+    n, error = F.count(F.lit(1)), S.rank_error()
+    inside = [((F.count_if(F.col(c) < m) / n <= 0.5 + error) & (F.count_if(F.col(c) <= m) / n >= 0.5 - error)).alias(c) for c, m in medians.items()]
+    ranks = lines.agg(*inside).unpivot([], _LINE_NUMBERS, "column", "median_within")
+    out = merged.join(whole, "column").join(exact, "column").join(ranks, "column", "left")
+    near = F.abs(F.col("n_distinct") - F.col("exact_distinct")) <= F.greatest(F.lit(1.0), S.distinct_error() * F.col("exact_distinct"))
+    return out.select(
+        "column", "n_rows", "non_null", "least", "most", "exact_distinct", near.alias("distinct_within"),
+        (F.abs(F.col("n_distinct") - F.col("whole_distinct")) <= 0.01 * F.col("whole_distinct")).alias("as_of_one_load"), "median_within",
+    )

@@ -4,10 +4,11 @@ import random
 import statistics
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from lakesift.operators import profile as P
+from lakesift.operators import sketches as S
 
 DATA = [(1, "a", None), (2, "a", 1.0), (3, None, None), (3, None, None)]
 SCHEMA = "k int, c string, v double"
@@ -106,3 +107,25 @@ def test_null_period(frame):
     both = frame([(1, None), (3, None), (2, 5)], "t int, v int")
     assert P.null_period(both, "t", "v").first()["overlap"]
     assert not P.null_period(df.where("t > 2"), "t", "v").first()["overlap"]
+
+
+def test_distinct_counts_multiply_no_rows(frame):
+    df = frame([(i % 7, str(i % 11), None if i % 2 else float(i)) for i in range(200)] + [(None, None, float("nan"))] * 2, "k int, c string, v double")
+    assert rows(P.distinct_counts(df)) == [(7, 11, 101)]
+    assert "Expand" not in plan(P.distinct_counts(df))
+    assert rows(P.distinct_counts(df.where("k > 9"))) == [(0, 0, 0)]
+
+
+def test_sketches_of_loads_merge_to_that_of_the_whole(frame):
+    data = [(i, f"t{i % 500}", None if i % 3 == 0 else i / 2, i % 2 == 0) for i in range(6000)]
+    schema = "k int, c string, v double, b boolean"
+    parts = [S.sketch(frame(data[i::3], schema)) for i in range(3)]
+    merged = {r["column"]: r for r in S.profile(S.merge(parts[0].unionByName(parts[1]).unionByName(parts[2])), [0.0, 0.5, 1.0]).collect()}
+    for c, exact in (("k", 6000), ("c", 500), ("v", 4000), ("b", 2)):
+        assert abs(merged[c]["n_distinct"] - exact) <= max(1, S.distinct_error() * exact)
+    assert (merged["v"]["n_rows"], merged["v"]["non_null"], merged["v"]["least"], merged["v"]["most"]) == (6000, 4000, 0.5, 2999.5)
+    assert merged["c"]["quantiles"] is None and merged["c"]["least"] is None
+    low, middle, high = merged["k"]["quantiles"]
+    assert low == 0 and high == 5999 and abs(middle / 6000 - 0.5) <= S.rank_error()
+    nothing = {r["column"]: r for r in S.profile(S.merge(S.sketch(frame([], schema)))).collect()}
+    assert nothing["k"]["n_rows"] == 0 and nothing["k"]["quantiles"] is None and nothing["c"]["n_distinct"] == 0

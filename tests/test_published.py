@@ -7,10 +7,11 @@ from datetime import datetime, timezone
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesift.sources.commits import CommitLog
 from lakesift.sources.published import PublishError, Shelf, check_complete, upsert, verify_loaded
-from lakesift.sources.rejects import append_rejects, read_reasons, read_rejects
+from lakesift.sources.rejects import append_rejects, common_type, read_reasons, read_rejects
 from lakesift.sources.runlog import RunLog, entries, latest, read_log, step_report
 
 DAYS = [datetime(2024, 1, d, 12, tzinfo=timezone.utc) for d in range(1, 6)]
@@ -197,3 +198,28 @@ def test_a_taken_number_is_not_written_again(spark, tmp_path):
 
     assert log.add(make) == {"a": 6} == log.head() and calls == [{"a": 1}, {"a": 5}]
     assert sorted(n for n in os.listdir(tmp_path / "commits") if not n.startswith(".")) == ["000000000001.json", "000000000002.json", "000000000003.json"]
+
+
+def test_rejects_whose_columns_change_type(spark, tmp_path, frame):
+    root = str(tmp_path / "rejects")
+    loads = [("k int, v int, w float", (1, 2, 0.5)), ("k bigint, v string, w double", (2**40, "x", 0.25)), ("k int, u date", (3, None)), ("k int, v int, w float", (4, 5, 1.0))]
+    for i, (schema, row) in enumerate(loads):
+        append_rejects(frame([(*row, "bad")], f"{schema}, issue_type string"), root, "t", "p", f"r{i}")
+    got = read_rejects(spark, root, "t")
+    types = dict(got.dtypes)
+    assert (types["k"], types["v"], types["w"], types["u"]) == ("bigint", "string", "double", "date")
+    assert rows(got, "k", "v", "w") == [(1, "2", 0.5), (3, None, None), (4, "5", 1.0), (2**40, "x", 0.25)]
+    assert read_reasons(spark, root).count() == 4 and "shape" not in read_reasons(spark, root).columns
+    with pytest.raises(LookupError):
+        read_rejects(spark, root, "nothing")
+
+
+@pytest.mark.parametrize(
+    "types, common",
+    [
+        ([T.ShortType(), T.LongType()], T.LongType()), ([T.LongType(), T.DoubleType()], T.StringType()), ([T.IntegerType(), T.FloatType()], T.DoubleType()),
+        ([T.DateType(), T.TimestampType()], T.TimestampType()), ([T.DateType(), T.IntegerType()], T.StringType()), ([T.NullType()], T.StringType()), ([T.BooleanType()] * 2, T.BooleanType()),
+    ],
+)
+def test_common_types_lose_nothing(types, common):
+    assert common_type(types) == common
