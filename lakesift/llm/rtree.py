@@ -7,7 +7,8 @@ value of every coordinate, which bounds its inner products with a vector from be
 
 Anchors meet every group of trees once, in tiles. An anchor's queue holds nodes by their upper bound, best first. Nodes
 are dropped whose bounds lie outside all score windows, whose upper bound is strictly below the k-th score found, or
-whose labels do not fit. What the trees return for an anchor is merged.
+whose labels do not fit. Trees of a group are searched best first as well, each with what those before it found; what
+the groups return for an anchor is merged.
 
 Positives are searched first (same label, any score), then negatives within the window that each positive's score sets.
 """
@@ -38,6 +39,7 @@ BATCH = 8
 _TREE = "tree long, dim int, ids binary, labels binary, vecs binary, leaves binary"
 _HIT = "anchor long, window int, id long, score long"
 _LARGE = 2**62
+NOTHING = (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def _pack_order(vecs: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, list[int]]:
@@ -122,10 +124,10 @@ class Tree:
         slack = np.where(slack < 2**53, 0, slack * 1e-9)
         return low - slack, high + slack
 
-    def search(self, q: np.ndarray, label: int, own: int, low: np.ndarray, high: np.ndarray, windows: list[tuple[int, int]], k: int, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    def search(self, q: np.ndarray, label: int, own: int, low: np.ndarray, high: np.ndarray, windows: list[tuple[int, int]], k: int, same: bool, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """Per window ``(ids, scores)`` of the k best rows in it: higher scores first, ties by the smaller id.
 
-        ``low`` and ``high`` are the nodes' bounds for ``q``. Rows of the id ``own`` are left out, and rows of other
+        ``found`` has what other trees gave, and gets what this one adds. ``low`` and ``high`` are the nodes' bounds for ``q``. Rows of the id ``own`` are left out, and rows of other
         labels than ``label``, or of that label if ``same`` is false.
         """
         if same:
@@ -133,14 +135,13 @@ class Tree:
         else:
             fits = (self.label_least != label) | (self.label_most != label)
         lo, hi = np.array([w[0] for w in windows], float), np.array([w[1] for w in windows], float)
-        kth = np.full(len(windows), -np.inf)
-        found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(windows)
+        kth = np.array([float(scores[-1]) if len(scores) == k else -np.inf for _, scores in found])
         queue = np.array([self.root])
         while True:
             need = (high[queue, None] >= np.maximum(lo, kth)) & (low[queue, None] <= hi)
             queue = queue[fits[queue] & need.any(axis=1)]
             if not len(queue):
-                return found
+                return
             order = np.argsort(-high[queue], kind="stable")
             best, queue = queue[order[:BATCH]], queue[order[BATCH:]]
             leaves, inner = best[best < self.n_leaves], best[best >= self.n_leaves]
@@ -171,15 +172,19 @@ def _cell(k: int, same: bool):
             number, own, label, windows = (anchors.column(c).to_pylist() for c in ("anchor", "id", "label", "windows"))
             q = anchors.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(number), -1)
             windows = [[(w["lo"], w["hi"]) for w in ws] for ws in windows]
-            for parts in zip(*(trees.column(c).to_pylist() for c in ("dim", "ids", "labels", "vecs", "leaves"))):
-                tree = Tree(*parts)
-                low, high = tree.bounds(q)
-                for i, n in enumerate(number):
-                    for w, (ids, scores) in enumerate(tree.search(q[i], label[i], own[i], low[i], high[i], windows[i], k, same)):
-                        out[0].extend([n] * len(ids))
-                        out[1].extend([w] * len(ids))
-                        out[2].extend(ids.tolist())
-                        out[3].extend(scores.tolist())
+            forest = [Tree(*parts) for parts in zip(*(trees.column(c).to_pylist() for c in ("dim", "ids", "labels", "vecs", "leaves")))]
+            bounds = [tree.bounds(q) for tree in forest]
+            tops = np.array([high[:, tree.root] for tree, (_, high) in zip(forest, bounds)])
+            for i, n in enumerate(number):
+                found = [NOTHING] * len(windows[i])
+                for t in np.argsort(-tops[:, i], kind="stable").tolist():
+                    low, high = bounds[t]
+                    forest[t].search(q[i], label[i], own[i], low[i], high[i], windows[i], k, same, found)
+                for w, (ids, scores) in enumerate(found):
+                    out[0].extend([n] * len(ids))
+                    out[1].extend([w] * len(ids))
+                    out[2].extend(ids.tolist())
+                    out[3].extend(scores.tolist())
         return pa.table({"anchor": pa.array(out[0], pa.int64()), "window": pa.array(out[1], pa.int32()), "id": pa.array(out[2], pa.int64()), "score": pa.array(out[3], pa.int64())})
 
     return run

@@ -85,7 +85,8 @@ def test_tree_prunes_and_finds_the_same(monkeypatch):
             assert low[0][tree.root] <= scores.min() and high[0][tree.root] >= scores.max()
             for same in (True, False):
                 windows = [(-(2**60), 2**60), (0, 500), (100, 100)]
-                got = tree.search(q[0], 1, 3, low[0], high[0], windows, 4, same)
+                got = [rtree.NOTHING] * 3
+                tree.search(q[0], 1, 3, low[0], high[0], windows, 4, same, got)
                 for (a, b), (found, at) in zip(windows, got):
                     want = sorted((-s, i) for s, i, m in zip(scores.tolist(), ids.tolist(), labels.tolist()) if a <= s <= b and (m == 1) == same and i != 3)[:4]
                     assert [(-s, i) for i, s in zip(found.tolist(), at.tolist())] == want
