@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakesift.operators import measures as M
 from lakesift.probes.registry import probe, sql_money
 from lakesift.session import scratch
+from lakesift.sources.aggregates import StoredSums
 from lakesift.sources.published import Shelf
 from lakesift.probes.views import (
     LINE_FACT_SQL,
@@ -153,14 +154,14 @@ def d24(t):
     return M.next_season(order_seasons(t), ["o_custkey"], "season")
 
 
-@probe(
-    "d25_dashboard_slice",
-    f"""
+_SLICE_SQL = f"""
     SELECT l_suppkey, {_RATES} FROM ({LINE_FACT_SQL})
     WHERE season = 1996 AND venue = 'Home' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
     GROUP BY l_suppkey
-    """,
-)
+    """
+
+
+@probe("d25_dashboard_slice", _SLICE_SQL)
 def d25(t):
     """What is selected by the orders' own columns is selected before the lines are grouped."""
     orders = t.orders.withColumn("season", F.year("o_orderdate"))
@@ -169,6 +170,38 @@ def d25(t):
     return M.measure_rate(picked, ["l_suppkey"], _RATE_COLS, "total_minutes")
 
 
+def _stored_sums(t) -> StoredSums:
+    """The line fact's sums at three grains; its last season is added after the others."""
+    sums, fact = StoredSums(t.spark, scratch(t.spark, "sums")), _fact(line_fact(t))
+    grains = [["l_suppkey", "season", "venue", "o_orderpriority"], ["season", "o_orderpriority"], ["l_suppkey"]]
+    sums.store(fact.where("season < 1998"), ["total_l_extendedprice", "total_l_linenumber", "total_minutes"], grains)
+    sums.add(fact.where("season >= 1998"))
+    return sums
+
+
+@probe("d25_slice_of_stored_sums", _SLICE_SQL)
+def d25_stored(t):
+    filters = {"season": 1996, "venue": "Home", "o_orderpriority": ["1-URGENT", "2-HIGH"]}
+    return _stored_sums(t).rates(["l_suppkey"], _RATE_COLS, "total_minutes", filters=filters)
+
+
+@probe(
+    "d19_rates_of_stored_sums",
+    f"SELECT season, o_orderpriority, {_RATES} FROM ({LINE_FACT_SQL}) GROUP BY season, o_orderpriority",
+)
+def d19_stored(t):
+    return _stored_sums(t).rates(["season", "o_orderpriority"], _RATE_COLS, "total_minutes")
+
+
+@probe(
+    "d20_ratio_of_stored_sums",
+    f"""SELECT l_suppkey, cast({_money_sum("total_l_extendedprice")} as double) / nullif(cast({_money_sum("total_minutes")} as double), 0) AS ratio
+        FROM ({LINE_FACT_SQL}) GROUP BY l_suppkey""",
+)
+def d20_stored(t):
+    return _stored_sums(t).ratio(["l_suppkey"], "total_l_extendedprice", "total_minutes")
+
+
 @probe(
     "f4_most_improved",
     f"""
