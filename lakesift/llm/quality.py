@@ -2,8 +2,11 @@
 
 A linear model is fitted on trusted positives and unlabelled texts by minimising the non-negative unbiased risk:
 with class prior p, the risk of negatives is that of the unlabelled texts minus p times that of the positives taken
-as negatives; where a step would push it below zero, the step goes the other way. The prior is estimated as the
-share of positives among the labelled texts of the training folds.
+as negatives; where a step would push it below zero, the step goes the other way. Labels of negatives are not used.
+
+The prior is estimated from positives and unlabelled texts alone: a model that tells the two apart is fitted on one half
+of each; above any threshold, the share of the other half's unlabelled texts over that of its positives bounds the
+prior from above. The threshold with the least bound, allowing for chance, is taken.
 
 Features describe a text as a whole and its worst stretches: shares of capitals, marks, symbols, digits, repeated and
 short words. They are computed on whole texts. The fit is on the driver, on bounded samples (``POSITIVES``,
@@ -131,6 +134,31 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, penalty
     return Model(tuple(mean), tuple(scale), tuple(descend(gradient, start, steps, rate)), prior)
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.1, penalty: float = 1e-3, steps: int = 400, rate: float = 0.05) -> float:
+    """Share of positives among the unlabelled; one half where there are too few rows to halve.
+
+    Thresholds keep at least the share ``least`` of positives.
+    """
+    if len(positive) < 4 or len(unlabelled) < 4:
+        return 0.5
+    both = np.concatenate([positive, unlabelled])
+    mean, scale = both.mean(0), both.std(0) + 1e-6
+    half = lambda x, k: expanded((x[k::2] - mean) / scale)
+    xp, xu = half(positive, 0), half(unlabelled, 0)
+    shrink = np.r_[np.full(2 * N_FEATURES, penalty), 0.0]
+
+    def gradient(w: np.ndarray) -> np.ndarray:
+        return (xp.T @ _loss_slope(xp @ w, 1) / len(xp) + xu.T @ _loss_slope(xu @ w, -1) / len(xu)) / 2 + shrink * w
+
+    w = descend(gradient, np.zeros(2 * N_FEATURES + 1), steps, rate)
+    zp, zu = np.sort(half(positive, 1) @ w), np.sort(half(unlabelled, 1) @ w)
+    chance = np.sqrt(np.log(40) / 2 / len(zu)) + np.sqrt(np.log(40) / 2 / len(zp))
+    at = zp[np.unique(np.linspace(0, (1 - least) * (len(zp) - 1), 46).astype(int))]
+    above = lambda z: 1 - np.searchsorted(z, at) / len(z)
+    ratio = above(zu) / above(zp)
+    return float(np.clip(ratio[np.argmin(ratio + chance / above(zp))], 0.01, 0.99))
+
+
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         x = [features(t or "").tolist() for t in batch.column("text").to_pylist()]
@@ -143,16 +171,18 @@ def _collected(rows: DataFrame, id_col: str) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on the labels of the folds that are not held out: positives and the prior come from them, unlabelled texts
-    from all documents of those folds. Null ids and labels are not used; of a repeated id one label is.
+    """Fit on the folds that are not held out: on texts labelled positive, and on unlabelled texts from all documents.
+
+    Null ids and labels are not used; of a repeated id the largest label is, and every row with that id is a positive. Without
+    labels or documents every score is one half.
     """
-    usable = labels.select(F.col(id_col).cast("long").alias(id_col), F.col(label_col).cast("int").alias("label")).dropna().dropDuplicates([id_col])
+    usable = labels.select(F.col(id_col).cast("long").alias(id_col), F.col(label_col).cast("int").alias("label")).dropna().groupBy(id_col).agg(F.max("label").alias("label"))
     usable = usable.filter(fold(id_col, FOLDS) != 0)
-    prior = usable.agg(F.avg(F.col("label").cast("double"))).first()[0]
     positives = with_text(docs, sampled(usable.filter("label = 1").select(id_col), id_col, POSITIVES), id_col, text_col)
     ids = docs.select(F.col(id_col).cast("long").alias(id_col)).dropna().filter(fold(id_col, FOLDS) != 0)
     unlabelled = with_text(docs, sampled(ids, id_col, UNLABELLED), id_col, text_col)
-    return fit_nnpu(_collected(positives, id_col), _collected(unlabelled, id_col), 0.5 if prior is None else prior)
+    x, u = _collected(positives, id_col), _collected(unlabelled, id_col)
+    return fit_nnpu(x, u, estimated_prior(x, u))
 
 
 def _scores(model: Model, threshold: float):
@@ -169,8 +199,8 @@ def _scores(model: Model, threshold: float):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(id_col, held_out, score, predicted)`` of every row.
 
-    The score depends on the text alone. Null and empty texts have the score of a text without words. Null ids are not
-    held out.
+    The score depends on the text alone, so repeated rows have one score. Null and empty texts have the score of a text
+    without words. Null ids are not held out. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(fold(id_col, FOLDS) == 0, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_scores(model, threshold), "id long, held_out boolean, score double, predicted int").withColumnRenamed("id", id_col)

@@ -297,6 +297,39 @@ def test_quality_of_the_held_out_fold(spark):
     assert quality.score(odd, quality.train(odd, labels.limit(0))).select("score").distinct().count() == 1
 
 
+def test_prior_from_positives_and_unlabelled_texts():
+    """Near the share of good labels, which it does not see; and that of a mixture of known parts."""
+    rng = np.random.default_rng(2)
+    for share in (0.2, 0.5, 0.8):
+        good = rng.normal(1, 1, (1500, quality.N_FEATURES))
+        n = int(3000 * share)
+        mixed = np.concatenate([rng.normal(1, 1, (n, quality.N_FEATURES)), rng.normal(-1, 1, (3000 - n, quality.N_FEATURES))])
+        assert abs(quality.estimated_prior(good, rng.permutation(mixed)) - share) < 0.06
+    assert quality.estimated_prior(good[:3], mixed) == quality.estimated_prior(good, mixed[:0]) == 0.5
+
+
+def test_prior_is_near_the_share_of_good_labels(spark):
+    prepare(spark)
+    docs, labels = tables(spark)
+    share = labels.selectExpr("avg(quality)").first()[0]
+    assert abs(quality.train(docs, labels).prior - share) < 0.06
+    only_good = labels.filter("quality = 1")
+    assert quality.train(docs, only_good).prior == quality.train(docs, labels).prior
+
+
+def test_empty_tables_give_no_rows(spark):
+    prepare(spark)
+    docs, labels = tables(spark)
+    none = docs.limit(0)
+    assert quality.score(none, quality.train(none, labels)).collect() == []
+    chain = toxicity.train(none, toxicity.table_labels(labels), toxicity.CATEGORIES)
+    assert toxicity.score(none, chain, keep=["doc_id"]).collect() == []
+    assert pagetext.page_texts(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+    twice = docs.limit(5).unionByName(docs.limit(5))
+    scores = quality.score(twice, quality.train(docs, labels)).collect()
+    assert len(scores) == 10 and len({(r.doc_id, r.score) for r in scores}) == 5
+
+
 def test_risk_does_not_fall_below_zero():
     rng = np.random.default_rng(0)
     good, bad = rng.normal(1, 1, (400, quality.N_FEATURES)), rng.normal(-1, 1, (200, quality.N_FEATURES))
