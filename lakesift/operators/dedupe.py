@@ -14,6 +14,8 @@ from lakesift.session import materialize
 
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 1_000_000
+# Rows of one key that a single task numbers in any case.
+ROWS_PER_KEY = 1_000
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n_rows") -> DataFrame:
@@ -83,15 +85,34 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence[Col
     return keep_best(df, keys, order) if keys else df.dropDuplicates()
 
 
+def _number_repeated(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], dups: DataFrame, spread: bool
+) -> DataFrame:
+    """The rows of repeated keys with their number ``_rn``.
+
+    Keys with more rows than a shuffle partition gets on average, as the stored
+    counts have them, are spread over range partitions; all others take a plain
+    window. Rows and types are the same.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = dups.agg(F.sum("n_rows").alias("rows"), F.max("n_rows").alias("most")).first()
+    share = max(ROWS_PER_KEY, (sums["rows"] or 0) // parts)
+    if not spread or (sums["most"] or 0) <= share:
+        return number_rows(duplicate_rows(df, keys, dups), keys, order, "_rn", False)
+    hot, rest = dups.where(F.col("n_rows") > share), dups.where(F.col("n_rows") <= share)
+    few = number_rows(duplicate_rows(df, keys, rest), keys, order, "_rn", False)
+    return few.unionByName(number_rows(duplicate_rows(df, keys, hot), keys, order, "_rn", True))
+
+
 def surplus_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: bool = True
 ) -> DataFrame:
     """The rows that :func:`keep_best` would drop: all but the first of each key.
 
-    Only rows of repeated keys are numbered; ``spread`` as in
-    :func:`lakesift.operators.ordering.number_rows`.
+    Only rows of repeated keys are numbered. With ``spread`` very frequent keys
+    are spread over many tasks, see :func:`lakesift.operators.ordering.number_rows`.
     """
-    numbered = number_rows(duplicate_rows(df, keys), keys, order, "_rn", spread)
+    numbered = _number_repeated(df, keys, order, repeated_keys(df, keys), spread)
     return numbered.where(F.col("_rn") > 1).drop("_rn")
 
 
@@ -132,11 +153,11 @@ def disambiguate(
     """Make a repeated composite key unique by adding a running number to it.
 
     Only rows of repeated keys are numbered, all others are number 1; ``spread``
-    as in :func:`lakesift.operators.ordering.number_rows`.
+    as in :func:`surplus_rows`.
     """
     dups = repeated_keys(df, keys)
     rest = unique_rows(df, keys, dups).withColumn("_rn", F.lit(1).cast("bigint"))
-    repeated = number_rows(duplicate_rows(df, keys, dups), keys, order, "_rn", spread)
+    repeated = _number_repeated(df, keys, order, dups, spread)
     numbered = rest.unionByName(repeated)
     key = F.concat_ws("_", composite_key(keys), F.col("_rn").cast("string"))
     return numbered.withColumn(out, key).drop("_rn")
