@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from lakesift.functions.columns import cast_columns
@@ -16,6 +18,8 @@ from lakesift.probes.views import (
     line_fact,
     line_rates,
 )
+from lakesift.session import scratch
+from lakesift.sources import catalog as C
 
 
 def _totals(t):
@@ -78,6 +82,17 @@ def c2(t):
     return line_fact(t)
 
 
+@probe("c2_bucketed_star", LINE_FACT_SQL)
+def c2_bucketed(t):
+    """The same star over lines and orders that are stored in equal buckets of the order key."""
+    space = "buckets_" + scratch(t.spark, "ns")[-8:]
+    C.create_namespace(t.spark, space, scratch(t.spark, "namespace"))
+    C.write_buckets(t.lineitem, f"{space}.lineitem", ["l_orderkey"], 16)
+    C.write_buckets(t.orders, f"{space}.orders", ["o_orderkey"], 16)
+    stored = C.load_namespace(t.spark, space)
+    return line_fact(SimpleNamespace(**stored, supplier=t.supplier, customer=t.customer, nation=t.nation))
+
+
 @probe(
     "b7_cast_by_map",
     """

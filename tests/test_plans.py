@@ -67,3 +67,11 @@ def test_season_change_needs_no_self_join(spark):
 
 def test_null_profile_is_one_aggregate(spark):
     assert _plan(spark, "d17_column_profile").count("Exchange SinglePartition") == 1
+
+
+def test_bucketed_lines_are_grouped_and_joined_without_a_shuffle(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = _plan(spark, "c2_bucketed_star")
+    scan = text.index("Bucketed: true")
+    path = text[text.rindex("SortMergeJoin [l_orderkey", 0, scan) : scan]
+    assert path.count("HashAggregate") == 2 and "Exchange" not in path and "lineitem" in text[scan - 400 : scan + 400]
