@@ -6,6 +6,7 @@ its own keys there. Clean rows, rejects and counts after any number of loads are
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,9 +17,11 @@ from lakesift.functions.columns import label
 from lakesift.operators.checks import PKEY_DUPE, Reference
 from lakesift.operators.keys import prefixed, same_keys_condition
 from lakesift.session import materialize
+from lakesift.sources.commits import CommitLog
 from lakesift.sources.ranged import RangedTable
 
-_COUNTS = "duplicate_keys long, rejected_rows long"
+class LoadConflict(Exception):
+    """Another load ended first; nothing of this one is visible, and it may be tried again."""
 
 
 @dataclass(frozen=True)
@@ -48,18 +51,20 @@ class CheckedTable:
         """Every key and its number of rows."""
         return self._table("keys")
 
-    def load(self, delta: DataFrame) -> None:
-        """Check and merge one load.
+    @property
+    def _commits(self) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root.rstrip('/')}/commits")
 
-        What a load adds is appended last, so one that was broken off can be told by its missing counts.
-        """
+    def load(self, delta: DataFrame) -> None:
+        """Check and merge one load; one without rows changes nothing."""
+        number = self._commits.last()
+        head = self._commits.read(number) if number else {"rows": 0, "index": 0, "rejects": [], "duplicate_keys": 0, "rejected_rows": 0}
         delta = materialize(delta, "load")
         fresh = materialize(delta.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n_new")), "new-keys")
         if fresh.isEmpty():
             return
-        started = self.index.version() > 0
-        if started:
-            known = prefixed(self.index.matching(fresh), self.keys, "_k_")
+        if head["index"]:
+            known = prefixed(self.index.matching(fresh, head["index"]), self.keys, "_k_")
             both = fresh.join(known, same_keys_condition(self.keys, "_k_"), "left")
             both = both.select(*self.keys, "n_new", F.coalesce("n_rows", F.lit(0)).alias("n_before"))
         else:
@@ -67,26 +72,39 @@ class CheckedTable:
         both = materialize(both.withColumn("n_rows", F.col("n_new") + F.col("n_before")), "key-counts")
         repeated = prefixed(both.where("n_rows > 1").select(*self.keys), self.keys, "_r_")
         rejects = delta.join(repeated, same_keys_condition(self.keys, "_r_"), "left_semi")
-        if started:
+        if head["rows"]:
             # A row that was the only one of its key until now is a reject from now on.
-            rejects = rejects.unionByName(self.rows.matching(both.where("n_before = 1")))
-        label(rejects, issue_type=PKEY_DUPE).write.mode("append").parquet(f"{self.root.rstrip('/')}/rejects")
-        self.rows.load(delta, self.order, self.ignore)
-        self.index.load(both.select(*self.keys, "n_rows"), [F.col("n_rows").desc()])
+            rejects = rejects.unionByName(self.rows.matching(both.where("n_before = 1"), head["rows"]))
+        folder = f"{self.root.rstrip('/')}/rejects/{uuid.uuid4().hex}"
+        label(rejects, issue_type=PKEY_DUPE).write.parquet(folder)
         more = F.when(F.col("n_before") > 1, F.col("n_new")).otherwise(F.col("n_rows"))
-        counts = both.where("n_rows > 1").agg(F.count_if(F.col("n_before") <= 1), F.coalesce(F.sum(more), F.lit(0)))
-        counts.toDF("duplicate_keys", "rejected_rows").coalesce(1).write.mode("append").parquet(f"{self.root.rstrip('/')}/counts")
+        counts = both.where("n_rows > 1").agg(F.count_if(F.col("n_before") <= 1), F.coalesce(F.sum(more), F.lit(0))).first()
+        commit = {
+            "rows": self.rows.load(delta, self.order, self.ignore, head["rows"]),
+            "index": self.index.load(both.select(*self.keys, "n_rows"), [F.col("n_rows").desc()], (), head["index"]),
+            "rejects": [*head["rejects"], folder],
+            "duplicate_keys": head["duplicate_keys"] + counts[0],
+            "rejected_rows": head["rejected_rows"] + counts[1],
+        }
+        if not self._commits.try_add(number + 1, commit):
+            raise LoadConflict(self.root)
+
+    def _head(self) -> dict:
+        if not (head := self._commits.head()):
+            raise LookupError(f"nothing was loaded into {self.root}")
+        return head
 
     def clean(self) -> DataFrame:
-        return self.rows.read()
+        return self.rows.read(self._head()["rows"])
 
     def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root.rstrip('/')}/rejects")
+        return self.spark.read.parquet(*self._head()["rejects"])
 
     def metrics(self) -> DataFrame:
-        counts = self.spark.read.schema(_COUNTS).parquet(f"{self.root.rstrip('/')}/counts")
-        return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("duplicate_keys", "rejected_rows")])
+        """One row, like the metrics of a check of the whole table."""
+        head = self._head()
+        return self.spark.createDataFrame([(head["duplicate_keys"], head["rejected_rows"])], "duplicate_keys long, rejected_rows long")
 
     def reference(self, name: str, key: str, own_key: str | None = None) -> Reference:
         """This table as a dimension that a fact's ``key`` must refer to: only the index is read."""
-        return Reference(name, self.index.read().select(*self.keys), key, own_key or self.keys[0])
+        return Reference(name, self.index.read(self._head()["index"]).select(*self.keys), key, own_key or self.keys[0])

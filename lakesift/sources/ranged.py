@@ -98,30 +98,31 @@ class RangedTable:
         inside = (F.col("_own_coarse") == F.col("_coarse")) & (~F.col("_has_lo") | (F.col("_lo") <= self._key())) & (F.col("_hi").isNull() | (self._key() < F.col("_hi")))
         return rows.join(bounds, inside).select(*df.columns, RANGE)
 
-    def touched(self, df: DataFrame) -> list[int]:
+    def touched(self, df: DataFrame, version: int | None = None) -> list[int]:
         """Numbers of the ranges that hold keys of ``df``."""
-        rows = self.placed(df.select(*self.keys), self.ranges()).select(RANGE).distinct().collect()
+        rows = self.placed(df.select(*self.keys), self.ranges(version)).select(RANGE).distinct().collect()
         return sorted(r[0] for r in rows)
 
-    def matching(self, keys: DataFrame) -> DataFrame:
+    def matching(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """The stored rows whose key is in ``keys``; only the ranges that may have them are read."""
-        ranges = self.ranges()
-        numbers = self.touched(keys) if ranges else []
+        ranges = self.ranges(version)
+        numbers = self.touched(keys, version) if ranges else []
         if not numbers:
-            return self.read().limit(0)
+            return self.read(version).limit(0)
         base = self._rows([ranges[i].path for i in numbers])
         wanted = prefixed(keys.select(*self.keys).distinct(), self.keys, "_w_")
         return base.join(wanted, same_keys_condition(self.keys, "_w_"), "left_semi")
 
     # -- loads -----------------------------------------------------------------
 
-    def load(self, delta: DataFrame, order: Sequence[Column] = (), ignore: Sequence[str] = ()) -> int:
+    def load(self, delta: DataFrame, order: Sequence[Column] = (), ignore: Sequence[str] = (), base: int | None = None) -> int:
         """Merge ``delta`` in, one row per key, the first in ``order``; returns the new version.
 
-        A load without rows makes no version. Another load that ends at the same time makes this one fail before
-        it is visible.
+        The last version is merged with, or the version ``base``. A load without rows makes no version. Another load
+        that ends at the same time makes this one fail before it is visible.
         """
-        before, delta = self.version(), materialize(delta, "delta")
+        last, delta = self.version(), materialize(delta, "delta")
+        before = last if base is None else base
         if delta.isEmpty():
             return before
         old = self.ranges(before)
@@ -134,7 +135,7 @@ class RangedTable:
             merged = keep_best(delta, self.keys, order, ignore)
         merged = materialize(merged, "merged")
         parts = -(-merged.count() // self.rows_per_range)
-        folder = f"{self.root.rstrip('/')}/data/{before + 1}-{uuid.uuid4().hex}"
+        folder = f"{self.root.rstrip('/')}/data/{last + 1}-{uuid.uuid4().hex}"
         cut = merged.repartitionByRange(parts, RANGE, *self.keys).withColumn(PART, F.spark_partition_id())
         cut.write.partitionBy(RANGE, PART).parquet(folder)
         stored = self.spark.read.parquet(folder).groupBy(RANGE, PART).agg(F.min(self._key()).alias("lo"), F.count(F.lit(1)).alias("n"))
@@ -149,5 +150,5 @@ class RangedTable:
         fields = ",".join(f"`{k}`:{t}" for k, t in zip(self.keys, types))
         rows = [(i, r.lo, r.path, r.n_rows) for i, r in enumerate(ranges)]
         manifest = self.spark.createDataFrame(rows, f"number int, lo struct<{fields}>, path string, n_rows long")
-        manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self._manifests}/{before + 1}")
-        return before + 1
+        manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self._manifests}/{last + 1}")
+        return last + 1

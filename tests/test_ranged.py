@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from lakesift.operators.checks import check_primary_key, check_references
 from lakesift.operators.dedupe import keep_best
 from lakesift.session import scratch
-from lakesift.sources.increments import CheckedTable
+from lakesift.sources.commits import CommitLog
+from lakesift.sources.increments import CheckedTable, LoadConflict
 from lakesift.sources.ranged import RangedTable
 
 
@@ -103,3 +104,34 @@ def test_references_to_an_index(spark, frame):
     split = check_references(fact, [dim.reference("dim", "k")])
     assert rows(split.clean) == [(1, 1), (2, 2)]
     assert "name" not in dim.reference("dim", "k").dim.columns
+
+
+def test_a_load_that_is_broken_off_leaves_no_trace(spark, frame, monkeypatch):
+    data = [(i % 7, "x", 0, i) for i in range(20)]
+    t = CheckedTable(spark, scratch(spark, "checked"), ["a"], [F.col("v").desc()], rows_per_range=3)
+    with pytest.raises(LookupError):
+        t.clean()
+    t.load(frame(data[:10], SCHEMA))
+    before = [rows(t.clean()), rows(t.rejects()), rows(t.metrics())]
+    original = RangedTable.load
+
+    def ended(self, *args):
+        if self.root.endswith("/keys"):
+            raise KeyboardInterrupt  # after the clean rows were written
+        return original(self, *args)
+
+    monkeypatch.setattr(RangedTable, "load", ended)
+    with pytest.raises(KeyboardInterrupt):
+        t.load(frame(data[10:], SCHEMA))
+    monkeypatch.undo()
+    assert [rows(t.clean()), rows(t.rejects()), rows(t.metrics())] == before
+    t.load(frame(data[10:], SCHEMA))
+    whole = check_primary_key(frame(data, SCHEMA), ["a"], [F.col("v").desc()])
+    assert [rows(t.clean()), rows(t.rejects()), rows(t.metrics())] == [rows(whole.clean), rows(whole.rejects), rows(whole.metrics)]
+
+
+def test_the_later_of_two_loads_at_once_fails(spark, frame, monkeypatch):
+    t = CheckedTable(spark, scratch(spark, "checked"), ["a"])
+    monkeypatch.setattr(CommitLog, "try_add", lambda self, number, commit: False)
+    with pytest.raises(LoadConflict):
+        t.load(frame([(1, "x", 0, 1)], SCHEMA))
