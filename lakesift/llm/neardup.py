@@ -38,6 +38,8 @@ TREES = 4
 BRANCHES = 2
 POSITIONS = 128
 FIRST_DEPTH = 2
+#: Branchings from one comparison with pivots to the next.
+STEP = 2
 #: From here on all that is near a pivot by its sketch stays behind in the family, whatever its size.
 DEEP = 6
 SMALL = 64
@@ -141,8 +143,10 @@ def _first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _next_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes = batch.column("node").to_numpy().view(np.uint64)[:, None]
-        yield _rows(_children(nodes, _sigs(batch)), batch)
+        nodes, sigs = batch.column("node").to_numpy().view(np.uint64)[:, None], _sigs(batch)
+        for _ in range(STEP):
+            nodes = _children(nodes, sigs)
+        yield _rows(nodes, batch)
 
 
 def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
@@ -277,7 +281,7 @@ class _Tree:
             if going.isEmpty():
                 return
             level = settle(going.join(classes.select("cls", "sig"), "cls").mapInArrow(_next_level, _ROW), "level")
-            depth += 1
+            depth += STEP
 
     def _small(self, rows: DataFrame, level: DataFrame) -> None:
         found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, "a long, b long"), "small")
