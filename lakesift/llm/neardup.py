@@ -39,7 +39,7 @@ BRANCHES = 2
 POSITIONS = 128
 FIRST_DEPTH = 2
 #: Branchings from one comparison with pivots to the next.
-STEP = 2
+STEP = 1
 #: From here on all that is near a pivot by its sketch stays behind in the family, whatever its size.
 DEEP = 6
 SMALL = 64
