@@ -64,7 +64,7 @@ class CheckedTable:
         if fresh.isEmpty():
             return
         if head["index"]:
-            known = prefixed(self.index.matching(fresh, head["index"]), self.keys, "_k_")
+            known = prefixed(self.index.around(fresh, head["index"]), self.keys, "_k_")
             both = fresh.join(known, same_keys_condition(self.keys, "_k_"), "left")
             both = both.select(*self.keys, "n_new", F.coalesce("n_rows", F.lit(0)).alias("n_before"))
         else:
@@ -80,8 +80,8 @@ class CheckedTable:
         more = F.when(F.col("n_before") > 1, F.col("n_new")).otherwise(F.col("n_rows"))
         counts = both.where("n_rows > 1").agg(F.count_if(F.col("n_before") <= 1), F.coalesce(F.sum(more), F.lit(0))).first()
         commit = {
-            "rows": self.rows.load(delta, self.order, self.ignore, head["rows"]),
-            "index": self.index.load(both.select(*self.keys, "n_rows"), [F.col("n_rows").desc()], (), head["index"]),
+            "rows": self.rows.load(delta, self.order, self.ignore, head["rows"], True),
+            "index": self.index.load(both.select(*self.keys, "n_rows"), [F.col("n_rows").desc()], (), head["index"], True),
             "rejects": [*head["rejects"], folder],
             "duplicate_keys": head["duplicate_keys"] + counts[0],
             "rejected_rows": head["rejected_rows"] + counts[1],

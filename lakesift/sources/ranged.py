@@ -1,35 +1,44 @@
 """Tables kept in ranges of their key, so that a load rewrites no more than the ranges that it touches.
 
-A version is a manifest: for every range its first key, its folder and its number of rows. A load finds the ranges
-that hold its keys, merges into those, writes them to new folders and carries all others over by name. Ranges that
-have grown too large are cut on that occasion. Folders never change, so every version stays readable.
+A version is a manifest: for every range its first key, its file and its number of rows. A load finds the ranges
+that hold its keys, merges into those, writes them to new files and carries all others over by name. Ranges that
+have grown too large are cut on that occasion. Files never change, so every version stays readable.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesift.operators.dedupe import keep_best
 from lakesift.operators.keys import prefixed, same_keys_condition
 from lakesift.session import materialize, names_in
-from lakesift.sources.published import upsert
 
-RANGE, PART = "_lakesift_range", "_lakesift_part"
+RANGE, RUN = "_lakesift_range", "_lakesift_run"
+# Rows that one task merges and writes, in as many files as they make ranges.
+ROWS_PER_TASK = 500_000
+# A key with more rows in one load is reduced to its first before the rows are brought together.
+HOT_ROWS = 1_000
 
 
 @dataclass(frozen=True)
 class Range:
-    """Keys from ``lo`` on, up to the next range; the first has no ``lo``."""
+    """Keys from ``lo`` on, up to the next range; the first has no ``lo``.
+
+    ``folder`` is that of the load which wrote the range, and ``n_files`` the number of ranges that it wrote.
+    """
 
     lo: tuple | None
     path: str
     n_rows: int
+    folder: str = ""
+    n_files: int = 0
 
 
 @dataclass(frozen=True)
@@ -57,98 +66,115 @@ class RangedTable:
         if not version:
             return []
         rows = self.spark.read.parquet(f"{self._manifests}/{version}").orderBy("number").collect()
-        return [Range(None if r.lo is None else tuple(r.lo), r.path, r.n_rows) for r in rows]
+        more = [f for f in ("folder", "n_files") if rows and f in rows[0]]
+        return [Range(None if r.lo is None else tuple(r.lo), r.path, r.n_rows, *[r[f] for f in more]) for r in rows]
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self._rows([r.path for r in self.ranges(version)])
+        return self._rows(self.ranges(version))
 
-    def _rows(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
+    def _rows(self, ranges: Sequence[Range]) -> DataFrame:
+        """The rows of some ranges; a load all of whose ranges are wanted is listed as one folder."""
+        if not ranges:
             raise LookupError(f"nothing was loaded into {self.root}")
-        return self.spark.read.parquet(*paths)
+        wanted = Counter(r.folder for r in ranges)
+        paths = [r.folder if wanted[r.folder] == r.n_files else r.path for r in ranges]
+        return self.spark.read.option("recursiveFileLookup", True).parquet(*dict.fromkeys(paths))
 
     # -- the ranges of rows ----------------------------------------------------
 
     def _key(self) -> Column:
         return F.struct(*self.keys)
 
-    def placed(self, df: DataFrame, ranges: Sequence[Range]) -> DataFrame:
-        """``df`` with the number of each row's range.
-
-        Two steps of about the square root of the number of ranges each: a list of coarse bounds in the plan, then
-        a join with the ranges between two of them.
-        """
-        if len(ranges) <= 1:
-            return df.withColumn(RANGE, F.lit(0))
-        types = [df.schema[k].dataType for k in self.keys]
-        bound = lambda lo: F.struct(*[F.lit(v).cast(t).alias(k) for k, t, v in zip(self.keys, types, lo)])
-        step = math.isqrt(len(ranges) - 1) + 1
-        starts = [bound(ranges[i].lo) for i in range(step, len(ranges), step)]
-        if not starts:
-            coarse = F.lit(0)
-        else:
-            coarse = F.size(F.filter(F.array(*starts), lambda b: b <= self._key()))
-        fields = ", ".join(f"`{k}` {t.simpleString()}" for k, t in zip(self.keys, types))
-        nexts = [*ranges[1:], None]
-        bounds = self.spark.createDataFrame(
-            [(i // step, i, r.lo or (None,) * len(types), i > 0, n and n.lo) for i, (r, n) in enumerate(zip(ranges, nexts))],
-            f"_coarse int, {RANGE} int, _lo struct<{fields.replace('` ', '`:')}>, _has_lo boolean, _hi struct<{fields.replace('` ', '`:')}>",
-        )
-        rows = df.withColumn("_own_coarse", coarse)
-        inside = (F.col("_own_coarse") == F.col("_coarse")) & (~F.col("_has_lo") | (F.col("_lo") <= self._key())) & (F.col("_hi").isNull() | (self._key() < F.col("_hi")))
-        return rows.join(bounds, inside).select(*df.columns, RANGE)
+    def _lows(self, lows: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
+        """The bounds as one array that every task is sent once."""
+        key = T.StructType([T.StructField(k, t) for k, t in zip(self.keys, types)])
+        schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("lo", key)])
+        bounds = self.spark.createDataFrame(list(enumerate(lows)), schema)
+        return bounds.agg(F.array_sort(F.collect_list(F.struct("i", "lo"))).alias("b")).select(F.col("b.lo")).scalar()
+
+    def placed(self, df: DataFrame, ranges: Sequence[Range], out: str = RANGE) -> DataFrame:
+        """``df`` with the number of each row's range, found by halving the bounds: as many steps as their logarithm."""
+        lows = [r.lo for r in ranges[1:]]
+        if not lows:
+            return df.withColumn(out, F.lit(0))
+        found = df.select(*df.columns, self._key().alias("_key"), self._lows(lows, [df.schema[k].dataType for k in self.keys]).alias("_lows"))
+        found = found.withColumn(out, F.lit(0))
+        # ``out`` is how many bounds are known not to be above the key; past the last bound there is none, so null.
+        for step in reversed([1 << i for i in range(len(lows).bit_length())]):
+            reached = F.get("_lows", F.col(out) + (step - 1)) <= F.col("_key")
+            found = found.withColumn(out, F.when(reached, F.col(out) + step).otherwise(F.col(out)))
+        return found.select(*df.columns, out)
 
     def touched(self, df: DataFrame, version: int | None = None) -> list[int]:
         """Numbers of the ranges that hold keys of ``df``."""
         rows = self.placed(df.select(*self.keys), self.ranges(version)).select(RANGE).distinct().collect()
         return sorted(r[0] for r in rows)
 
-    def matching(self, keys: DataFrame, version: int | None = None) -> DataFrame:
-        """The stored rows whose key is in ``keys``; only the ranges that may have them are read."""
+    def around(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """All rows of the ranges that may have rows with ``keys``."""
         ranges = self.ranges(version)
         numbers = self.touched(keys, version) if ranges else []
-        if not numbers:
-            return self.read(version).limit(0)
-        base = self._rows([ranges[i].path for i in numbers])
+        return self._rows([ranges[i] for i in numbers]) if numbers else self._rows(ranges).limit(0)
+
+    def matching(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The stored rows whose key is in ``keys``; only the ranges that may have them are read."""
         wanted = prefixed(keys.select(*self.keys).distinct(), self.keys, "_w_")
-        return base.join(wanted, same_keys_condition(self.keys, "_w_"), "left_semi")
+        return self.around(keys, version).join(wanted, same_keys_condition(self.keys, "_w_"), "left_semi")
 
     # -- loads -----------------------------------------------------------------
 
-    def load(self, delta: DataFrame, order: Sequence[Column] = (), ignore: Sequence[str] = (), base: int | None = None) -> int:
+    def load(
+        self, delta: DataFrame, order: Sequence[Column] = (), ignore: Sequence[str] = (), base: int | None = None, stored: bool = False
+    ) -> int:
         """Merge ``delta`` in, one row per key, the first in ``order``; returns the new version.
 
         The last version is merged with, or the version ``base``. A load without rows makes no version. Another load
-        that ends at the same time makes this one fail before it is visible.
+        that ends at the same time makes this one fail before it is visible. ``stored`` says that ``delta`` is a table
+        that was written and need not be written again.
         """
-        last, delta = self.version(), materialize(delta, "delta")
+        last = self.version()
         before = last if base is None else base
-        if delta.isEmpty():
-            return before
         old = self.ranges(before)
-        delta = materialize(self.placed(delta, old), "delta")
-        numbers, ignore = sorted(r[0] for r in delta.select(RANGE).distinct().collect()), [*ignore, RANGE]
-        if old:
-            base = self.placed(self._rows([old[i].path for i in numbers]), old)
-            merged = upsert(base, delta, self.keys, order, ignore)
-        else:
-            merged = keep_best(delta, self.keys, order, ignore)
-        merged = materialize(merged, "merged")
-        parts = -(-merged.count() // self.rows_per_range)
+        delta = delta if stored else materialize(delta, "delta")
+        keys = self.placed(delta.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_n")), old)
+        found = keys.groupBy(RANGE).agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).collect()
+        if not found:
+            return before
+        if max(r.most for r in found) > HOT_ROWS:
+            delta = materialize(keep_best(delta, self.keys, order, ignore), "delta")
+        # Touched ranges side by side are one run: within it, new ranges need not end where the old ones did.
+        touched = {r[RANGE] for r in found}
+        runs = [i for i in sorted(touched) if i - 1 not in touched]
+        n_rows = sum(r["rows"] for r in found) + sum(old[i].n_rows for i in touched if old)
+        tasks = -(-n_rows // max(self.rows_per_range, ROWS_PER_TASK))
+        rows = delta.unionByName(self._rows([old[i] for i in sorted(touched)])) if old else delta
+        by = list(self.keys)
+        if len(runs) > 1:
+            rows, by = self.placed(rows, [old[i] for i in runs], RUN), [RUN, *by]
+        # Range partitions keep the rows of a key together, so they are merged, sorted and written where they are.
+        # A constant must not be among the columns: the planner would drop it and shuffle once more, by hash.
+        rows = keep_best(rows.repartitionByRange(tasks, *by), by, order, [*ignore, RUN]).sortWithinPartitions(*by)
+        rows = rows if RUN in by else rows.withColumn(RUN, F.lit(0))
         folder = f"{self.root.rstrip('/')}/data/{last + 1}-{uuid.uuid4().hex}"
-        cut = merged.repartitionByRange(parts, RANGE, *self.keys).withColumn(PART, F.spark_partition_id())
-        cut.write.partitionBy(RANGE, PART).parquet(folder)
-        stored = self.spark.read.parquet(folder).groupBy(RANGE, PART).agg(F.min(self._key()).alias("lo"), F.count(F.lit(1)).alias("n"))
+        rows.write.option("maxRecordsPerFile", self.rows_per_range).partitionBy(RUN).parquet(folder)
+        stored = self.spark.read.parquet(folder).select(RUN, F.col("_metadata.file_name").alias("file"), self._key().alias("key"))
+        files = stored.groupBy(RUN, "file").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
+        in_order = Window.orderBy(RUN, "lo")
+        files = files.withColumn("apart", F.coalesce(F.lag("hi").over(in_order) < F.col("lo"), F.lit(True))).orderBy(RUN, "lo").collect()
+        if not all(r["apart"] for r in files):
+            raise RuntimeError(f"ranges of {folder} overlap")
         new: dict[int, list[Range]] = {}
-        for r in stored.orderBy(RANGE, "lo").collect():
-            # The first part of a range keeps its bound, so that ranges leave no gaps.
-            first = r[RANGE] not in new
-            lo = old[r[RANGE]].lo if first and old else None if first else tuple(r["lo"])
-            new.setdefault(r[RANGE], []).append(Range(lo, f"{folder}/{RANGE}={r[RANGE]}/{PART}={r[PART]}", r["n"]))
-        ranges = [r for i, own in enumerate(old or [None]) for r in new.get(i, [own])]
+        for r in files:
+            # The first file of a run keeps the bound of its first range, so that ranges leave no gaps.
+            start = runs[r[RUN]]
+            first = start not in new
+            lo = old[start].lo if first and old else None if first else tuple(r["lo"])
+            new.setdefault(start, []).append(Range(lo, f"{folder}/{RUN}={r[RUN]}/{r['file']}", r["n"], folder, len(files)))
+        kept = {i: [own] for i, own in enumerate(old) if i not in touched}
+        ranges = [r for _, own in sorted({**kept, **new}.items()) for r in own]
         types = [delta.schema[k].dataType.simpleString() for k in self.keys]
         fields = ",".join(f"`{k}`:{t}" for k, t in zip(self.keys, types))
-        rows = [(i, r.lo, r.path, r.n_rows) for i, r in enumerate(ranges)]
-        manifest = self.spark.createDataFrame(rows, f"number int, lo struct<{fields}>, path string, n_rows long")
+        rows = [(i, r.lo, r.path, r.n_rows, r.folder, r.n_files) for i, r in enumerate(ranges)]
+        manifest = self.spark.createDataFrame(rows, f"number int, lo struct<{fields}>, path string, n_rows long, folder string, n_files int")
         manifest.coalesce(1).write.mode("errorifexists").parquet(f"{self._manifests}/{last + 1}")
         return last + 1

@@ -135,3 +135,41 @@ def test_the_later_of_two_loads_at_once_fails(spark, frame, monkeypatch):
     monkeypatch.setattr(CommitLog, "try_add", lambda self, number, commit: False)
     with pytest.raises(LoadConflict):
         t.load(frame([(1, "x", 0, 1)], SCHEMA))
+
+
+def test_ranges_stay_apart_when_every_second_one_is_cut(table, frame):
+    """More runs than a task keeps files open, each cut into several ranges, and no folder for each of them."""
+    t = table(("a",), 10)
+    t.load(frame([(i * 10, "x", 0, i) for i in range(400)], SCHEMA))
+    before = t.ranges()
+    assert len(before) == 40
+    delta = [(k + i, "y", 1, i) for r in before[1::2] for k in (r.lo[0] + 10, r.lo[0] + 30) for i in range(1, 9)]
+    t.load(frame(delta, SCHEMA), [F.col("version").desc()])
+    after = t.ranges()
+    assert len(after) >= 60 and max(r.n_rows for r in after) <= 10 and t.read().count() == 400 + len(delta)
+    for r, nxt in zip(after, [*after[1:], None]):
+        keys = [k for (k,) in rows(t._rows([r]).select("a"))]
+        assert len(keys) == r.n_rows and (r.lo is None or r.lo[0] <= min(keys)) and (nxt is None or max(keys) < nxt.lo[0])
+    # A version that holds all of a load is listed by the load's folder.
+    t.load(frame([(k, "z", 2, 0) for k in range(0, 4000, 10)], SCHEMA), [F.col("version").desc()])
+    assert len({r.folder for r in t.ranges()}) == 1 and t.ranges()[0].n_files == len(t.ranges())
+
+
+def test_rows_are_placed_by_halving_the_bounds(spark, frame, table):
+    """The plan does not grow with the ranges, nor does a row meet more bounds than their logarithm."""
+    t = table(("a",), 3)
+    t.load(frame([(i, "x", 0, i) for i in range(0, 300)], SCHEMA))
+    ranges = t.ranges()
+    placed = t.placed(frame([(k, "x", 0, 0) for k in (None, -1, 0, 2, 3, 150, 299, 999)], SCHEMA), ranges)
+    assert rows(placed.select("a", "_lakesift_range")) == rows(frame([(None, 0), (-1, 0), (0, 0), (2, 0), (3, 1), (150, 50), (299, 99), (999, 99)], "a int, r int"))
+    assert "Join" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_is_reduced_before_a_merge(table, frame, monkeypatch):
+    from lakesift.sources import ranged
+
+    stored = []
+    monkeypatch.setattr(ranged, "materialize", lambda df, label, write=ranged.materialize: stored.append(label) or write(df, label))
+    t = table(("a",), 50)
+    t.load(frame([(1, "x", v, v) for v in range(1500)] + [(2, "x", 0, 0)], SCHEMA), [F.col("version").desc()])
+    assert rows(t.read().select("a", "version")) == [(1, 1499), (2, 0)] and len(stored) == 2
