@@ -87,8 +87,9 @@ def c2_bucketed(t):
     """The same star over lines and orders that are stored in equal buckets of the order key."""
     space = "buckets_" + scratch(t.spark, "ns")[-8:]
     C.create_namespace(t.spark, space, scratch(t.spark, "namespace"))
-    C.write_buckets(t.lineitem, f"{space}.lineitem", ["l_orderkey"], 16)
-    C.write_buckets(t.orders, f"{space}.orders", ["o_orderkey"], 16)
+    buckets = C.buckets_for(t.lineitem)
+    C.write_buckets(t.lineitem, f"{space}.lineitem", ["l_orderkey"], buckets)
+    C.write_buckets(t.orders, f"{space}.orders", ["o_orderkey"], buckets)
     stored = C.load_namespace(t.spark, space)
     return line_fact(SimpleNamespace(**stored, supplier=t.supplier, customer=t.customer, nation=t.nation))
 

@@ -61,6 +61,11 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
 
+def buckets_for(df: DataFrame, least: int = 16, rows_per_bucket: int = 500_000) -> int:
+    """Number of buckets that grows with the table, so that what one task sorts and groups does not."""
+    return max(least, -(-df.count() // rows_per_bucket))
+
+
 def write_buckets(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> None:
     """Write a managed table in buckets of its join key, each one sorted file.
 

@@ -75,3 +75,12 @@ def test_bucketed_lines_are_grouped_and_joined_without_a_shuffle(spark, conf):
     scan = text.index("Bucketed: true")
     path = text[text.rindex("SortMergeJoin [l_orderkey", 0, scan) : scan]
     assert path.count("HashAggregate") == 2 and "Exchange" not in path and "lineitem" in text[scan - 400 : scan + 400]
+
+
+def test_buckets_grow_with_the_table(spark, conf, monkeypatch):
+    from lakesift.sources import catalog
+
+    assert catalog.buckets_for(spark.range(100), 4, 9) == 12 and catalog.buckets_for(spark.range(100), 16, 9) == 16
+    monkeypatch.setattr(catalog, "buckets_for", lambda df: 24)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "SelectedBucketsCount: 24 out of 24" in _plan(spark, "c2_bucketed_star")
