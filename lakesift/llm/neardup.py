@@ -7,16 +7,17 @@ node; with two children per node a pair of similarity 0.8 shares a path of any d
 0.94, and in one of four trees but for about one in 65,000.
 
 * Small nodes are compared exhaustively on 128-bit sketches. They give out a forest of the closest pairs rather than
-  all pairs.
+  all pairs. At the first depth, where a node may hold a whole group of near copies, few members make a node small;
+  further down, where loosely related texts part slowly, more of them do, which saves most of the levels.
 * Members of large nodes are compared with one pivot. Those near it are its family and go no further; all others
   follow their paths to the next level.
 * Pairs given out are confirmed on full shingle sets and joined to components.
 * Only pairs whose members are connected already may be left out. So nodes that have more near pairs, and families of
-  more than one component, are looked at again: near pairs between components are confirmed too, and in a family the
-  members outside its main component are compared with all members, block by block, on full sets. A block gives out a
+  more than one component, are looked at again: near pairs between components are confirmed too, but a node that has
+  many of them for its members becomes a family. In a family the members outside its main component are compared with all members, block by block, on full sets. A block gives out a
   forest over the components that it links. Blocks come in rounds, each of four times as many as the one before, and
   what a round has joined to the main component is not compared again: links grow with the members, not with their pairs.
-* Nodes are split until they are small. In deep nodes only members far from the pivot go on, so every level leaves
+* Nodes are split until they are small. In deep nodes that are not, only members far from the pivot go on, so every level leaves
   fewer; what is nearer is compared in the family.
 """
 
@@ -43,6 +44,10 @@ STEP = 1
 #: From here on all that is near a pivot by its sketch stays behind in the family, whatever its size.
 DEEP = 6
 SMALL = 64
+#: Below the first depth nodes of so many times ``SMALL`` members are small: a million pairs, compared in one task.
+LATER = 16
+#: A small node with more near pairs between components for each member is compared as a family.
+PAIRS_EACH = 16
 #: Sketches of sets of similarity 0.8 differ in 12.8 of 128 bits on average, with a deviation of 3.4. What is linked
 #: with a set of that similarity has 0.6 at least: 25.6 bits, with a deviation of 4.5.
 NEAR_BITS = 26
@@ -182,9 +187,26 @@ def _forest(near: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def _dense_forest(apart: np.ndarray, i: np.ndarray, j: np.ndarray, cls: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs ``(low, high)`` of ``_forest`` for many near pairs ``i, j`` of one node, grown member by member."""
+    order, far = np.argsort(np.argsort(cls)), np.iinfo(np.int64).max - 1
+    cost, low, high = np.full(apart.shape, far), np.minimum(order[i], order[j]), np.maximum(order[i], order[j])
+    cost[i, j] = cost[j, i] = (apart[i, j].astype(np.int64) * len(cls) + low) * len(cls) + high
+    best, via, left, out = np.full(len(cls), far), np.zeros(len(cls), int), np.ones(len(cls), bool), []
+    for _ in range(len(cls)):
+        at = int(best.argmin())
+        if best[at] < far:
+            x, y = int(cls[at]), int(cls[via[at]])
+            out.append((min(x, y), max(x, y)))
+        left[at], best[at] = False, far + 1
+        closer = left & (cost[at] < best)
+        best[closer], via[closer] = cost[at][closer], at
+    return out
+
+
 def _bits_apart(x1, y1, x2, y2) -> np.ndarray:
     # The count of a signed number would be that of its absolute value.
-    count = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64)).astype(int)
+    count = lambda x, y: np.bitwise_count((x ^ y).view(np.uint64))
     return count(x1, y1) + count(x2, y2)
 
 
@@ -193,48 +215,72 @@ def _similar_sizes(a, b):
     return 100 * np.minimum(a, b) >= 80 * np.maximum(a, b)
 
 
+def _near_pairs(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bits apart of all members of a node, and the positions of its near pairs."""
+    b1, b2, n = rows["b1"], rows["b2"], rows["n"].astype(int)
+    apart = _bits_apart(b1[:, None], b1, b2[:, None], b2)
+    i, j = np.nonzero(np.triu((apart <= NEAR_BITS) & _similar_sizes(n[:, None], n), 1))
+    return apart, i, j
+
+
+def _bounds(rows: dict[str, np.ndarray]) -> np.ndarray:
+    """Where nodes begin and end."""
+    node = rows["node"]
+    return np.flatnonzero(np.diff(node, prepend=node[:1] - 1, append=node[-1:] + 1)) if len(node) else np.zeros(1, np.int64)
+
+
+_FOUND = f"a long, b long, {_ROW}"
+
+
 def _small_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a forest of each node's near pairs; a row without ``b`` names a node that has other near pairs."""
+    """Pairs of a forest of each node's near pairs; where it has other near pairs, also its rows that have such pairs."""
     for rows in _sorted_groups(batches):
-        bounds = np.flatnonzero(np.diff(rows["node"], prepend=rows["node"][:1] - 1, append=rows["node"][-1:] + 1)) if len(rows["node"]) else np.zeros(1, np.int64)
+        bounds = _bounds(rows)
         sizes = np.diff(bounds)
-        a, b = [], []
+        a, b, again = [], [], [np.empty(0, np.int64)]
         two = bounds[:-1][sizes == 2]
         apart = _bits_apart(rows["b1"][two], rows["b1"][two + 1], rows["b2"][two], rows["b2"][two + 1])
         two = two[(apart <= NEAR_BITS) & _similar_sizes(rows["n"][two].astype(int), rows["n"][two + 1].astype(int))]
         a += np.minimum(rows["cls"][two], rows["cls"][two + 1]).tolist()
         b += np.maximum(rows["cls"][two], rows["cls"][two + 1]).tolist()
         for start, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-            part = slice(start, start + size)
-            b1, b2, n, cls = rows["b1"][part], rows["b2"][part], rows["n"][part].astype(int), rows["cls"][part]
-            apart = _bits_apart(b1[:, None], b1, b2[:, None], b2)
-            i, j = np.nonzero(np.triu((apart <= NEAR_BITS) & _similar_sizes(n[:, None], n), 1))
+            part = {c: v[start : start + size] for c, v in rows.items()}
+            apart, i, j = _near_pairs(part)
             if not len(i):
                 continue
-            low, high = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
-            near = list(zip(apart[i, j].tolist(), low.tolist(), high.tolist()))
-            kept = _forest(near)
-            a += [p[1] for p in kept]
-            b += [p[2] for p in kept]
-            if len(kept) < len(near):
-                a.append(int(rows["node"][start]))
-                b.append(None)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            cls = part["cls"]
+            if len(i) > 8 * size:
+                kept = _dense_forest(apart, i, j, cls)
+            else:
+                low, high = np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
+                kept = [p[1:] for p in _forest(list(zip(apart[i, j].tolist(), low.tolist(), high.tolist())))]
+            a += [p[0] for p in kept]
+            b += [p[1] for p in kept]
+            if len(kept) < len(i):
+                again.append(start + np.unique(np.concatenate([i, j])))
+        at = np.concatenate(again)
+        columns = [pa.array(a + [None] * len(at), pa.int64()), pa.array(b + [None] * len(at), pa.int64())]
+        for c in ("node", "cls", "n", "b1", "b2"):
+            own = pa.array(rows[c][at])
+            columns.append(pa.concat_arrays([pa.nulls(len(a), own.type), own]))
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "node", "cls", "n", "b1", "b2"])
 
 
 def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All near pairs of small nodes between different components."""
+    """All near pairs of small nodes between different components; of a node with many, its smallest class and each member."""
     for rows in _sorted_groups(batches):
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        bounds = np.flatnonzero(np.diff(rows["node"], prepend=rows["node"][:1] - 1, append=rows["node"][-1:] + 1)) if len(rows["node"]) else np.zeros(1, np.int64)
+        a, b, family = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+        bounds = _bounds(rows)
         for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            part = slice(start, end)
-            b1, b2, n, cls, root = rows["b1"][part], rows["b2"][part], rows["n"][part].astype(int), rows["cls"][part], rows["root"][part]
-            apart = _bits_apart(b1[:, None], b1, b2[:, None], b2)
-            i, j = np.nonzero(np.triu((apart <= NEAR_BITS) & _similar_sizes(n[:, None], n) & (root[:, None] != root), 1))
-            a.append(np.minimum(cls[i], cls[j]))
-            b.append(np.maximum(cls[i], cls[j]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            part = {c: v[start:end] for c, v in rows.items()}
+            _, i, j = _near_pairs(part)
+            cls, root = part["cls"], part["root"]
+            i, j = i[root[i] != root[j]], j[root[i] != root[j]]
+            many = len(i) > PAIRS_EACH * len(cls)
+            a.append(np.full(len(cls), cls.min()) if many else np.minimum(cls[i], cls[j]))
+            b.append(cls if many else np.maximum(cls[i], cls[j]))
+            family.append(np.full(len(b[-1]), many))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b, family)], ["a", "b", "family"])
 
 
 def _apart(left: str, right: str) -> Column:
@@ -262,16 +308,16 @@ class _Tree:
 
     def walk(self, classes: DataFrame) -> None:
         level = settle(classes.select("cls", "n", "b1", "b2", "sig").mapInArrow(_first_level, _ROW), "level")
-        depth = FIRST_DEPTH
+        depth, small = FIRST_DEPTH, SMALL
         while True:
             # Per node: members, and the pivot, which is the smallest class.
-            large = settle(level.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("pivot")).filter(F.col("members") > SMALL), "large")
+            large = settle(level.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("cls").alias("pivot")).filter(F.col("members") > small), "large")
             if large.isEmpty():
-                self._small(level, level)
+                self._small(level)
                 return
-            self._small(level.join(shuffled(large), "node", "left_anti"), level)
+            self._small(level.join(shuffled(large), "node", "left_anti"))
             sketches = classes.select(F.col("cls").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in ("n", "b1", "b2")])
-            pivots = settle(large.join(sketches, "pivot").drop("members"), "pivots")
+            pivots = large.join(sketches, "pivot").drop("members")
             rows = level.join(shuffled(pivots), "node").withColumns({"near": _near("", "pivot_"), "apart": _apart("", "pivot_")})
             rows = settle(rows.select("node", "cls", "n", "b1", "b2", "pivot", "near", "apart"), "large-rows")
             self.pairs.append(rows.filter("near AND cls <> pivot").select(*_pair("cls", "pivot")))
@@ -281,18 +327,20 @@ class _Tree:
             if going.isEmpty():
                 return
             level = settle(going.join(classes.select("cls", "sig"), "cls").mapInArrow(_next_level, _ROW), "level")
-            depth += STEP
+            depth, small = depth + STEP, SMALL * LATER
 
-    def _small(self, rows: DataFrame, level: DataFrame) -> None:
-        found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, "a long, b long"), "small")
-        self.pairs.append(found.filter("b IS NOT NULL"))
-        more = found.filter("b IS NULL").select(F.col("a").alias("node"))
-        self.small.append(settle(level.join(shuffled(more), "node", "left_semi"), "small-rows"))
+    def _small(self, rows: DataFrame) -> None:
+        found = settle(rows.repartition("node").sortWithinPartitions("node").mapInArrow(_small_nodes, _FOUND), "small")
+        self.pairs.append(found.filter("b IS NOT NULL").select("a", "b"))
+        self.small.append(found.filter("b IS NULL").drop("a", "b"))
 
     def cross_pairs(self, roots: DataFrame) -> DataFrame:
-        """Near pairs between different components in small nodes that did not give out all their pairs."""
+        """Near pairs between different components in small nodes that did not give out all their pairs.
+
+        Rows of ``family`` are a pivot and a member instead.
+        """
         rows = _rooted(reduce(DataFrame.unionByName, self.small), roots)
-        return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_cross_pairs, "a long, b long").distinct()
+        return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_cross_pairs, "a long, b long, family boolean").distinct()
 
 
 def family_links(families: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> list[DataFrame]:
@@ -436,8 +484,11 @@ def _components(docs: DataFrame, size: int, percent: int, id_col: str, text_col:
     full = _full_sets(wanted.distinct(), classes, texts, size)
     links = _confirmed(pairs, full, percent)
     roots = components(links)
-    more = settle(tree.cross_pairs(roots).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    found = [_confirmed(more, full, percent)]
+    cross = settle(tree.cross_pairs(roots), "cross-pairs")
+    found = [_confirmed(cross.filter("NOT family").select("a", "b").join(pairs, ["a", "b"], "left_anti"), full, percent)]
+    many = cross.filter("family").select(F.col("a").alias("pivot"), F.col("b").alias("cls"))
+    if not many.isEmpty():
+        families = many if families is None else families.unionByName(many).distinct()
     if families is not None:
         found += family_links(families, roots, full, percent)
     # What is connected already is a star around its root; only new links can change it.

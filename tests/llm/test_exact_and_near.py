@@ -175,6 +175,48 @@ def test_links_of_a_family_grow_with_its_members(docs, monkeypatch):
     assert counts[0] > 0 and counts[2] <= 6 * counts[0] and all(c <= n for c, n in zip(counts, (600, 1200, 2400)))
 
 
+def test_loosely_related_texts_part_in_few_levels(docs, monkeypatch):
+    """Texts that share a bit less than half of their shingles, some with near copies."""
+    levels, original = [], neardup.settle
+
+    def counted(df, label):
+        out = original(df, label)
+        if label == "level":
+            levels.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "settle", counted)
+    rnd, base = random.Random(4), [f"b{i}" for i in range(200)]
+    texts = [varied(rnd, base, 22) for _ in range(300)]
+    texts += [varied(rnd, t.split(), 3) for t in texts[::10]]
+    rows = list(enumerate(texts))
+    assert {r.doc_id: r.component_id for r in neardup.near_groups(docs(rows), 2).collect()} == near_by_matrix(rows, 2)
+    assert 2 <= len(levels) <= 4 and sum(levels[1:]) <= 2 * levels[0]
+
+
+@pytest.mark.parametrize("later, each", [(1, 16), (16, 0)])
+def test_near_groups_of_small_nodes_and_of_families(docs, monkeypatch, later, each):
+    """Nodes that are as small at every depth, and nodes whose pairs between components are left to families."""
+    for name, value in (("SMALL", 6), ("LATER", later), ("PAIRS_EACH", each)):
+        monkeypatch.setattr(neardup, name, value)
+    rnd, loose = random.Random(9), [f"v{i}" for i in range(60)]
+    rows = [(i, varied(rnd, loose, rnd.randrange(0, 7))) for i in range(80)] + [(None, None), (7, "")]
+    got = neardup.near_groups(docs(rows), 2).collect()
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in got], key=repr) == near_by_hand(rows, 2)
+
+
+def test_forests_of_many_and_of_few_pairs_agree():
+    rnd = np.random.default_rng(3)
+    cls = rnd.permutation(40).astype(np.int64) * 7
+    apart = np.triu(rnd.integers(0, 9, (40, 40)), 1).astype(np.uint8)
+    apart += apart.T
+    # The last five are near one another only.
+    there = np.triu((apart < 5) & ((np.arange(40) < 35)[:, None] == (np.arange(40) < 35)), 1)
+    i, j = np.nonzero(there)
+    pairs = list(zip(apart[i, j].tolist(), np.minimum(cls[i], cls[j]).tolist(), np.maximum(cls[i], cls[j]).tolist()))
+    assert sorted(neardup._dense_forest(apart, i, j, cls)) == sorted(p[1:] for p in neardup._forest(pairs))
+
+
 def test_near_stage(docs):
     hot = " ".join(f"h{i}" for i in range(60))
     rows = [(3, hot), (2, hot + " end"), (None, "start " + hot), (None, "other words here"), (4, ""), (5, None)]
