@@ -225,7 +225,7 @@ def j6_loads(t):
 def j6_ranged(t):
     """The orders, the delta and changes of every tenth order, each loaded into the ranges that it touches."""
     table, order = RangedTable(t.spark, scratch(t.spark, "ranged"), ["o_orderkey"], rows_per_range=5_000), [F.col("o_orderdate").desc()]
-    table.load(t.orders, order)
+    table.load(t.orders, order, stored=True)
     table.load(_delta(t), order)
     later = (F.col("o_orderdate") + F.expr("INTERVAL 9 DAY")).cast("timestamp_ntz")
     changed = table.read().where("o_orderkey % 10 = 3").withColumns({"o_orderstatus": F.lit("Z"), "o_orderdate": later})

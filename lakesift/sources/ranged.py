@@ -85,6 +85,14 @@ class RangedTable:
     def _key(self) -> Column:
         return F.struct(*self.keys)
 
+    def _ends(self) -> list[Column]:
+        """The first and the last key of a group; those of a single column need no sorting of the rows by group."""
+        if len(self.keys) > 1:
+            return [F.min("key").alias("lo"), F.max("key").alias("hi")]
+        key = F.col("key").getField(self.keys[0])
+        lowest = F.when(F.count(key) == F.count(F.lit(1)), F.min(key))
+        return [F.struct(lowest.alias(self.keys[0])).alias("lo"), F.struct(F.max(key).alias(self.keys[0])).alias("hi")]
+
     def _lows(self, lows: Sequence[tuple], types: Sequence[T.DataType]) -> Column:
         """The bounds as one array that every task is sent once."""
         key = T.StructType([T.StructField(k, t) for k, t in zip(self.keys, types)])
@@ -158,7 +166,7 @@ class RangedTable:
         folder = f"{self.root.rstrip('/')}/data/{last + 1}-{uuid.uuid4().hex}"
         rows.write.option("maxRecordsPerFile", self.rows_per_range).partitionBy(RUN).parquet(folder)
         stored = self.spark.read.parquet(folder).select(RUN, F.col("_metadata.file_name").alias("file"), self._key().alias("key"))
-        files = stored.groupBy(RUN, "file").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n"))
+        files = stored.groupBy(RUN, "file").agg(*self._ends(), F.count(F.lit(1)).alias("n"))
         in_order = Window.orderBy(RUN, "lo")
         files = files.withColumn("apart", F.coalesce(F.lag("hi").over(in_order) < F.col("lo"), F.lit(True))).orderBy(RUN, "lo").collect()
         if not all(r["apart"] for r in files):

@@ -173,3 +173,25 @@ def test_a_hot_key_is_reduced_before_a_merge(table, frame, monkeypatch):
     t = table(("a",), 50)
     t.load(frame([(1, "x", v, v) for v in range(1500)] + [(2, "x", 0, 0)], SCHEMA), [F.col("version").desc()])
     assert rows(t.read().select("a", "version")) == [(1, 1499), (2, 0)] and len(stored) == 2
+
+
+def test_a_single_key_may_be_null(table, frame):
+    """Ranges of one row: a null key is the first of all and a range of its own."""
+    t, order = table(("a",), 1), [F.col("version").desc()]
+    t.load(frame([(k, "x", 0, 0) for k in (3, None, 1)], SCHEMA), order)
+    t.load(frame([(k, "y", 1, 0) for k in (None, 2)], SCHEMA), order)
+    assert [(r.lo, r.n_rows) for r in t.ranges()] == [(None, 1), ((1,), 1), ((2,), 1), ((3,), 1)]
+    assert rows(t.read().select("a", "b")) == rows(frame([(None, "y"), (1, "x"), (2, "y"), (3, "x")], "a int, b string"))
+
+
+def test_many_ranges_are_listed_in_few_tasks(spark, table, frame):
+    t = table(("a",), 1)
+    t.load(frame([(i, "x", 0, i) for i in range(100)], SCHEMA))
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert t._rows(t.ranges()[:90]).count() == 90
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 32 < max(s.numTasks for s in stages if s) <= 64
